@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tourlens import schemas
-from tourlens.driver.tables import AS_OF, LOADED_AT, Given
+from tourlens.driver.tables import AS_OF, LOADED_AT, Given, once
 from tourlens.functions import text
 from tourlens.operators import matching, quality
 from tourlens.operators.keyed import latest_per_key
@@ -52,6 +52,7 @@ def stg_setlists(g):
     return readable(staging.stg_setlists(g.raw_setlists(mixed_dates=True)), "extracted_at")
 
 
+@once
 def _unified(g):
     return staging.concerts_unified(
         staging.stg_events(g.raw_events(), g.raw_artists()), staging.stg_setlists(g.raw_setlists())
@@ -63,6 +64,7 @@ def concerts_unified(g):
     return readable(_unified(g), "extracted_at")
 
 
+@once
 def _dim(g):
     return core.dim_artist(g.raw_artists(), g.raw_events(), LOADED_AT)
 
@@ -72,6 +74,7 @@ def dim_artist(g):
     return core.dim_artist(g.raw_artists(namesakes=True), g.raw_events(), LOADED_AT).drop("_loaded_at")
 
 
+@once
 def _fact(g):
     return core.fact_concert(_unified(g), _dim(g), LOADED_AT)
 

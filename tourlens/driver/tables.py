@@ -8,6 +8,7 @@ go missing: what the operators are there to clean up. `oracles.py` states the sa
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,19 +20,35 @@ AS_OF = dt.date(2000, 1, 1)
 LOADED_AT = dt.datetime(2012, 1, 1)
 
 
+def once(make):
+    """Build a frame once per `Given`: a plan that uses it twice can then share its shuffles."""
+
+    @functools.wraps(make)
+    def built(self, *args, **options):
+        key = (make.__name__, args, tuple(sorted(options.items())))
+        if key not in self.frames:
+            self.frames[key] = make(self, *args, **options)
+        return self.frames[key]
+
+    return built
+
+
 class Given:
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir, self.frames = spark, sf_dir, {}
 
+    @once
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     # -- shared pieces -----------------------------------------------------------
 
+    @once
     def customers(self) -> DataFrame:
         nation = self.table("nation").select("n_nationkey", "n_name")
         return self.table("customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
 
+    @once
     def concerts(self) -> DataFrame:
         """Orders with their customer and nation."""
         return self.table("orders").join(self.customers(), F.col("o_custkey") == F.col("c_custkey"))
@@ -62,6 +79,7 @@ class Given:
 
     # -- raw tables --------------------------------------------------------------
 
+    @once
     def raw_events(self, copies: bool = False) -> DataFrame:
         """Orders as event rows; with `copies`, each has an older row without artist id."""
         key = F.col("o_orderkey")
@@ -97,6 +115,7 @@ class Given:
         )
         return rows.unionByName(older)
 
+    @once
     def raw_artists(self, namesakes: bool = False) -> DataFrame:
         """Customers as artist records, an old and a new one; some have a newer namesake."""
         customers = self.customers()
@@ -124,6 +143,7 @@ class Given:
         twins = customers.where(F.col("c_mktsegment") == "BUILDING").select(F.inline(F.array(twin)))
         return rows.unionByName(twins)
 
+    @once
     def songs_of_orders(self) -> DataFrame:
         """Song lists, one row per order. An order has a handful of lines."""
         parts = self.table("part").select("p_partkey", "p_name")
@@ -134,10 +154,12 @@ class Given:
             .agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "p_name"))).alias("lines"))
         )
 
+    @once
     def concerts_with_songs(self) -> DataFrame:
         songs = self.songs_of_orders()
         return self.concerts().join(songs, F.col("o_orderkey") == F.col("l_orderkey"), "left")
 
+    @once
     def raw_setlists(self, mixed_dates: bool = False) -> DataFrame:
         """Orders as setlists, ten years later so that all are recent enough.
 
@@ -172,6 +194,7 @@ class Given:
             F.col("o_orderdate").cast("timestamp").alias("extracted_at"),
         )
 
+    @once
     def visits(self) -> DataFrame:
         """Line items as concerts: the supplier plays at the part."""
         suppliers = self.table("supplier").select("s_suppkey", "s_name")
@@ -183,6 +206,7 @@ class Given:
 
     # -- landed documents --------------------------------------------------------
 
+    @once
     def event_pages(self) -> DataFrame:
         """Two pages per order, through JSON text: the listing, and a late one elsewhere."""
         key = F.col("o_orderkey")
@@ -393,6 +417,7 @@ class Given:
             F.col("ts").cast("timestamp").alias("observed_at"),
         )
 
+    @once
     def live_log(self) -> DataFrame:
         return flag_first_sightings(self.as_updates(self.table("events")))
 

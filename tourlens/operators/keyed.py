@@ -33,8 +33,11 @@ def lookup(
     Rows without a key cannot match. Left as null they would all meet in one task, so they
     get a key of their own, made of `spread` and a prefix that no real key has.
     """
+    rows = rows.withColumn("_by", F.coalesce(by, F.concat(F.lit("\x00"), spread)))
+    if key in rows.columns:
+        rows = rows.drop(key)
     return (
-        rows.withColumn("_by", F.coalesce(by, F.concat(F.lit("\x00"), spread)))
+        rows
         .join(table.withColumnRenamed(key, "_by"), "_by", "left")
         .drop("_by")
     )

@@ -113,22 +113,22 @@ def artist_evolution(
         .select(
             "artist_name",
             "concert_year",
-            F.col("primary_genre").alias("_genre"),
+            F.col("primary_genre").alias("later_genre"),
             "first_time_songs",
             "repeated_songs",
             "freshness_pct",
         )
     )
     years = _busy_years(repertoire, min_shows)
+    # Artist and year fan out by a few genres at most; the genre, which may be null, decides.
+    same = F.col("primary_genre").eqNullSafe(F.col("later_genre"))
+    fresh = F.when(same, F.struct("first_time_songs", "repeated_songs", "freshness_pct"))
+    keys = [*years.columns]
     return (
-        years.join(
-            later,
-            (years.artist_name == later.artist_name)
-            & (years.concert_year == later.concert_year)
-            & years.primary_genre.eqNullSafe(later._genre),
-            "left",
-        )
-        .select(*[years[c] for c in years.columns], "first_time_songs", "repeated_songs", "freshness_pct")
+        years.join(later, ["artist_name", "concert_year"], "left")
+        .groupBy(*keys)
+        .agg(F.max(fresh).alias("fresh"))
+        .select(*keys, "fresh.*")
         .orderBy("artist_name", "concert_year", "primary_genre", "concert_count")
     )
 

@@ -97,9 +97,10 @@ def fact_concert(unified: DataFrame, dim: DataFrame, loaded_at: Moment = None) -
 # --- incremental loads --------------------------------------------------------
 #
 # By default a load remembers the newest `extracted_at` it has seen and takes everything
-# from there on; the keyed merge makes taking a row twice harmless. With
-# `strict_reference` a load compares `extracted_at` with the time of the last load
-# instead, which loses late rows and, for the fact, loads nothing into an empty table.
+# from there on, besides all keys it has not stored yet, however late they come; the keyed
+# merge makes taking a row twice harmless. With `strict_reference` a load compares
+# `extracted_at` with the time of the last load instead, which loses late rows and, for
+# the fact, loads nothing into an empty table.
 
 
 def _newest(df: DataFrame, column: str):
@@ -142,7 +143,12 @@ def load_dim_artist(
         mark = _newest(store.read("dim_artist"), "_loaded_at") or EPOCH
         rows = rows.where(F.col("extracted_at") > F.lit(mark))
     elif not rebuild:
-        rows = rows.where(_since(store, "dim_artist"))
+        stored = store.read("dim_artist").select("mbid", F.lit(True).alias("_stored"))
+        rows = (
+            rows.join(stored, "mbid", "left")
+            .where(_since(store, "dim_artist") | F.col("_stored").isNull())
+            .drop("_stored")
+        )
     rows, seen = _watched(rows)
     write = store.overwrite if rebuild else store.upsert
     result = write("dim_artist", _as_dim(rows, loaded_at))
@@ -172,15 +178,13 @@ def load_fact_concert(
         mark = _newest(store.read("fact_concert"), "loaded_at")
         rows = rows.where(F.lit(False) if mark is None else F.col("extracted_at") > F.lit(mark))
     elif not rebuild:
-        unlinked = (
-            store.read("fact_concert")
-            .where(F.col("artist_id").isNull())
-            .select("concert_id", F.lit(True).alias("_unlinked"))
+        stored = store.read("fact_concert").select(
+            "concert_id", F.col("artist_id").isNotNull().alias("_linked")
         )
         rows = (
-            rows.join(unlinked, "concert_id", "left")
-            .where(_since(store, "fact_concert") | F.col("_unlinked"))
-            .drop("_unlinked")
+            rows.join(stored, "concert_id", "left")
+            .where(_since(store, "fact_concert") | ~F.coalesce("_linked", F.lit(False)))
+            .drop("_linked")
         )
     if removed is not None:
         rows = rows.join(removed, "concert_id", "left_anti")

@@ -8,28 +8,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tourlens.functions import dates, text
+from tourlens.operators.keyed import lookup
 
 
 def _with_artist(fact: DataFrame, dim: DataFrame, *columns: Column | str) -> DataFrame:
-    """Fact rows with the dimension's name and genre.
-
-    Genres are title-cased once per artist, not once per concert. Concerts without an
-    artist cannot match; they skip the join instead of meeting in one task.
-    """
+    """Fact rows with the dimension's name and genre, title-cased once per artist."""
     artists = dim.select(
         "artist_id",
         F.col("artist_name").alias("dim_name"),
         text.title_case(F.col("primary_genre")).alias("primary_genre"),
     )
-    linked = (
-        fact.where(F.col("artist_id").isNotNull())
-        .join(artists, "artist_id", "left")
-        .select(F.coalesce("dim_name", "artist_name").alias("artist_name"), "primary_genre", *columns)
-    )
-    unlinked = fact.where(F.col("artist_id").isNull()).select(
-        "artist_name", F.lit(None).cast("string").alias("primary_genre"), *columns
+    spread = F.coalesce("concert_id", F.lit(""))
+    return lookup(fact, F.col("artist_id"), artists, "artist_id", spread).select(
+        F.coalesce("dim_name", "artist_name").alias("artist_name"), "primary_genre", *columns
     )
-    return linked.unionByName(unlinked)
 
 
 def upcoming(fact: DataFrame, as_of: dt.date | Column | None) -> DataFrame:

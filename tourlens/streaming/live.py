@@ -32,6 +32,9 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 SIGHTING_ORDER = ("observed_at", "event_status", "event_name", "artist_name", "venue_name")
 LANES = 32
 
+# Messages carry times in ISO-8601, to the microsecond.
+MESSAGE_FORMAT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
 
 # --- producing ------------------------------------------------------------------
 
@@ -169,7 +172,7 @@ def live_updates(pages: DataFrame, ttl_ms: int | None = None, **filters) -> Data
 
 def as_messages(updates: DataFrame) -> DataFrame:
     return updates.select(
-        F.col("event_id").cast("string").alias("key"), F.to_json(F.struct("*")).alias("value")
+        F.col("event_id").cast("string").alias("key"), F.to_json(F.struct("*"), MESSAGE_FORMAT).alias("value")
     )
 
 
@@ -209,7 +212,7 @@ def read_messages(
 
 def parse_messages(messages: DataFrame) -> DataFrame:
     """JSON text to updates; what lacks the required fields is not an update."""
-    update = F.from_json("value", schemas.LIVE_UPDATES).alias("u")
+    update = F.from_json("value", schemas.LIVE_UPDATES, MESSAGE_FORMAT).alias("u")
     return messages.select(update).select("u.*").where(
         F.col("event_id").isNotNull() & F.col("observed_at").isNotNull()
     )

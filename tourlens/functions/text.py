@@ -95,11 +95,10 @@ def fold_accents(c: Column) -> Column:
 
 def simplify_folded(c: Column) -> Column:
     """The JVM-side part of `normalise_name`, for text whose accents are folded already."""
-    lowered = F.lower(c)
-    no_article = F.regexp_replace(lowered, rf"(?U)^the{_SPACE}+", "")
-    spelled_and = F.regexp_replace(no_article, rf"(?U){_SPACE}*&{_SPACE}*", " and ")
+    no_article = F.regexp_replace(F.lower(c), rf"(?U)^the{_SPACE}+", "")
+    spelled_and = F.replace(no_article, F.lit("&"), F.lit(" and "))
     plain = F.regexp_replace(spelled_and, r"(?U)[^a-z0-9\s\x1c-\x1f]", "")
-    return strip(F.regexp_replace(plain, rf"(?U){_SPACE}+", " "))
+    return F.trim(F.regexp_replace(plain, rf"(?U){_SPACE}+", " "))
 
 
 def normalise_name(c: Column) -> Column:

@@ -89,14 +89,14 @@ def ingest(
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     production = mode == "production"
-    judged = landing.judged_events(
-        event_pages,
-        min_upcoming=min_upcoming,
-        as_of=as_of,
-        countries=countries if production else countries[:1],
-        extracted_at=extracted_at,
-    )
-    events = landing.kept_events(judged)
+    options = {
+        "min_upcoming": min_upcoming,
+        "as_of": as_of,
+        "countries": countries if production else countries[:1],
+        "extracted_at": extracted_at,
+    }
+    events = landing.flatten_events(event_pages, **options)
+    judged = landing.judged_events(event_pages, **options)  # for the metrics only
     if production:
         shows = F.col("reject_reason").isNull() & text.is_non_artist(F.col("artist_name"))
         judged = judged.withColumn(

@@ -38,10 +38,10 @@ def _blocked(visits: DataFrame, block_size: int) -> DataFrame:
 def shared_venue_pairs(visits: DataFrame, block_size: int = BLOCK) -> DataFrame:
     """(artist_a, artist_b, venue) for a < b.
 
-    Every pair made here is a row of the result, so the pairs themselves cannot be fewer.
-    What can go wrong is one crowded venue landing in one task. Its artists are therefore
-    hashed into blocks, and each combination of two blocks is joined on its own, so a task
-    meets at most a block of each side, whatever the venue's size.
+    Each row is an entry in the list of venues that the result gives for its pair, so there
+    cannot be fewer. What can go wrong is one crowded venue landing in one task: its artists
+    are hashed into blocks, and each combination of two blocks is joined on its own, so a
+    task meets about a block of each side, whatever the venue's size.
     """
     rows = _blocked(visits, block_size)
     every_block = F.sequence(F.lit(0), F.col("blocks") - 1)

@@ -74,18 +74,14 @@ def _is_its_venue(artist: Column, venue: Column) -> Column:
     )
 
 
-def judged_events(
+def _judged_by_fields(
     pages: DataFrame,
     min_upcoming: int = MIN_UPCOMING,
     as_of: dt.date | Column | None = None,
     countries: Sequence[str] | None = None,
     extracted_at: dt.datetime | Column | None = None,
 ) -> DataFrame:
-    """Every listed event as a flat row, with `reject_reason` null where it is kept.
-
-    With `as_of`, listings outside the year from then on are rejected too; with
-    `countries`, those of other markets.
-    """
+    """Flat event rows, judged by everything but their names."""
     start = "event.dates.start"
     status = F.coalesce(F.col("event.dates.status.code"), F.lit(""))
     venue_name = F.coalesce(F.col("venue.name"), F.lit(""))
@@ -115,12 +111,6 @@ def judged_events(
         F.nullif(F.col("kind.subGenre.name"), F.lit("")).alias("tm_subgenre"),
         dates.moment(extracted_at).alias("extracted_at"),
     )
-    keyed = flat.withColumns(
-        {
-            "artist_key": text.normalise_name(F.col("artist_name")),
-            "venue_key": text.normalise_name(F.col("venue_name")),
-        }
-    )
     in_window, in_market = F.lit(True), F.lit(True)
     if as_of is not None:
         listed = dates.within_listing_window(dates.iso_date(F.col("event_date")), as_of)
@@ -134,14 +124,36 @@ def judged_events(
         .when(~F.col("has_upcoming"), "few_upcoming")
         .when(~F.col("is_artist_kind"), "not_an_artist")
         .when(~is_on(F.col("event_status")), "called_off")
-        .when(_is_its_venue(F.col("artist_key"), F.col("venue_key")), "venue_as_artist")
         .when(~has_id(F.col("event_id")), "no_id")
     )
-    return keyed.withColumn("reject_reason", reason).drop(
-        "has_attraction", "has_upcoming", "is_artist_kind", "artist_key", "venue_key"
+    return flat.withColumn("reject_reason", reason).drop(
+        "has_attraction", "has_upcoming", "is_artist_kind"
     )
 
 
+def _judged_by_names(events: DataFrame) -> DataFrame:
+    """Also reject events whose 'artist' is the venue."""
+    names = F.struct(
+        text.normalise_name(F.col("artist_name")).alias("artist"),
+        text.normalise_name(F.col("venue_name")).alias("venue"),
+    )
+    # Binding the names in a lambda evaluates them once; plain columns would be copied into
+    # the filter at each of their uses, patterns and all.
+    is_venue = F.exists(F.array(names), lambda n: _is_its_venue(n["artist"], n["venue"]))
+    return events.withColumn(
+        "reject_reason", F.coalesce("reject_reason", F.when(is_venue, "venue_as_artist"))
+    )
+
+
+def judged_events(pages: DataFrame, **options) -> DataFrame:
+    """Every listed event as a flat row, with `reject_reason` null where it is kept.
+
+    Options: `min_upcoming`; `as_of`, to reject listings outside the year from then on;
+    `countries`, to reject other markets; `extracted_at`, the stamp of the rows.
+    """
+    return _judged_by_names(_judged_by_fields(pages, **options))
+
+
 def kept_events(judged: DataFrame) -> DataFrame:
     """The accepted rows; of an event listed several times, the first to arrive."""
     accepted = judged.where(F.col("reject_reason").isNull())
@@ -151,8 +163,13 @@ def kept_events(judged: DataFrame) -> DataFrame:
 
 
 def flatten_events(pages: DataFrame, **options) -> DataFrame:
-    """Pages to raw event rows; options as in `judged_events`."""
-    return kept_events(judged_events(pages, **options))
+    """Pages to raw event rows; options as in `judged_events`.
+
+    The same as keeping the accepted rows of `judged_events`, but names are only compared
+    where the other fields have not settled the matter.
+    """
+    passed = _judged_by_fields(pages, **options).where(F.col("reject_reason").isNull())
+    return kept_events(_judged_by_names(passed))
 
 
 # --- setlists -----------------------------------------------------------------

@@ -119,9 +119,10 @@ def first_seen(updates: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     """Flag the first update of each event id, over all batches and restarts.
 
     Within a batch the earliest `observed_at` counts as first. Only that row matters, so
-    each Arrow batch nominates its earliest row per id: nominees meet under the id (lane 0),
-    and all other rows, which cannot be first, are spread over the other lanes. An event
-    that fills a third of the stream thus does not fill one task.
+    each Arrow batch nominates its earliest row per id: nominees meet under their id (lane 0),
+    and all other rows, which cannot be first, are spread evenly over the other lanes,
+    whatever their id. An event that fills a third of the stream thus does not fill one
+    task, and rows that need no state cost no group of their own.
     """
     updates.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     order, lanes = [c for c in SIGHTING_ORDER if c in updates.columns], LANES
@@ -131,15 +132,17 @@ def first_seen(updates: DataFrame, ttl_ms: int | None = None) -> DataFrame:
 
         for rows in batches:
             rows = rows.sort_values(order, kind="stable")
+            later = rows.duplicated("event_id").to_numpy()
             spread = 1 + np.arange(len(rows)) % lanes
             yield rows.assign(
-                lane=np.where(rows.duplicated("event_id"), spread, 0).astype("int32")
+                nominee=rows["event_id"].mask(later, ""),
+                lane=np.where(later, spread, 0).astype("int32"),
             )
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in updates.schema)
     return (
-        updates.mapInPandas(nominate, f"{fields}, lane INT")
-        .groupBy("event_id", "lane")
+        updates.mapInPandas(nominate, f"{fields}, nominee STRING, lane INT")
+        .groupBy("nominee", "lane")
         .transformWithStateInPandas(
             statefulProcessor=_processor([*updates.columns, "is_new"], order, ttl_ms),
             outputStructType=f"{fields}, is_new BOOLEAN",

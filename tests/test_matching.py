@@ -118,7 +118,7 @@ def test_resolution_and_cache(frame):
     ]
     record = found("Stale", "new", type="Group", country="GB", **{"life-span": {"begin": "1998-05"}})
     record["tags"] = tags(("a", 1), ("b", 2))
-    resolved, fresh = resolve(
+    resolved = resolve(
         frame,
         [" CACHED ", "cached", "Failed", "Stale", "Found", "Unmatched", "Unsearched"],
         [
@@ -143,15 +143,15 @@ def test_resolution_and_cache(frame):
     assert stale["primary_genre"] == "b" and stale["genres"] == ["b", "a"]
     assert (stale["artist_type"], stale["origin_country"], stale["mb_name"]) == ("Group", "GB", "Stale")
     assert got["unmatched"]["genres"] == [] and got["unmatched"]["mb_name"] is None
-    assert sorted(r["cache_key"] for r in dicts(fresh)) == ["found", "stale", "unmatched"]
-    assert {r["cache_version"] for r in dicts(fresh)} == {matching.CACHE_VERSION}
+    assert sorted(r["cache_key"] for r in dicts(matching.new_cache_entries(resolved))) == ["found", "stale", "unmatched"]
+    assert {r["cache_version"] for r in dicts(resolved) if r["is_new"]} == {matching.CACHE_VERSION}
 
 
 def test_a_cache_of_an_older_shape_is_stale(frame):
     old = frame("cache_key STRING, mbid STRING", [{"cache_key": "a", "mbid": "old"}])
     names = frame("artist_name STRING", [{"artist_name": "A"}])
     searches = frame(schemas.ARTIST_SEARCH, [{"searched_name": "A", "artists": [_whole(found("A", "new"))]}])
-    resolved, _ = matching.resolve_artists(names, searches, old)
+    resolved = matching.resolve_artists(names, searches, old)
     assert [r["mbid"] for r in dicts(resolved)] == ["new"]
 
 

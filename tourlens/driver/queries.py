@@ -266,7 +266,7 @@ def resolve_artists(g):
     searches = g.part_searches()
     names = searches.select(F.col("searched_name").alias("artist_name"))
     nothing_cached = typed_empty(g.spark, schemas.ARTIST_RESOLUTION)
-    resolved, _ = matching.resolve_artists(names, searches, nothing_cached)
+    resolved = matching.resolve_artists(names, searches, nothing_cached)
     return resolved.select(
         "artist_name",
         "mbid",
@@ -280,7 +280,7 @@ def resolve_artists(g):
 
 def _judged_artists(g):
     names = g.table("customer").select(F.col("c_name").alias("artist_name"))
-    resolved, _ = matching.resolve_artists(names, g.customer_searches(), g.cached_resolutions())
+    resolved = matching.resolve_artists(names, g.customer_searches(), g.cached_resolutions())
     return matching.verify_artists(resolved)
 
 
@@ -304,7 +304,7 @@ def new_setlist_artists(g):
 
 @query
 def dry_run_counts(g):
-    result = ingest.ingest(
+    with ingest.ingest(
         g.event_pages(),
         g.setlist_pages(),
         g.customer_searches(),
@@ -312,8 +312,9 @@ def dry_run_counts(g):
         mode="production",
         countries=[f"NATION_{i}" for i in range(25)],
         extracted_at=LOADED_AT,
-    )
-    return ingest.dry_run(result.tables())
+        keep_scratch=True,
+    ) as result:
+        return ingest.dry_run(result.tables())
 
 
 # --- checks -----------------------------------------------------------------------
@@ -352,8 +353,7 @@ def quality_report(g):
             "source": F.when(F.col("country") == "NATION_4", F.lit("radio")).otherwise(F.col("source")),
         }
     )
-    checks = quality.core_checks(raw, events, setlists, dim, faulty, dt.date(1998, 1, 1))
-    return quality.report(checks)
+    return quality.core_report(raw, events, setlists, dim, faulty, dt.date(1998, 1, 1))
 
 
 # --- stored tables ------------------------------------------------------------------

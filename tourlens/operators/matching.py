@@ -120,14 +120,12 @@ def _one_per_name(df: DataFrame, name: str, *order: Column) -> DataFrame:
     return best_per_key(keyed, ["cache_key"], [*order, F.col(name).asc()])
 
 
-def resolve_artists(
-    names: DataFrame, searches: DataFrame, cache: DataFrame
-) -> tuple[DataFrame, DataFrame]:
+def resolve_artists(names: DataFrame, searches: DataFrame, cache: DataFrame) -> DataFrame:
     """Resolve `names` (artist_name, optional position) from the cache or a search.
 
-    Returns the resolved records and, of these, the new ones to be cached. A name that was
-    searched without a match is a record too, with a null id, and is cached like the
-    others. A name that is neither cached nor searched is left out, to be tried next time.
+    `is_new` marks the records that the cache does not hold yet. A name that was searched
+    without a match is a record too, with a null id, and is cached like the others. A name
+    that is neither cached nor searched is left out, to be tried next time.
     """
     order = [F.col("position").asc()] if "position" in names.columns else []
     wanted = _one_per_name(names, "artist_name", *order).select("cache_key", "artist_name")
@@ -140,7 +138,12 @@ def resolve_artists(
     documents = _one_per_name(searches, "searched_name", digest).join(missing, "cache_key", "left_semi")
     matched = match_searches(documents).withColumn("cache_key", text.cache_key(F.col("searched_name")))
     fresh = missing.join(matched, "cache_key").select(*_record(F.col("artist_name"), F.col("match")))
-    return hits.select(*fresh.columns).unionByName(fresh), fresh
+    found = hits.select(*fresh.columns).withColumn("is_new", F.lit(False))
+    return found.unionByName(fresh.withColumn("is_new", F.lit(True)))
+
+
+def new_cache_entries(resolved: DataFrame) -> DataFrame:
+    return resolved.where("is_new").drop("is_new")
 
 
 def verify_artists(resolved: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,8 +36,12 @@ def unique(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def not_accepted(column: str, values: Sequence[str]) -> Column:
+    return ~F.col(column).isin(*values)
+
+
 def accepted_values(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
-    return df.where(~F.col(column).isin(*values))
+    return df.where(not_accepted(column, values))
 
 
 def relationship(df: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
@@ -44,9 +49,12 @@ def relationship(df: DataFrame, column: str, parent: DataFrame, parent_column: s
     return df.where(F.col(column).isNotNull()).join(keys, column, "left_anti")
 
 
+def is_too_far_ahead(as_of: dt.date | Column | None = None) -> Column:
+    return F.col("event_date") > F.add_months(dates.day(as_of), 12 * MAX_YEARS_AHEAD)
+
+
 def too_far_ahead(fact: DataFrame, as_of: dt.date | Column | None = None) -> DataFrame:
-    limit = F.add_months(dates.day(as_of), 12 * MAX_YEARS_AHEAD)
-    return fact.where(F.col("event_date") > limit)
+    return fact.where(is_too_far_ahead(as_of))
 
 
 def invalid_artist_types(dim: DataFrame, raw_artists: DataFrame) -> DataFrame:
@@ -81,33 +89,99 @@ def freshness(
     return _union(reports).select("source_table", "latest", status.alias("status"))
 
 
-def core_checks(
+@dataclass(frozen=True)
+class Declared:
+    """A table with its declared rules."""
+
+    df: DataFrame
+    required: Sequence[str] = ()
+    keys: Sequence[str] = ()
+    # Name of a check to the condition of a violating row.
+    rows: Mapping[str, Column] = field(default_factory=dict)
+
+    def row_rules(self) -> dict[str, Column]:
+        return {f"{c}.not_null": F.col(c).isNull() for c in self.required} | dict(self.rows)
+
+
+def declared_rules(
     raw: Mapping[str, DataFrame],
     stg_events: DataFrame,
     stg_setlists: DataFrame,
     dim: DataFrame,
     fact: DataFrame,
     as_of: dt.date | Column | None = None,
+) -> dict[str, Declared]:
+    return {
+        "raw_events": Declared(raw["ticketmaster_events"], ["event_id"], ["event_id"]),
+        "raw_setlists": Declared(raw["setlistfm_setlists"], ["setlist_id"], ["setlist_id"]),
+        "raw_artists": Declared(raw["musicbrainz_artists"], ["mbid"]),
+        "stg_events": Declared(stg_events, ["concert_id", "event_date", "country"], ["concert_id"]),
+        "stg_setlists": Declared(
+            stg_setlists, ["setlist_id", "event_date", "artist_name"], ["setlist_id"]
+        ),
+        "dim_artist": Declared(dim, ["artist_id", "mbid", "artist_name"], ["artist_id", "mbid"]),
+        "fact_concert": Declared(
+            fact,
+            ["concert_id", "event_date"],
+            ["concert_id"],
+            {
+                "source.accepted_values": not_accepted("source", SOURCES),
+                "event_date.too_far_ahead": is_too_far_ahead(as_of),
+            },
+        ),
+    }
+
+
+def _across_tables(
+    raw: Mapping[str, DataFrame], dim: DataFrame, fact: DataFrame
 ) -> dict[str, DataFrame]:
-    """All declared checks of the warehouse, by name."""
-    declared = {
-        "raw_events": (raw["ticketmaster_events"], ["event_id"], ["event_id"]),
-        "raw_setlists": (raw["setlistfm_setlists"], ["setlist_id"], ["setlist_id"]),
-        "raw_artists": (raw["musicbrainz_artists"], ["mbid"], []),
-        "stg_events": (stg_events, ["concert_id", "event_date", "country"], ["concert_id"]),
-        "stg_setlists": (stg_setlists, ["setlist_id", "event_date", "artist_name"], ["setlist_id"]),
-        "dim_artist": (dim, ["artist_id", "mbid", "artist_name"], ["artist_id", "mbid"]),
-        "fact_concert": (fact, ["concert_id", "event_date"], ["concert_id"]),
+    return {
+        "fact_concert.artist_id.relationship": relationship(fact, "artist_id", dim, "artist_id"),
+        "dim_artist.artist_type.invalid": invalid_artist_types(dim, raw["musicbrainz_artists"]),
     }
+
+
+def core_checks(
+    raw: Mapping[str, DataFrame],
+    stg_events: DataFrame,
+    stg_setlists: DataFrame,
+    dim: DataFrame,
+    fact: DataFrame,
+    as_of: dt.date | Column | None = None,
+) -> dict[str, DataFrame]:
+    """All declared checks of the warehouse, by name, as frames of violating rows."""
     checks = {}
-    for table, (df, required, keys) in declared.items():
-        checks |= {f"{table}.{c}.not_null": not_null(df, c) for c in required}
-        checks |= {f"{table}.{c}.unique": unique(df, c) for c in keys}
-    checks["fact_concert.source.accepted_values"] = accepted_values(fact, "source", SOURCES)
-    checks["fact_concert.artist_id.relationship"] = relationship(fact, "artist_id", dim, "artist_id")
-    checks["fact_concert.event_date.too_far_ahead"] = too_far_ahead(fact, as_of)
-    checks["dim_artist.artist_type.invalid"] = invalid_artist_types(dim, raw["musicbrainz_artists"])
-    return checks
+    for table, rules in declared_rules(raw, stg_events, stg_setlists, dim, fact, as_of).items():
+        checks |= {f"{table}.{n}": rules.df.where(bad) for n, bad in rules.row_rules().items()}
+        checks |= {f"{table}.{c}.unique": unique(rules.df, c) for c in rules.keys}
+    return checks | _across_tables(raw, dim, fact)
+
+
+def core_report(
+    raw: Mapping[str, DataFrame],
+    stg_events: DataFrame,
+    stg_setlists: DataFrame,
+    dim: DataFrame,
+    fact: DataFrame,
+    as_of: dt.date | Column | None = None,
+) -> DataFrame:
+    """Violations of every declared check; all row rules of a table in one pass over it."""
+    counts, others = [], _across_tables(raw, dim, fact)
+    for table, rules in declared_rules(raw, stg_events, stg_setlists, dim, fact, as_of).items():
+        counts.append(count_violations(rules.df, table, rules.row_rules()))
+        others |= {f"{table}.{c}.unique": unique(rules.df, c) for c in rules.keys}
+    return _union([*counts, report(others)])
+
+
+def count_violations(df: DataFrame, table: str, rules: Mapping[str, Column]) -> DataFrame:
+    per_rule = [
+        F.struct(
+            F.lit(f"{table}.{name}").alias("check_name"),
+            F.count_if(F.coalesce(bad, F.lit(False))).alias("violations"),
+        )
+        for name, bad in rules.items()
+    ]
+    return df.agg(F.array(*per_rule).alias("counts")).select(F.inline("counts"))
 
 
 def report(checks: Mapping[str, DataFrame]) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tourlens.functions import dates, text
 from tourlens.operators import matching
 from tourlens.operators.keyed import latest_per_key
-from tourlens.sources import landing
+from tourlens.sources import landing, workspace
 from tourlens.sources.tables import RAW_TABLES, TABLES, TableStore
 
 # The modes, the tracked artists of the small one, how many artists the
@@ -48,6 +48,18 @@ class Ingested:
     cache: DataFrame  # new entries of `artist_resolution`
     judged_events: DataFrame
     judged_artists: DataFrame
+    scratch: str | None  # where the two shared steps were written
+
+    def __enter__(self) -> Ingested:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+    def close(self) -> None:
+        """Drop the shared steps; the frames cannot be read any more."""
+        if self.scratch:
+            workspace.delete(self.events.sparkSession, self.scratch)
 
     def tables(self) -> dict[str, DataFrame]:
         return dict(zip(RAW_TABLES, (self.events, self.setlists, self.artists)))
@@ -79,9 +91,15 @@ def ingest(
     as_of: dt.date | Column | None = None,
     extracted_at: dt.datetime | Column | None = None,
     stored_setlists: DataFrame | None = None,
+    keep_scratch: bool = False,
 ) -> Ingested:
     """Flatten, filter, resolve, verify and enrich.
 
+    All outputs build on the flattened events and the resolved artists. Both are written to
+    the shared scratch folder once, so that no page is parsed and no name matched again for
+    each output. Use the result in a `with` block to drop them afterwards, unless
+    `keep_scratch` leaves that to the cleaner of the folder.
+
     `prototype` follows `tracked` (artist_name, position) in the first market only;
     `production` the most active artists of all markets. With `stored_setlists`, artists
     who have any stored setlist are skipped; the keyed merge makes that optional.
@@ -89,14 +107,18 @@ def ingest(
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     production = mode == "production"
-    options = {
-        "min_upcoming": min_upcoming,
-        "as_of": as_of,
-        "countries": countries if production else countries[:1],
-        "extracted_at": extracted_at,
-    }
-    events = landing.flatten_events(event_pages, **options)
-    judged = landing.judged_events(event_pages, **options)  # for the metrics only
+    if not production and tracked is None:
+        raise ValueError("prototype mode needs the tracked artists")
+    judged = landing.judged_events(
+        event_pages,
+        min_upcoming=min_upcoming,
+        as_of=as_of,
+        countries=countries if production else countries[:1],
+        extracted_at=extracted_at,
+    )
+    scratch = workspace.new_folder(judged.sparkSession, "ingest")
+    judged = workspace.settled(judged, f"{scratch}/judged")
+    events = landing.kept_events(judged)
     if production:
         shows = F.col("reject_reason").isNull() & text.is_non_artist(F.col("artist_name"))
         judged = judged.withColumn(
@@ -106,12 +128,12 @@ def ingest(
         names = top_touring(events, max_artists).select(
             "artist_name", (-F.col("event_count")).alias("position")
         )
-    elif tracked is None:
-        raise ValueError("prototype mode needs the tracked artists")
     else:
         names = tracked
 
-    resolved, fresh = matching.resolve_artists(names, searches, cache)
+    resolved = workspace.settled(
+        matching.resolve_artists(names, searches, cache), f"{scratch}/resolved"
+    )
     judged_artists = matching.verify_artists(resolved)
     artists = matching.verified(judged_artists)
     followed = artists if stored_setlists is None else matching.without_setlists(artists, stored_setlists)
@@ -123,9 +145,10 @@ def ingest(
         events=matching.with_artist_id(events, artists),
         setlists=landing.flatten_setlists(pages, extracted_at=extracted_at),
         artists=matching.artist_rows(resolved, F.date_trunc("DAY", stamp)),
-        cache=fresh,
+        cache=matching.new_cache_entries(resolved),
         judged_events=judged,
         judged_artists=judged_artists,
+        scratch=None if keep_scratch else scratch,
     )
 
 

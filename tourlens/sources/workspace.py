@@ -30,20 +30,23 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-@contextmanager
-def staged(df: DataFrame, purpose: str = "stage"):
-    """`df` written once and read back, for plans that would otherwise run it several times.
+def settled(df: DataFrame, path: str) -> DataFrame:
+    """`df` written once and read back.
 
     Cuts the lineage like a checkpoint, but stays columnar, so later reads can prune.
-    The copy is dropped when the block ends.
     """
-    spark = df.sparkSession
-    path = new_folder(spark, purpose)
     df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged(df: DataFrame, purpose: str = "stage"):
+    """`df` settled for the length of a block, for plans that would run it several times."""
+    path = new_folder(df.sparkSession, purpose)
     try:
-        yield spark.read.schema(df.schema).parquet(path)
+        yield settled(df, path)
     finally:
-        delete(spark, path)
+        delete(df.sparkSession, path)
 
 
 def _path(spark: SparkSession, path: str):

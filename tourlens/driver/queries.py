@@ -18,7 +18,6 @@ from tourlens.sources import landing, workspace
 from tourlens.sources.tables import TableStore, typed_empty
 from tourlens.streaming import live
 
-NOW = dt.datetime(2001, 8, 5)
 QUERIES = {}
 
 
@@ -224,7 +223,8 @@ def flatten_events(g):
         g.event_pages(), as_of=AS_OF, countries=[f"NATION_{i}" for i in range(20)]
     )
     shown = "event_id event_name event_date artist_name venue_name city country_code event_status".split()
-    return readable(rows, "event_datetime_utc").select(
+    utc = F.to_utc_timestamp("event_datetime_utc", F.current_timezone())
+    return readable(rows.withColumn("event_datetime_utc", utc), "event_datetime_utc").select(
         *shown, "event_datetime_utc", "tm_genre", "tm_subgenre"
     )
 
@@ -332,7 +332,7 @@ def source_freshness(g):
         "setlistfm_setlists": g.raw_setlists().where("tour_name = '1-URGENT'"),
         "musicbrainz_artists": g.raw_artists().where("primary_genre = 'unsorted'"),
     }
-    return readable(quality.freshness(raw, NOW), "latest")
+    return readable(quality.freshness(raw, F.lit("2001-08-05").cast("timestamp")), "latest")
 
 
 @query
@@ -382,7 +382,7 @@ def incremental_fact(g):
     """Two loads, the first without half the artists; the result equals one full build."""
     store = TableStore(g.spark, workspace.new_folder(g.spark, "store"))
     unified, events, artists = _unified(g), g.raw_events(), g.raw_artists()
-    early = F.col("extracted_at") < F.lit(dt.datetime(1999, 1, 1))
+    early = F.col("extracted_at") < F.lit("1999-01-01").cast("timestamp")
     known = artists.where("mbid LIKE '%1' OR mbid LIKE '%4'")
     no_events = typed_empty(g.spark, schemas.RAW_EVENTS)
     dim = core.load_dim_artist(store, known, no_events, LOADED_AT)

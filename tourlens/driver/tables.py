@@ -128,18 +128,18 @@ class Given:
                 F.lit(None).cast("bigint").alias("formation_year"),
                 kind.alias("artist_type"),
                 genre.alias("primary_genre"),
-                F.lit(at).cast("timestamp").alias("extracted_at"),
+                F.lit(at).cast("timestamp").alias("extracted_at"),  # in the session's time zone
             )
 
         name, genre = F.col("c_name"), F.lower("c_mktsegment")
         records = [
-            record(self.mbid(), F.upper(name), self.artist_type(), F.lit("unsorted"), dt.datetime(2000, 9, 1)),
-            record(self.mbid(), name, self.artist_type(), genre, dt.datetime(2001, 9, 1)),
+            record(self.mbid(), F.upper(name), self.artist_type(), F.lit("unsorted"), "2000-09-01"),
+            record(self.mbid(), name, self.artist_type(), genre, "2001-09-01"),
         ]
         rows = customers.select(F.inline(F.array(*records)))
         if not namesakes:
             return rows
-        twin = record(self.mbid("X"), name, F.lit("Group"), F.lit("hip-hop"), dt.datetime(2001, 10, 1))
+        twin = record(self.mbid("X"), name, F.lit("Group"), F.lit("hip-hop"), "2001-10-01")
         twins = customers.where(F.col("c_mktsegment") == "BUILDING").select(F.inline(F.array(twin)))
         return rows.unionByName(twins)
 

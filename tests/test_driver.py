@@ -74,3 +74,11 @@ def test_oracle_dates_are_fixed():
     today = dt.date.today().isoformat()
     for sql in entry.oracle_sql().values():
         assert "current_" not in sql.lower() and today not in sql
+
+
+def test_the_stream_reads_tables_of_many_files(spark, tmp_path):
+    events = spark.read.parquet(f"{GIVEN}/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    log = entry.queries()["stream_first_seen"](spark, str(tmp_path))
+    assert log.count() == events.count()
+    assert log.where("is_new").count() == events.select("user_id").distinct().count()

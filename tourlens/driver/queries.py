@@ -201,12 +201,7 @@ def json_props(g):
 def stream_first_seen(g):
     """The events table as a stream: flag, publish as JSON, consume, log; then the log."""
     folder = workspace.new_folder(g.spark, "stream")
-    arriving = (
-        g.spark.readStream.schema(g.table("events").schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(g.sf_dir)
-    )
-    flagged = live.first_seen(g.as_updates(arriving))
+    flagged = live.first_seen(g.as_updates(g.table_stream("events")))
     live.publish(flagged, f"{folder}/topic", f"{folder}/published", once=True).awaitTermination()
     messages = live.read_messages(g.spark, f"{folder}/topic")
     live.consume(messages, f"{folder}/log", f"{folder}/consumed", once=True).awaitTermination()

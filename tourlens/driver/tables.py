@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tourlens import schemas
+from tourlens.sources import workspace
 from tourlens.streaming.live import flag_first_sightings
 
 AS_OF = dt.date(2000, 1, 1)
@@ -41,6 +42,15 @@ class Given:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def table_stream(self, name: str) -> DataFrame:
+        """The table as a stream; it may be one file or a folder of them."""
+        path, file = f"{self.sf_dir}/{name}.parquet", f"{name}.parquet"
+        reader = self.spark.readStream.schema(self.table(name).schema)
+        if workspace.is_folder(self.spark, path):
+            return reader.parquet(path)
+        # A stream reads folders, so this one reads the parent and leaves out the other files.
+        return reader.option("pathGlobFilter", file).parquet(self.sf_dir)
+
     # -- shared pieces -----------------------------------------------------------
 
     @once

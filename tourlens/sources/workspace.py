@@ -59,6 +59,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    p, fs = _path(spark, path)
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names directly under a folder; none when it is missing."""
     p, fs = _path(spark, path)

@@ -7,7 +7,7 @@ import pytest
 from conftest import dicts
 
 from tourlens import schemas
-from tourlens.plans import marts
+from tourlens.plans import marts, staging
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
@@ -64,3 +64,59 @@ def test_setlist_marts(frame, seed):
         assert r["concert_count"] == len({c[3] for c in concerts if c[0] == n and c[2] == y})
         if y == min(x[2] for x in sung if x[0] == n):
             assert r["freshness_pct"] == 100.0
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_staged_events(frame, seed):
+    """One event id holds a third of the rows, one name a third of the artists."""
+    rng, day = random.Random(seed), dt.datetime(2024, 1, 1)
+    artists = [
+        {
+            "mbid": f"m{i}",
+            "artist_name": rng.choice(["Hot", " HOT "]) if i % 3 == 0 else rng.choice(["a", "B", "c", None]),
+            "extracted_at": rng.choice([None, day, day + dt.timedelta(days=rng.randrange(3))]),
+        }
+        for i in range(30)
+    ]
+    events = [
+        {
+            "event_id": "hot" if i % 3 == 0 else f"e{rng.randrange(20)}",
+            "artist_name": rng.choice(["hot", "A ", "b", "nobody", None]),
+            "artist_mbid": rng.choice([None, None, None, f"own{i}"]),
+            "event_date": "2024-06-01",
+            "event_status": rng.choice([None, "onsale", "cancelled"]),
+            "city": str(i),
+            "extracted_at": day + dt.timedelta(minutes=i),
+        }
+        for i in range(120)
+    ]
+
+    def key(name):
+        return None if name is None else name.strip().lower()
+
+    def order(pair):
+        event, artist = pair
+        stamp = artist and artist["extracted_at"]
+        return (
+            event["artist_mbid"] is None,
+            stamp is None,
+            -(stamp or day).timestamp(),
+            artist is None,
+            artist["mbid"] if artist else "",
+            -event["extracted_at"].timestamp(),
+        )
+
+    want = {}
+    for event_id in {e["event_id"] for e in events}:
+        pairs = []
+        for e in events:
+            if e["event_id"] == event_id and e["event_status"] != "cancelled":
+                name = key(e["artist_name"])
+                found = [a for a in artists if name is not None and key(a["artist_name"]) == name]
+                pairs += [(e, a) for a in found or [None]]
+        if pairs:
+            event, artist = min(pairs, key=order)
+            want[event_id] = (event["artist_mbid"] or (artist and artist["mbid"]), event["city"])
+
+    staged = staging.stg_events(frame(schemas.RAW_EVENTS, events), frame(schemas.RAW_ARTISTS, artists))
+    assert {r["concert_id"]: (r["artist_mbid"], r["city"]) for r in dicts(staged)} == want

@@ -1,13 +1,12 @@
 """Shared scratch space and small file-system helpers.
 
 Intermediate tables go to the folder the cluster names in `spark.checkpoint.dir`, so a
-lost executor (or a driver on another machine) can still read them. Only a session in
-local mode without that setting gets a folder on this machine.
+lost executor (or a driver on another machine) can still read them. A session without that
+setting uses a folder of its warehouse, which is as shared as its tables are.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from contextlib import contextmanager
 
@@ -16,13 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="tourlens-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:

@@ -5,14 +5,14 @@ class from the start. Similar documents are partitioned into groups, and the mat
 in which group's union. A document can only link into a group that holds enough of its
 tokens, so a group is opened, its members compared one by one, only if the overlap with its union reaches the bound.
 
-1. Every document gets its size, the hash of its set and its signature: the tokens that a partner must share at least
-   one of (the first n - needed + 1 in a global order, rare tokens first). The order comes from a sketch of
-   all documents' tokens with a fixed number of counters, so what is broadcast never grows.
-2. Partition: among documents with a signature token in common and of like size, each is compared with the
+1. Every document gets its size, the hash of its set and its signature: the first n - needed + SHARED tokens in a
+   global order, rare tokens first, of which a partner must have at least SHARED in its own (fewer in tiny sets). The
+   order comes from a sketch of all documents' tokens with a fixed number of counters, so what is broadcast never grows.
+2. Partition: among documents with signature tokens in common and of like size, each is compared with the
    smallest id it shares most tokens with; certified links tie near copies together into groups without
    ever listing their pairs. Large groups are split by a hash of the id, so that a union stays small.
-3. Matrix: signature tokens that occur in several groups give the candidates (document, foreign group).
-   Their overlap with the group's union is bounded; qualifying groups are opened, members compared exactly.
+3. Matrix: signature tokens that occur in several groups give the candidates (document, foreign group) with enough of
+   them in common. Their overlap with the group's union is bounded; qualifying groups are opened, members compared exactly.
 4. Components of all links. Links inside a group are implied by its certified ones.
 
 Work on hot tokens: documents that share one and are already in one group cost a row each.
@@ -40,6 +40,8 @@ from tourlens.llm.shingles import mixed, shingle_sets
 SKETCH_BITS, PIECES, LANES = 20, 64, 32
 #: Tokens of a group's union, about: larger groups are split.
 UNION_TOKENS = 50_000
+#: Signature tokens that linked sets have in common at least (as many as they need, if fewer).
+SHARED = 3
 
 
 def needed(n: np.ndarray | int, percent: int):
@@ -105,7 +107,8 @@ def _profiles(docs: DataFrame, k: int, percent: int, levels: np.ndarray) -> Data
                 doc = np.repeat(np.arange(len(n)), n)
                 order = np.lexsort((hashes, level[(hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], doc))
                 place = np.arange(len(hashes)) - offsets[:-1][doc]
-                first = place < (n - needed(n, percent) + 1)[doc]
+                must = needed(n, percent)
+                first = place < (n - must + np.minimum(must, SHARED))[doc]
                 lengths = np.bincount(doc[first], minlength=len(n))
                 signature = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), pa.array(hashes[order][first].view(np.int64))
@@ -118,16 +121,18 @@ def _profiles(docs: DataFrame, k: int, percent: int, levels: np.ndarray) -> Data
 
 
 def _sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """v, n and tokens of the documents named."""
+    """v and tokens of the documents named in a column id."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 hashes, offsets = shingle_sets(texts(part, "text"), k)
                 tokens = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(hashes.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(np.diff(offsets)), tokens], names=["v", "n", "tokens"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), tokens], names=["v", "tokens"])
 
-    return docs.join(ids, "id", "left_semi").mapInArrow(made, "v long, n long, tokens array<long>").where("n > 0")
+    named = written(ids.distinct(), "join-ids")
+    found = docs.join(named, "id", "left_semi").mapInArrow(made, "v long, tokens array<long>")
+    return written(found.where(F.size("tokens") > 0), "join-sets")
 
 
 def _shared(pairs: DataFrame, keep: str, percent: int) -> DataFrame:
@@ -164,45 +169,52 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def links(rows: DataFrame, profiles: DataFrame, k: int, percent: int) -> DataFrame:
     """Links that connect all linked documents: a, b. Rows of equal sets are one vertex, the smallest id."""
     classes = profiles.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("id").alias("v"), F.first("signature").alias("signature"))
-    band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent)))
-    postings = classes.where("v is not null").select("v", "n", F.explode("signature").alias("token"))
+    classes = written(classes.where("v is not null").select("v", "n", "signature"), "join-signatures")
+    postings = classes.select("v", "n", F.explode("signature").alias("token"))
     several = written(postings.groupBy("token").count().where("count > 1").select("token"), "join-tokens")
+    band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent)))
     postings = written(postings.join(several, "token").withColumn("band", band), "join-postings")
-    sets = written(_sets(rows, postings.select(F.col("v").alias("id")).distinct(), k), "join-sets")
+    enough = F.col("shared") >= F.least(F.ceil(F.col("n") * percent / 100), F.lit(SHARED))
 
     # Partition: the smallest id of a token and size, the one met most often, certified.
     stars = written(postings.groupBy("token", "band").agg(F.min("v").alias("star"), F.min_by("n", "v").alias("star_n")), "join-stars")
     met = postings.join(stars, ["token", "band"]).where("v <> star").where(_like(F.col("n"), F.col("star_n"), percent))
-    best = met.groupBy("v", "star").count().groupBy("v").agg(F.max_by("star", F.struct("count", -F.col("star"))).alias("star"))
-    certified = written(_verified(best.select(F.col("star").alias("a"), F.col("v").alias("b")), sets, percent), "join-certified")
+    met = met.groupBy("v", "n", "star").agg(F.count("*").alias("shared")).where(enough)
+    best = met.groupBy("v").agg(F.max_by("star", F.struct("shared", -F.col("star"))).alias("star"))
+    pairs = written(best.select(F.col("star").alias("a"), F.col("v").alias("b")), "join-pairs")
+    sets = _sets(rows, pairs.select(F.col("a").alias("id")).union(pairs.select("b")), k)
+    certified = written(_verified(pairs, sets, percent), "join-certified")
     groups = components(certified).select(F.col("vertex").alias("v"), F.col("component").alias("g"))
 
     # Matrix: which groups hold a token; groups are split so that a union has about UNION_TOKENS.
-    members = sets.select("v", "n").join(groups, "v", "left").withColumn("g", F.coalesce("g", "v"))
+    members = postings.select("v", "n").distinct().join(groups, "v", "left").withColumn("g", F.coalesce("g", "v"))
+    members = written(members, "join-grouped")
     weight = written(members.groupBy("g").agg(F.sum("n").alias("weight")), "join-weights")
     part = F.pmod(F.xxhash64("v"), F.ceil(F.col("weight") / UNION_TOKENS))
     members = written(members.join(weight, "g").select("v", "n", "g", part.alias("part")), "join-members")
     homes = members.groupBy("v").agg(F.min("g").alias("g"), F.min("part").alias("part"))
     placed = written(postings.join(homes, "v").select("token", "v", "n", "g", "part"), "join-placed")
-    crossing = placed.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high"), F.min("n").alias("least"), F.max("n").alias("most"))
+    crossing = placed.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high"))
     crossing = written(crossing.where("low < high").select("token"), "join-crossing")
-    open_rows = written(placed.join(crossing, "token", "left_semi"), "join-open")
+    crossed = written(placed.join(crossing, "token", "left_semi"), "join-crossed")
     matrix = written(
-        open_rows.groupBy("token", "g", "part").agg(F.min("n").alias("least"), F.max("n").alias("most")), "join-matrix"
+        crossed.groupBy("token", "g", "part").agg(F.min("n").alias("least"), F.max("n").alias("most")), "join-matrix"
     )
     asked = (
-        open_rows.alias("q")
+        crossed.alias("q")
         .join(matrix.alias("m"), "token")
         .where("m.g < q.g")
         .where((100 * F.col("q.n") >= percent * F.col("m.least")) & (100 * F.col("m.most") >= percent * F.col("q.n")))
-        .select(F.col("q.v").alias("a"), F.struct(F.col("m.g").alias("g"), F.col("m.part").alias("part")).alias("b"))
-        .distinct()
+        .groupBy(F.col("q.v").alias("a"), F.col("q.n").alias("n"), F.col("m.g").alias("g"), F.col("m.part").alias("part"))
+        .agg(F.count("*").alias("shared"))
+        .where(enough)
+        .select("a", F.struct("g", "part").alias("b"))
     )
     asked = written(asked, "join-asked")
-    wanted = asked.select("b.g", "b.part").distinct()
+    held = written(members.join(asked.select("b.*").distinct(), ["g", "part"], "left_semi"), "join-held")
+    sets = _sets(rows, asked.select(F.col("a").alias("id")).union(held.select("v")), k)
     unions = written(
-        members.join(wanted, ["g", "part"], "left_semi")
-        .join(sets.select("v", "tokens"), "v")
+        held.join(sets, "v")
         .groupBy("g", "part")
         .agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("y"))
         .select(F.struct("g", "part").alias("b"), "y"),
@@ -212,7 +224,7 @@ def links(rows: DataFrame, profiles: DataFrame, k: int, percent: int) -> DataFra
     qualifying = written(_shared(asked.join(left, "a").join(unions, "b"), "bound", percent), "join-qualifying")
     opened = (
         qualifying.select("a", "b.g", "b.part")
-        .join(members.select(F.col("v").alias("b"), F.col("n").alias("m"), "g", "part"), ["g", "part"])
+        .join(held.select(F.col("v").alias("b"), F.col("n").alias("m"), "g", "part"), ["g", "part"])
         .join(members.select(F.col("v").alias("a"), "n"), "a")
         .where(_like(F.col("n"), F.col("m"), percent))
         .select("a", "b")

@@ -24,6 +24,7 @@ of its equal sets (null if none has an id) and is compared with nothing. Only id
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -70,14 +71,14 @@ def _frequencies(docs: DataFrame, k: int) -> np.ndarray:
     def _piece(p: int, lane: int, counts: np.ndarray) -> pa.RecordBatch:
         low = np.minimum(counts, 2**32 - 1).astype("<u4")
         return pa.record_batch(
-            {"piece": pa.array([p], pa.int32()), "lane": pa.array([lane], pa.int32()), "counts": pa.array([low.tobytes()], pa.binary())}
+            {"piece": pa.array([p], pa.int32()), "lane": pa.array([lane], pa.int32()), "counts": pa.array([zlib.compress(low.tobytes(), 1)], pa.binary())}
         )
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
             for p, lane, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own = np.frombuffer(counts, "<u4").astype(np.int64)
+                own = np.frombuffer(zlib.decompress(counts), "<u4").astype(np.int64)
                 sums[p, lane] = sums[p, lane] + own if (p, lane) in sums else own
         for (p, lane), counts in sums.items():
             yield _piece(p, lane, counts)
@@ -87,7 +88,7 @@ def _frequencies(docs: DataFrame, k: int) -> np.ndarray:
     whole = parts.withColumn("lane", F.lit(0)).repartition(F.col("piece")).mapInArrow(added, schema)
     out = np.zeros(1 << SKETCH_BITS, np.int64)
     for p, _, counts in whole.collect():  # PIECES rows of a fixed size
-        out[p * piece : (p + 1) * piece] += np.frombuffer(counts, "<u4")
+        out[p * piece : (p + 1) * piece] += np.frombuffer(zlib.decompress(counts), "<u4")
     return np.minimum(8 * np.log2(1 + out), 255).astype(np.uint8)
 
 
@@ -163,54 +164,47 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links among pairs (a, b) of ids."""
     left = sets.select(F.col("v").alias("a"), F.col("tokens").alias("x"))
     right = sets.select(F.col("v").alias("b"), F.col("tokens").alias("y"))
-    return _shared(pairs.join(left, "a").join(right, "b"), "jaccard", percent).distinct()
+    return _shared(pairs.join(left, "a").join(right, "b"), "jaccard", percent)
 
 
-def links(rows: DataFrame, profiles: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links that connect all linked documents: a, b. Rows of equal sets are one vertex, the smallest id."""
-    classes = profiles.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("id").alias("v"), F.first("signature").alias("signature"))
-    classes = written(classes.where("v is not null").select("v", "n", "signature"), "join-signatures")
-    postings = classes.select("v", "n", F.explode("signature").alias("token"))
-    several = written(postings.groupBy("token").count().where("count > 1").select("token"), "join-tokens")
-    band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent)))
-    postings = written(postings.join(several, "token").withColumn("band", band), "join-postings")
-    enough = F.col("shared") >= F.least(F.ceil(F.col("n") * percent / 100), F.lit(SHARED))
-
-    # Partition: the smallest id of a token and size, the one met most often, certified.
+def _groups(rows: DataFrame, postings: DataFrame, k: int, percent: int) -> DataFrame:
+    """Groups of near copies by certified links, v and g: the smallest id of a token and size, the one met most often."""
     stars = written(postings.groupBy("token", "band").agg(F.min("v").alias("star"), F.min_by("n", "v").alias("star_n")), "join-stars")
     met = postings.join(stars, ["token", "band"]).where("v <> star").where(_like(F.col("n"), F.col("star_n"), percent))
-    met = met.groupBy("v", "n", "star").agg(F.count("*").alias("shared")).where(enough)
+    met = met.groupBy("v", "n", "star").agg(F.count("*").alias("shared")).where(_enough(percent))
     best = met.groupBy("v").agg(F.max_by("star", F.struct("shared", -F.col("star"))).alias("star"))
     pairs = written(best.select(F.col("star").alias("a"), F.col("v").alias("b")), "join-pairs")
     sets = _sets(rows, pairs.select(F.col("a").alias("id")).union(pairs.select("b")), k)
-    certified = written(_verified(pairs, sets, percent), "join-certified")
-    groups = components(certified).select(F.col("vertex").alias("v"), F.col("component").alias("g"))
+    certified = components(_verified(pairs, sets, percent))
+    return certified.select(F.col("vertex").alias("v"), F.col("component").alias("g"))
 
-    # Matrix: which groups hold a token; groups are split so that a union has about UNION_TOKENS.
+
+def _enough(percent: int) -> Column:
+    return F.col("shared") >= F.least(F.ceil(F.col("n") * percent / 100), F.lit(SHARED))
+
+
+def _links_between(rows: DataFrame, postings: DataFrame, groups: DataFrame, k: int, percent: int) -> DataFrame | None:
+    """Links between different groups by the matrix of tokens and groups: a, b; None without candidates."""
     members = postings.select("v", "n").distinct().join(groups, "v", "left").withColumn("g", F.coalesce("g", "v"))
     members = written(members, "join-grouped")
-    weight = written(members.groupBy("g").agg(F.sum("n").alias("weight")), "join-weights")
-    part = F.pmod(F.xxhash64("v"), F.ceil(F.col("weight") / UNION_TOKENS))
-    members = written(members.join(weight, "g").select("v", "n", "g", part.alias("part")), "join-members")
-    homes = members.groupBy("v").agg(F.min("g").alias("g"), F.min("part").alias("part"))
-    placed = written(postings.join(homes, "v").select("token", "v", "n", "g", "part"), "join-placed")
-    crossing = placed.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high"))
-    crossing = written(crossing.where("low < high").select("token"), "join-crossing")
-    crossed = written(placed.join(crossing, "token", "left_semi"), "join-crossed")
-    matrix = written(
-        crossed.groupBy("token", "g", "part").agg(F.min("n").alias("least"), F.max("n").alias("most")), "join-matrix"
-    )
+    heavy = members.groupBy("g").agg(F.sum("n").alias("weight")).where(F.col("weight") > UNION_TOKENS)
+    heavy = written(heavy, "join-heavy")
+    part = F.coalesce(F.pmod(F.xxhash64("v"), F.ceil(F.col("weight") / UNION_TOKENS)), F.lit(0))
+    members = written(members.join(heavy, "g", "left").select("v", "n", "g", part.alias("part")), "join-members")
+    placed = written(postings.join(members, ["v", "n"]).select("token", "v", "n", "g", "part"), "join-placed")
+    matrix = placed.groupBy("token", "g", "part").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    matrix = written(matrix.withColumnRenamed("g", "h").withColumnRenamed("part", "h_part"), "join-matrix")
     asked = (
-        crossed.alias("q")
-        .join(matrix.alias("m"), "token")
-        .where("m.g < q.g")
-        .where((100 * F.col("q.n") >= percent * F.col("m.least")) & (100 * F.col("m.most") >= percent * F.col("q.n")))
-        .groupBy(F.col("q.v").alias("a"), F.col("q.n").alias("n"), F.col("m.g").alias("g"), F.col("m.part").alias("part"))
+        placed.join(matrix, (placed["token"] == matrix["token"]) & (F.col("h") < F.col("g")))
+        .where((100 * F.col("n") >= percent * F.col("least")) & (100 * F.col("most") >= percent * F.col("n")))
+        .groupBy("v", "n", "h", "h_part")
         .agg(F.count("*").alias("shared"))
-        .where(enough)
-        .select("a", F.struct("g", "part").alias("b"))
+        .where(_enough(percent))
+        .select(F.col("v").alias("a"), F.struct(F.col("h").alias("g"), F.col("h_part").alias("part")).alias("b"))
     )
     asked = written(asked, "join-asked")
+    if asked.isEmpty():
+        return None
     held = written(members.join(asked.select("b.*").distinct(), ["g", "part"], "left_semi"), "join-held")
     sets = _sets(rows, asked.select(F.col("a").alias("id")).union(held.select("v")), k)
     unions = written(
@@ -230,22 +224,38 @@ def links(rows: DataFrame, profiles: DataFrame, k: int, percent: int) -> DataFra
         .select("a", "b")
         .distinct()
     )
-    found = written(_verified(opened, sets, percent), "join-found")
-    return certified.union(found)
+    return written(_verified(opened, sets, percent), "join-found")
+
+
+def linked_classes(rows: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """v and component of the classes (v, n, signature) that link with another."""
+    postings = classes.where("v is not null").select("v", "n", F.explode("signature").alias("token"))
+    several = written(postings.groupBy("token").count().where("count > 1").select("token"), "join-tokens")
+    band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent)))
+    postings = written(postings.join(several, "token").withColumn("band", band), "join-postings")
+    groups = _groups(rows, postings, k, percent)
+    found = _links_between(rows, postings, groups, k, percent)
+    if found is None:
+        return groups.select("v", F.col("g").alias("component"))
+    # Links between groups tie the groups: components of a graph whose vertices are groups.
+    for end in ("a", "b"):
+        found = found.join(groups.select(F.col("v").alias(end), F.col("g").alias(f"{end}_group")), end, "left")
+    found = found.select(F.coalesce("a_group", "a").alias("a"), F.coalesce("b_group", "b").alias("b"))
+    tied = components(found)
+    inside = groups.join(tied, groups["g"] == tied["vertex"], "left").select("v", F.coalesce("component", "g").alias("component"))
+    return inside.union(tied.join(groups, tied["vertex"] == groups["v"], "left_anti").select("vertex", "component"))
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 4, percent: int = 85) -> DataFrame:
     """A row per row: the id, n_shingles and component_id, the smallest id it is linked with."""
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     profiles = written(_profiles(rows, k, percent, _frequencies(rows.select("text"), k)), "join-profiles")
-    classes = written(
-        profiles.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("id").alias("v")), "join-classes"
-    )
-    found = components(links(rows, profiles, k, percent))
-    labels = written(
-        classes.join(found, classes["v"] == found["vertex"], "left").select("h1", "h2", "n", F.coalesce("component", "v").alias("component")),
-        "join-labels",
-    )
+    classes = profiles.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("id").alias("v"), F.first("signature").alias("signature"))
+    classes = written(classes, "join-classes")
+    found = linked_classes(rows, classes.select("v", "n", "signature"), k, percent)
+    found = written(found.groupBy("v").agg(F.min("component").alias("component")), "join-components")
+    labels = classes.select("h1", "h2", "n", "v").join(found, "v", "left")
+    labels = written(labels.select("h1", "h2", "n", F.coalesce("component", "v").alias("component")), "join-labels")
     return (
         profiles.select("id", "n", "h1", "h2")
         .join(labels, ["h1", "h2", "n"], "left")

@@ -12,7 +12,8 @@ tokens, so a group is opened, its members compared one by one, only if the overl
    smallest id it shares most tokens with; certified links tie near copies together into groups without
    ever listing their pairs. Large groups are split by a hash of the id, so that a union stays small.
 3. Matrix: signature tokens that occur in several groups give the candidates (document, foreign group) with enough of
-   them in common. Their overlap with the group's union is bounded; qualifying groups are opened, members compared exactly.
+   them in common. A link to any member ties two groups, so a few members are compared first; for what stays
+   apart, the overlap with the group's union is bounded; qualifying groups are opened, members compared exactly.
 4. Components of all links. Links inside a group are implied by its certified ones.
 
 Work on hot tokens: documents that share one and are already in one group cost a row each.
@@ -43,6 +44,8 @@ SKETCH_BITS, PIECES, LANES = 20, 64, 32
 UNION_TOKENS = 50_000
 #: Signature tokens that linked sets have in common at least (as many as they need, if fewer).
 SHARED = 3
+#: Members of a group that are compared before it is opened.
+FIRST = 4
 
 
 def needed(n: np.ndarray | int, percent: int):
@@ -192,30 +195,58 @@ def _links_between(rows: DataFrame, postings: DataFrame, groups: DataFrame, k: i
     part = F.coalesce(F.pmod(F.xxhash64("v"), F.ceil(F.col("weight") / UNION_TOKENS)), F.lit(0))
     members = written(members.join(heavy, "g", "left").select("v", "n", "g", part.alias("part")), "join-members")
     placed = written(postings.join(members, ["v", "n"]).select("token", "v", "n", "g", "part"), "join-placed")
-    matrix = placed.groupBy("token", "g", "part").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    matrix = placed.groupBy("token", "g", "part").agg(
+        F.min("n").alias("least"),
+        F.max("n").alias("most"),
+        *[F.min_by("v", F.xxhash64("v", F.lit(i))).alias(f"r{i}") for i in range(FIRST)],
+    )
     matrix = written(matrix.withColumnRenamed("g", "h").withColumnRenamed("part", "h_part"), "join-matrix")
     asked = (
         placed.join(matrix, (placed["token"] == matrix["token"]) & (F.col("h") < F.col("g")))
         .where((100 * F.col("n") >= percent * F.col("least")) & (100 * F.col("most") >= percent * F.col("n")))
-        .groupBy("v", "n", "h", "h_part")
-        .agg(F.count("*").alias("shared"))
+        .groupBy("v", "n", placed["g"], "h", "h_part")
+        .agg(F.count("*").alias("shared"), *[F.mode(f"r{i}").alias(f"r{i}") for i in range(FIRST)])
         .where(_enough(percent))
-        .select(F.col("v").alias("a"), F.struct(F.col("h").alias("g"), F.col("h_part").alias("part")).alias("b"))
+        .select(
+            F.col("v").alias("a"),
+            "g",
+            F.struct(F.col("h").alias("g"), F.col("h_part").alias("part")).alias("b"),
+            F.array_distinct(F.array(*[f"r{i}" for i in range(FIRST)])).alias("firsts"),
+        )
     )
     asked = written(asked, "join-asked")
     if asked.isEmpty():
         return None
     held = written(members.join(asked.select("b.*").distinct(), ["g", "part"], "left_semi"), "join-held")
     sets = _sets(rows, asked.select(F.col("a").alias("id")).union(held.select("v")), k)
+    # A link with any member ties the whole groups, so a few members are compared before a group is opened.
+    near = asked.select("a", F.explode("firsts").alias("b"))
+    sized = members.select("v", "n").distinct()
+    near = near.join(sized.toDF("a", "n"), "a").join(sized.toDF("b", "m"), "b").where(_like(F.col("n"), F.col("m"), percent))
+    tying = written(_verified(near.select("a", "b").distinct(), sets, percent), "join-tying")
+    homes = members.select("v", "g").distinct()
+    tied = tying.join(homes.toDF("a", "ga"), "a").join(homes.toDF("b", "gb"), "b").select(F.col("ga").alias("a"), F.col("gb").alias("b"))
+    tied = components(tied)
+    own, other = tied.toDF("g", "own"), tied.toDF("other", "theirs")
+    left_open = (
+        asked.join(own, "g", "left")
+        .join(other, F.col("b.g") == F.col("other"), "left")
+        .where(~(F.coalesce("own", "g") == F.coalesce("theirs", F.col("b.g"))))
+        .select("a", "b")
+    )
+    left_open = written(left_open, "join-left")
+    if left_open.isEmpty():
+        return tying
     unions = written(
-        held.join(sets, "v")
+        held.join(left_open.select("b.*").distinct(), ["g", "part"], "left_semi")
+        .join(sets, "v")
         .groupBy("g", "part")
         .agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("y"))
         .select(F.struct("g", "part").alias("b"), "y"),
         "join-unions",
     )
     left = sets.select(F.col("v").alias("a"), F.col("tokens").alias("x"))
-    qualifying = written(_shared(asked.join(left, "a").join(unions, "b"), "bound", percent), "join-qualifying")
+    qualifying = written(_shared(left_open.join(left, "a").join(unions, "b"), "bound", percent), "join-qualifying")
     opened = (
         qualifying.select("a", "b.g", "b.part")
         .join(held.select(F.col("v").alias("b"), F.col("n").alias("m"), "g", "part"), ["g", "part"])
@@ -224,7 +255,7 @@ def _links_between(rows: DataFrame, postings: DataFrame, groups: DataFrame, k: i
         .select("a", "b")
         .distinct()
     )
-    return written(_verified(opened, sets, percent), "join-found")
+    return tying.union(written(_verified(opened, sets, percent), "join-found"))
 
 
 def linked_classes(rows: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:

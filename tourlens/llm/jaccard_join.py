@@ -186,6 +186,27 @@ def _enough(percent: int) -> Column:
     return F.col("shared") >= F.least(F.ceil(F.col("n") * percent / 100), F.lit(SHARED))
 
 
+def _in_common(n: Column, least: Column, most: Column, percent: int) -> Column:
+    """Signature tokens that a set of n has in common with any partner of least to most tokens, at least.
+
+    Linked sets of n and m have percent / (100 + percent) of n + m in common. Of the one whose signature ends first, what
+    lies beyond the end is no more than the rest of that set; all else is in both signatures. The bound is lowest at an
+    end of the range; rounding can lower it by one in between.
+    """
+
+    def beyond(size: Column) -> Column:
+        must = F.ceil(size * percent / 100)
+        return must - F.least(must, F.lit(SHARED))
+
+    def bound(m: Column) -> Column:
+        return F.ceil((n + m) * percent / (100 + percent)) - F.greatest(beyond(n), beyond(m))
+
+    low = F.greatest(least, F.ceil(n * percent / 100))
+    high = F.least(most, F.floor(n * 100 / percent))
+    lowest = F.least(bound(low), bound(high))
+    return F.greatest(F.when(low == high, lowest).otherwise(lowest - 1), F.least(F.ceil(n * percent / 100), F.lit(SHARED)))
+
+
 def _links_between(rows: DataFrame, postings: DataFrame, groups: DataFrame, k: int, percent: int) -> DataFrame | None:
     """Links between different groups by the matrix of tokens and groups: a, b; None without candidates."""
     members = postings.select("v", "n").distinct().join(groups, "v", "left").withColumn("g", F.coalesce("g", "v"))
@@ -205,8 +226,13 @@ def _links_between(rows: DataFrame, postings: DataFrame, groups: DataFrame, k: i
         placed.join(matrix, (placed["token"] == matrix["token"]) & (F.col("h") < F.col("g")))
         .where((100 * F.col("n") >= percent * F.col("least")) & (100 * F.col("most") >= percent * F.col("n")))
         .groupBy("v", "n", placed["g"], "h", "h_part")
-        .agg(F.count("*").alias("shared"), *[F.mode(f"r{i}").alias(f"r{i}") for i in range(FIRST)])
-        .where(_enough(percent))
+        .agg(
+            F.count("*").alias("shared"),
+            F.min("least").alias("least"),
+            F.max("most").alias("most"),
+            *[F.mode(f"r{i}").alias(f"r{i}") for i in range(FIRST)],
+        )
+        .where(F.col("shared") >= _in_common(F.col("n"), F.col("least"), F.col("most"), percent))
         .select(
             F.col("v").alias("a"),
             "g",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +29,30 @@ def fold(key: Column, n: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % n, F.lit(0))
 
 
+#: Folders of tables written inside `distilled`, innermost last.
+_passing: list[list[str]] = []
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """`df` as a table in the shared folder: cuts the lineage, read again as often as needed."""
-    return workspace.settled(df, workspace.new_folder(df.sparkSession, purpose))
+    path = workspace.new_folder(df.sparkSession, purpose)
+    if _passing:
+        _passing[-1].append(path)
+    return workspace.settled(df, path)
+
+
+def distilled(spark: SparkSession, purpose: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """What `make` returns as a table; the tables written on the way to it are deleted."""
+    _passing.append([])
+    try:
+        path = workspace.new_folder(spark, purpose)
+        result = workspace.settled(make(), path)
+    finally:
+        for passed in _passing.pop():
+            workspace.delete(spark, passed)
+    if _passing:
+        _passing[-1].append(path)
+    return result
 
 
 def texts(batch: pa.RecordBatch, column: int | str) -> pa.Array:

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tourlens.llm.common import written
+from tourlens.llm.common import distilled, written
 
 #: Code points whose hash is the second level.
 PREFIX = 64
@@ -81,15 +81,14 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", prefi
 def drop_exact_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without later copies, all columns as they came.
 
-    Only repeated texts are looked up; the hash joins on the side, so no column can clash.
+    Only ids of copies are carried to the last join. An id with several texts goes if each is a copy; rows
+    without an id stay.
     """
-    groups = repeated_texts(docs, key, text)
-    gone = written(
-        docs.select(F.col(key).alias("_id"), full_hash(normalised(F.col(text))).alias("text_sha256"))
-        .join(groups, "text_sha256")
-        .where(~F.col("_id").eqNullSafe(F.col("keep_id")))
-        .select("_id", "text_sha256"),
-        "dedup-gone",
-    )
-    same = docs[key].eqNullSafe(gone["_id"]) & (full_hash(normalised(docs[text])) == gone["text_sha256"])
-    return docs.join(gone, same, "left_anti")
+
+    def copies() -> DataFrame:
+        copy = ~F.col(key).eqNullSafe(F.col("keep_id"))
+        ids = exact_groups(docs.select(key, text), key, text).groupBy(F.col(key).alias("_id"))
+        return ids.agg(F.min(copy).alias("all")).where("all").select("_id")
+
+    gone = distilled(docs.sparkSession, "dedup-gone", copies)
+    return docs.join(gone, docs[key] == gone["_id"], "left_anti")

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tourlens.llm.common import slices, texts, written
+from tourlens.llm.common import distilled, slices, texts, written
 from tourlens.llm.components import components
 from tourlens.llm.shingles import mixed, shingle_sets
 
@@ -309,8 +309,12 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     profiles = written(_profiles(rows, k, percent, _frequencies(rows.select("text"), k)), "join-profiles")
     classes = profiles.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("id").alias("v"), F.first("signature").alias("signature"))
     classes = written(classes, "join-classes")
-    found = linked_classes(rows, classes.select("v", "n", "signature"), k, percent)
-    found = written(found.groupBy("v").agg(F.min("component").alias("component")), "join-components")
+
+    def linked() -> DataFrame:
+        found = linked_classes(rows, classes.select("v", "n", "signature"), k, percent)
+        return found.groupBy("v").agg(F.min("component").alias("component"))
+
+    found = distilled(docs.sparkSession, "join-components", linked)
     labels = classes.select("h1", "h2", "n", "v").join(found, "v", "left")
     labels = written(labels.select("h1", "h2", "n", F.coalesce("component", "v").alias("component")), "join-labels")
     return (
@@ -322,6 +326,10 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
 def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component stays, the one with the smallest id; all columns as they came."""
-    found = jaccard_components(docs, key, text, k, percent)
-    gone = written(found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("_id")).distinct(), "join-gone")
+
+    def copies() -> DataFrame:
+        found = jaccard_components(docs, key, text, k, percent)
+        return found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("_id")).distinct()
+
+    gone = distilled(docs.sparkSession, "join-gone", copies)
     return docs.join(gone, docs[key] == gone["_id"], "left_anti")

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tourlens.llm.common import WORD, written
+from tourlens.llm.common import WORD, distilled, written
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
@@ -177,8 +177,12 @@ def allocation(
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The documents that the mix takes, with `copies`, how often; rows come once."""
-    takes = allocation(docs, key, text, source, **options).where("copies > 0")
-    takes = written(takes.groupBy("id", "digest").agg(F.max("copies").alias("_copies")), "mix-takes")
+
+    def taken() -> DataFrame:
+        takes = allocation(docs, key, text, source, **options).where("copies > 0")
+        return takes.groupBy("id", "digest").agg(F.max("copies").alias("_copies"))
+
+    takes = distilled(docs.sparkSession, "mix-takes", taken)
     rest = docs.drop("copies")
     same = rest[key].eqNullSafe(takes["id"]) & (
         F.md5(F.coalesce(rest[text], F.lit("")).cast("binary")) == takes["digest"]

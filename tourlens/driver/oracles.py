@@ -337,7 +337,7 @@ oracle(
     "evolution_snapshot",
     """SELECT * FROM freshness WHERE artist_name IS NOT NULL
        ORDER BY artist_name, concert_year, primary_genre NULLS FIRST, concert_count,
-                unique_songs, first_time_songs LIMIT 5000""",
+                unique_songs, first_time_songs""",
 )
 oracle(
     "artist_evolution",
@@ -462,7 +462,12 @@ oracle(
                    {r: 1, id: 'b' || p_partkey, name: p_name || ' ' || p_partkey || ' Band', tags: p_size % 7},
                    {r: 2, id: 'c' || p_partkey, name: CASE WHEN p_size % 3 = 0
                         THEN 'The ' || upper(p_name || ' ' || p_partkey) ELSE p_type END, tags: p_size % 12},
-                   {r: 3, id: 'd' || p_partkey, name: p_name, tags: p_size % 20}], recursive := true)
+                   {r: 3, id: 'd' || p_partkey, name: p_name, tags: p_size % 20},
+                   {r: 4, id: 'e' || p_partkey, name: p_type, tags: 0},
+                   {r: 5, id: 'f' || p_partkey, name: CASE WHEN p_size % 5 = 0
+                        THEN p_name || ' ' || p_partkey ELSE p_type END, tags: p_size % 12},
+                   {r: 6, id: 'g' || p_partkey, name: CASE WHEN p_size % 7 = 0
+                        THEN CAST(p_partkey AS VARCHAR) || '00' ELSE p_name END, tags: 40}], recursive := true)
         FROM part),
     keyed AS (SELECT *, regexp_replace(lower(name), '^the ', '') AS key, lower(full_name) AS wanted
               FROM results),
@@ -500,7 +505,7 @@ oracle(
     "new_setlist_artists",
     """SELECT mbid, c_name AS artist_name, primary_genre FROM resolved
        WHERE mbid IS NOT NULL
-         AND mbid NOT IN (SELECT artist_mbid FROM setlist_base WHERE tour_name = '1-URGENT')""",
+         AND mbid NOT IN (SELECT artist_mbid FROM setlist_base)""",
 )
 oracle(
     "dry_run_counts",
@@ -512,9 +517,7 @@ oracle(
      WHERE {_RECENT} AND artist_mbid IN (SELECT mbid FROM found WHERE reason IS NULL)
     UNION ALL
     SELECT 'musicbrainz_artists', count(*) FROM found WHERE mbid IS NOT NULL""",
-    most_active="""SELECT artist_name AS c_name FROM kept_events GROUP BY 1
-                   ORDER BY count(*) DESC, artist_name LIMIT 120""",
-    found="SELECT * FROM artists_judged WHERE c_name IN (SELECT c_name FROM most_active)",
+    found="SELECT * FROM artists_judged WHERE c_name IN (SELECT artist_name FROM kept_events)",
 )
 
 # --- checks -------------------------------------------------------------------------
@@ -522,8 +525,8 @@ oracle(
 oracle("future_rows", "SELECT count(*) AS invalid_rows FROM raw_events WHERE event_date > '2000-01-01'")
 _LATEST = {
     "ticketmaster_events": "SELECT max(extracted_at) FROM raw_events",
-    "setlistfm_setlists": "SELECT max(o_orderdate) FROM setlist_base WHERE tour_name = '1-URGENT'",
-    "musicbrainz_artists": "SELECT max(extracted_at) FROM raw_artists WHERE primary_genre = 'unsorted'",
+    "setlistfm_setlists": "SELECT max(o_orderdate) FROM setlist_base",
+    "musicbrainz_artists": "SELECT max(extracted_at) FROM raw_artists",
 }
 oracle(
     "source_freshness",

@@ -293,8 +293,7 @@ def artist_outcomes(g):
 @query
 def new_setlist_artists(g):
     artists = matching.artist_rows(_judged_artists(g), F.lit(LOADED_AT)).drop("extracted_at")
-    stored = g.raw_setlists().where("tour_name = '1-URGENT'")
-    return matching.without_setlists(artists, stored).select("mbid", "artist_name", "primary_genre")
+    return matching.without_setlists(artists, g.raw_setlists()).select("mbid", "artist_name", "primary_genre")
 
 
 @query
@@ -324,8 +323,8 @@ def future_rows(g):
 def source_freshness(g):
     raw = {
         "ticketmaster_events": g.raw_events(),
-        "setlistfm_setlists": g.raw_setlists().where("tour_name = '1-URGENT'"),
-        "musicbrainz_artists": g.raw_artists().where("primary_genre = 'unsorted'"),
+        "setlistfm_setlists": g.raw_setlists(),
+        "musicbrainz_artists": g.raw_artists(),
     }
     return readable(quality.freshness(raw, F.lit("2001-08-05").cast("timestamp")), "latest")
 

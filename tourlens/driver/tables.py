@@ -373,6 +373,9 @@ class Given:
             result("b", F.concat(full, F.lit(" Band")), size % 7),
             result("c", exact, size % 12),
             result("d", F.col("p_name"), size % 20),
+            result("e", F.col("p_type"), F.lit(0)),
+            result("f", F.when(size % 5 == 0, full).otherwise(F.col("p_type")), size % 12),
+            result("g", F.when(size % 7 == 0, F.concat(key, F.lit("00"))).otherwise(F.col("p_name")), F.lit(40)),
         )
         searched = F.when(size % 2 == 0, F.concat(full, F.lit(" (US Tour)"))).otherwise(full)
         return self.table("part").select(searched.alias("searched_name"), results.alias("artists"))

@@ -11,9 +11,8 @@ from tourlens.operators.keyed import best_per_key
 from tourlens.plans.core import ARTIST_TYPES
 from tourlens.sources.tables import with_columns_of
 
-# How many search results count, and when another result casts a shadow
-# over the match (long enough name, well enough known, clearly better known).
-RESULTS = 5
+# When another result casts a shadow over the match (long enough name, well
+# enough known, clearly better known).
 SHADOW_LETTERS = 4
 SHADOW_TAGS = 10
 SHADOW_LEAD = 3
@@ -25,12 +24,12 @@ CACHE_VERSION = 1
 def _candidates() -> Column:
     """The search results with rank, match key and number of tags.
 
-    A search holds at most five results, so matching runs inside each row: no result
-    table, self join or shuffle.
+    A search is one landed document, so matching runs inside each row, over all results it
+    holds: no result table, self join or shuffle.
     """
-    top = F.slice("artists", 1, RESULTS)
-    keys = text.normalise_names(F.transform(top, lambda a: a["name"]))
-    ranked = F.transform(top, lambda a, rank: F.struct(a.alias("record"), rank.alias("rank")))
+    results = F.col("artists")
+    keys = text.normalise_names(F.transform(results, lambda a: a["name"]))
+    ranked = F.transform(results, lambda a, rank: F.struct(a.alias("record"), rank.alias("rank")))
     return F.zip_with(
         ranked,
         keys,

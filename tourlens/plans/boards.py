@@ -15,10 +15,12 @@ from tourlens.functions.dates import moment
 from tourlens.plans.marts import upcoming
 
 # How many rows the tiles show, and the shows that make a year count.
-TOURING_ROWS, EVOLUTION_ROWS, PAIR_ROWS, LIVE_ROWS = 500, 5000, 5000, 500
+TOURING_ROWS, PAIR_ROWS, LIVE_ROWS = 500, 5000, 500
 TOP_ARTISTS, TOP_GENRES, RECENT = 15, 10, 20
 MIN_SHOWS = 5
 
+PAIR = ("artist_a", "artist_b", "shared_venues", "jaccard_similarity")
+
 
 def upcoming_date_range(fact: DataFrame, as_of: dt.date | Column | None = None) -> DataFrame:
     return upcoming(fact, as_of).agg(
@@ -45,8 +47,8 @@ def top_artists(touring: DataFrame, n: int = TOP_ARTISTS) -> DataFrame:
 
 
 def top_artists_by_country(touring: DataFrame, n: int = TOP_ARTISTS) -> DataFrame:
-    """Country split of the top artists; the top list has n rows, so it is broadcast."""
-    top = F.broadcast(top_artists(touring, n).select("artist_name"))
+    """Country split of the top artists."""
+    top = top_artists(touring, n).select("artist_name")
     return (
         touring.join(top, "artist_name", "left_semi")
         .groupBy("artist_name", "country")
@@ -64,19 +66,14 @@ def top_genres(touring: DataFrame, n: int = TOP_GENRES) -> DataFrame:
     )
 
 
-def evolution_snapshot(mart: DataFrame, n: int = EVOLUTION_ROWS) -> DataFrame:
-    """First rows of a setlist mart by artist and year."""
-    rest = [c for c in mart.columns if c not in ("artist_name", "concert_year")]
-    return (
-        mart.where(F.col("artist_name").isNotNull())
-        .orderBy("artist_name", "concert_year", *rest)
-        .limit(n)
-    )
+def evolution_snapshot(mart: DataFrame) -> DataFrame:
+    """A setlist mart by artist and year, whole."""
+    return mart.where(F.col("artist_name").isNotNull()).orderBy("artist_name", "concert_year")
 
 
 def top_pairs(edges: DataFrame, n: int = PAIR_ROWS) -> DataFrame:
     return (
-        edges.select("artist_a", "artist_b", "shared_venues", "jaccard_similarity")
+        edges.select(*PAIR)
         .orderBy(F.desc("jaccard_similarity"), "artist_a", "artist_b")
         .limit(n)
     )

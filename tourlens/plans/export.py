@@ -32,14 +32,14 @@ def normalise_dates(df: DataFrame) -> DataFrame:
 def snapshot_queries(
     table: Callable[[str], DataFrame], as_of: dt.date | Column | None = None
 ) -> dict[str, Callable[[], DataFrame]]:
-    """The six exported result sets; `table` reads a table by name."""
+    """The six exported result sets, whole; `table` reads a table by name."""
     return {
         "date_range": lambda: boards.upcoming_date_range(table("fact_concert"), as_of),
-        "touring_intensity": lambda: boards.top_touring_rows(table("mart_artist_touring_intensity")),
+        "touring_intensity": lambda: table("mart_artist_touring_intensity"),
         "repertoire": lambda: boards.evolution_snapshot(table("mart_artist_yearly_repertoire")),
         "freshness": lambda: boards.evolution_snapshot(table("mart_artist_setlist_freshness")),
-        "similarity": lambda: boards.top_pairs(table("spark_artist_similarity")),
-        "live_events": lambda: boards.live_snapshot(table("live_event_updates")),
+        "similarity": lambda: table("spark_artist_similarity").select(*boards.PAIR),
+        "live_events": lambda: table("live_event_updates"),
     }
 
 

@@ -15,8 +15,8 @@ from tourlens.operators.keyed import latest_per_key
 from tourlens.sources import landing, workspace
 from tourlens.sources.tables import RAW_TABLES, TABLES, TableStore
 
-# The modes, the tracked artists of the small one, how many artists the
-# large one follows, and its markets.
+# The modes, the tracked artists of the small one, how long the list of most
+# active artists is, and the markets.
 MODES = ("prototype", "production")
 TRACKED_ARTISTS = "Coldplay,Radiohead,Arctic Monkeys"
 MAX_ARTISTS = 120
@@ -29,15 +29,17 @@ def touring_candidates(events: DataFrame, max_artists: int = MAX_ARTISTS) -> Dat
     return top_touring(named, max_artists)
 
 
-def top_touring(events: DataFrame, max_artists: int = MAX_ARTISTS) -> DataFrame:
-    return (
+def top_touring(events: DataFrame, max_artists: int | None = None) -> DataFrame:
+    """Events by artist; the most active `max_artists` if a number is given, else all."""
+    counts = (
         events.select(text.strip(F.col("artist_name")).alias("artist_name"))
         .where("artist_name != ''")
         .groupBy("artist_name")
         .agg(F.count("*").alias("event_count"))
-        .orderBy(F.desc("event_count"), "artist_name")
-        .limit(max_artists)
     )
+    if max_artists is None:
+        return counts
+    return counts.orderBy(F.desc("event_count"), "artist_name").limit(max_artists)
 
 
 @dataclass(frozen=True)
@@ -86,7 +88,7 @@ def ingest(
     mode: str = "prototype",
     tracked: DataFrame | None = None,
     min_upcoming: int = landing.MIN_UPCOMING,
-    max_artists: int = MAX_ARTISTS,
+    max_artists: int | None = None,
     countries: Sequence[str] = COUNTRIES,
     as_of: dt.date | Column | None = None,
     extracted_at: dt.datetime | Column | None = None,
@@ -100,8 +102,8 @@ def ingest(
     each output. Use the result in a `with` block to drop them afterwards, unless
     `keep_scratch` leaves that to the cleaner of the folder.
 
-    `prototype` follows `tracked` (artist_name, position) in the first market only;
-    `production` the most active artists of all markets. With `stored_setlists`, artists
+    `prototype` follows `tracked` (artist_name, position), `production` all artists with events, or
+    the `max_artists` most active ones; both in the markets of `countries`. With `stored_setlists`, artists
     who have any stored setlist are skipped; the keyed merge makes that optional.
     """
     if mode not in MODES:
@@ -113,7 +115,7 @@ def ingest(
         event_pages,
         min_upcoming=min_upcoming,
         as_of=as_of,
-        countries=countries if production else countries[:1],
+        countries=countries,
         extracted_at=extracted_at,
     )
     scratch = workspace.new_folder(judged.sparkSession, "ingest")

@@ -69,11 +69,9 @@ def read_optional_table(spark: SparkSession, name: str) -> DataFrame | None:
     return spark.table(name) if spark.catalog.tableExists(name) else None
 
 
-def parameter_list(spark: SparkSession, text: str, name: str, first_only: bool = False) -> DataFrame:
+def parameter_list(spark: SparkSession, text: str, name: str) -> DataFrame:
     """'a, b,c' (quotes allowed) as rows (name, position). Bounded by the setting's length."""
     items = [i.strip() for i in text.strip('"').strip("'").split(",") if i.strip()]
-    if first_only:
-        items = items[:1]
     return spark.createDataFrame(
         [(item, rank) for rank, item in enumerate(items)], f"{name} STRING, position INT"
     )

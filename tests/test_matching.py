@@ -53,7 +53,7 @@ def test_matching_rules(frame):
         "Michael Jackson - Legacy": None,
         "Skye": "Skye Edwards",
         "Muse (US Tour)": "The Muse",
-        "Sixth": None,
+        "Sixth": "Sixth",
         "坂本": None,
         "Nobody": None,
         "Nothing": None,

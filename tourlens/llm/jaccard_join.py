@@ -12,7 +12,7 @@ tokens, so a group is opened, its members compared one by one, only if the overl
    smallest id it shares most tokens with; certified links tie near copies together into groups without
    ever listing their pairs. Large groups are split by a hash of the id, so that a union stays small.
 3. Matrix: signature tokens that occur in several groups give the candidates (document, foreign group) with enough of
-   them in common. A link to any member ties two groups, so a few members are compared first; for what stays
+   them in common, and few enough tokens before them that the other lacks. A link to any member ties two groups, so a few members are compared first; for what stays
    apart, the overlap with the group's union is bounded; qualifying groups are opened, members compared exactly.
 4. Components of all links. Links inside a group are implied by its certified ones.
 
@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tourlens.llm.common import distilled, slices, texts, written
@@ -207,6 +207,21 @@ def _in_common(n: Column, least: Column, most: Column, percent: int) -> Column:
     return F.greatest(F.when(low == high, lowest).otherwise(lowest - 1), F.least(F.ceil(n * percent / 100), F.lit(SHARED)))
 
 
+def _reaching(placed: DataFrame, percent: int) -> DataFrame:
+    """Signature tokens that occur in several groups, of documents with enough of them, and `reach`.
+
+    If two documents of different groups share a token, all that they share before it stands before it in both signatures,
+    so tokens of one group only that a document has before it are not shared. `reach` is the document's size without those: the most
+    that it can have in common with a document of another group that it shares this token with.
+    """
+    foreign = placed.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low < high").select("token")
+    own = Window.partitionBy("v")
+    before = F.row_number().over(own.orderBy("place")) - 1
+    left = placed.join(foreign, "token").withColumn("before", before).withColumn("shared", F.count("*").over(own))
+    reach = F.col("n") - (F.col("place") - F.col("before"))
+    return left.where(_enough(percent)).withColumn("reach", reach).drop("place", "before", "shared")
+
+
 def _links_between(rows: DataFrame, postings: DataFrame, groups: DataFrame, k: int, percent: int) -> DataFrame | None:
     """Links between different groups by the matrix of tokens and groups: a, b; None without candidates."""
     members = postings.select("v", "n").distinct().join(groups, "v", "left").withColumn("g", F.coalesce("g", "v"))
@@ -215,16 +230,20 @@ def _links_between(rows: DataFrame, postings: DataFrame, groups: DataFrame, k: i
     heavy = written(heavy, "join-heavy")
     part = F.coalesce(F.pmod(F.xxhash64("v"), F.ceil(F.col("weight") / UNION_TOKENS)), F.lit(0))
     members = written(members.join(heavy, "g", "left").select("v", "n", "g", part.alias("part")), "join-members")
-    placed = written(postings.join(members, ["v", "n"]).select("token", "v", "n", "g", "part"), "join-placed")
+    placed = written(postings.join(members, ["v", "n"]).select("token", "place", "v", "n", "g", "part"), "join-placed")
+    placed = written(_reaching(placed, percent), "join-reaching")
     matrix = placed.groupBy("token", "g", "part").agg(
         F.min("n").alias("least"),
         F.max("n").alias("most"),
+        F.max("reach").alias("h_reach"),
         *[F.min_by("v", F.xxhash64("v", F.lit(i))).alias(f"r{i}") for i in range(FIRST)],
     )
     matrix = written(matrix.withColumnRenamed("g", "h").withColumnRenamed("part", "h_part"), "join-matrix")
+    smallest = F.greatest("least", F.ceil(F.col("n") * percent / 100))
+    reached = (100 + percent) * F.least("reach", "h_reach") >= percent * (F.col("n") + smallest)
     asked = (
         placed.join(matrix, (placed["token"] == matrix["token"]) & (F.col("h") < F.col("g")))
-        .where((100 * F.col("n") >= percent * F.col("least")) & (100 * F.col("most") >= percent * F.col("n")))
+        .where((100 * F.col("n") >= percent * F.col("least")) & (100 * F.col("most") >= percent * F.col("n")) & reached)
         .groupBy("v", "n", placed["g"], "h", "h_part")
         .agg(
             F.count("*").alias("shared"),
@@ -286,7 +305,7 @@ def _links_between(rows: DataFrame, postings: DataFrame, groups: DataFrame, k: i
 
 def linked_classes(rows: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
     """v and component of the classes (v, n, signature) that link with another."""
-    postings = classes.where("v is not null").select("v", "n", F.explode("signature").alias("token"))
+    postings = classes.where("v is not null").select("v", "n", F.posexplode("signature").alias("place", "token"))
     several = written(postings.groupBy("token").count().where("count > 1").select("token"), "join-tokens")
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent)))
     postings = written(postings.join(several, "token").withColumn("band", band), "join-postings")

@@ -124,6 +124,16 @@ def test_unlinked_concerts_are_linked_later(frame, store):
     assert {r["concert_id"]: r["artist_id"] for r in dicts(linked)} == {"x": "m", "y": None}
 
 
+def test_a_load_takes_stored_concerts_again_only_if_they_link_now(frame, store):
+    rows = [concert("old", "unknown", T1, dt.date(2024, 1, 1)), concert("links", "m", T1), concert("none", None, T1)]
+    unified = frame(schemas.CONCERTS_UNIFIED, [*rows, concert("newest", None, T2, dt.date(2024, 8, 8))])
+    core.load_fact_concert(store, unified, frame(schemas.DIM_ARTIST, []), T3)
+    dim = frame(schemas.DIM_ARTIST, [{"artist_id": "m", "mbid": "m", "artist_name": "Muse"}])
+    again = {r["concert_id"]: r for r in dicts(core.load_fact_concert(store, unified, dim, T4))}
+    assert {i: r["artist_id"] for i, r in again.items()} == {"old": None, "links": "m", "none": None, "newest": None}
+    assert {i for i, r in again.items() if r["loaded_at"] == T4} == {"links", "newest"}
+
+
 def test_two_halves_equal_one_build(frame, store, spark, tmp_path):
     dim = frame(schemas.DIM_ARTIST, [{"artist_id": "m", "mbid": "m", "artist_name": "Muse"}])
     rows = [

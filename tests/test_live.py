@@ -63,6 +63,14 @@ def test_batch_form_spreads_one_hot_event(spark):
     assert new.where("is_new").count() == len(want)
 
 
+def test_batch_form_spreads_one_event_at_one_time(spark):
+    rows = spark.range(20_000, numPartitions=3).select(
+        F.lit("hot").alias("event_id"), F.lit(START).alias("observed_at"), F.format_string("n%05d", "id").alias("city")
+    )
+    new = live.flag_first_sightings(rows).where("is_new").collect()
+    assert [(r.event_id, r.city) for r in new] == [("hot", "n00000")]
+
+
 @pytest.fixture
 def pages(spark, tmp_path):
     events = [

@@ -181,10 +181,13 @@ def load_fact_concert(
         stored = store.read("fact_concert").select(
             "concert_id", F.col("artist_id").isNotNull().alias("_linked")
         )
+        known = dim.select(F.col("mbid").alias("_mbid"), F.lit(True).alias("_known"))
+        new = _since(store, "fact_concert") | F.col("_linked").isNull()
         rows = (
-            rows.join(stored, "concert_id", "left")
-            .where(_since(store, "fact_concert") | ~F.coalesce("_linked", F.lit(False)))
-            .drop("_linked")
+            lookup(rows.join(stored, "concert_id", "left"), F.col("artist_mbid"), known, "_mbid", F.coalesce("concert_id", F.lit("")))
+            # A stored concert without an artist is taken again only if it links now.
+            .where(new | (~F.col("_linked") & F.coalesce("_known", F.lit(False))))
+            .select(*rows.columns)
         )
     if removed is not None:
         rows = rows.join(removed, "concert_id", "left_anti")

@@ -29,13 +29,20 @@ FLUSH = "10 seconds"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 # Updates of one event in order of sighting; what follows the time only settles ties.
-SIGHTING_ORDER = ("observed_at", "event_status", "event_name", "artist_name", "venue_name")
-LANES = 32
+SIGHTING_ORDER = (
+    "observed_at", "event_status", "event_name", "artist_name", "venue_name", "event_date", "city", "country_code"
+)
+#: Lanes per task of a shuffle, so that lanes fill all tasks of any session about evenly.
+LANES_PER_TASK = 4
 
 # Messages carry times in ISO-8601, to the microsecond.
 MESSAGE_FORMAT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
+def _lanes(spark: SparkSession) -> int:
+    return LANES_PER_TASK * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 # --- producing ------------------------------------------------------------------
 
 
@@ -125,7 +132,7 @@ def first_seen(updates: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     task, and rows that need no state cost no group of their own.
     """
     updates.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    order, lanes = [c for c in SIGHTING_ORDER if c in updates.columns], LANES
+    order, lanes = [c for c in SIGHTING_ORDER if c in updates.columns], _lanes(updates.sparkSession)
 
     def nominate(batches):
         import numpy as np
@@ -159,7 +166,8 @@ def flag_first_sightings(updates: DataFrame) -> DataFrame:
     def rank(lane: str) -> Column:
         return F.row_number().over(Window.partitionBy("event_id", lane).orderBy(*order))
 
-    lane = (F.pmod(F.xxhash64("observed_at"), F.lit(LANES)) + 1).cast("int")
+    # Rows are dealt by their place, so updates of one event and one time spread too; the order settles which is first.
+    lane = (F.pmod(F.monotonically_increasing_id(), F.lit(_lanes(updates.sparkSession))) + 1).cast("int")
     nominated = updates.withColumn("_lane", lane).withColumn("_rank", rank("_lane"))
     return (
         nominated.withColumn("_lane", F.when(F.col("_rank") == 1, 0).otherwise(F.col("_lane")))

@@ -6,7 +6,29 @@ QUALIFY, counts are distinct counts over exploded rows, pairs come from a plain
 
 from __future__ import annotations
 
-from tourlens.functions.text import NON_ARTIST_PHRASES, WHITE_SPACE
+# The oracles state their constants themselves, so that a wrong value in the code under test shows.
+WHITE_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace()]
+
+# Phrases that mark a listing as something other than a touring artist.
+NON_ARTIST_PHRASES = (
+    r"\btribut\w*\b",
+    r"\bimpersonat\w*\b",
+    r"\bcirque\b",
+    r"\bon\s+ice\b",
+    r"\bday\s+out\s+with\b",
+    r"LIVE\s+[–—-]",
+    r"\bhologram\b",
+    r"\bthe\s+\w+\s+experience\b",
+    r"\bopry\b",
+    r"\bcelebrat\w*\b",
+    r"\bmusical\b",
+    r"\bbroadway\b",
+    r"\bspectacular\b",
+    r"\bresidency\b",
+    r"\blegacy\b",
+    r"\b(?:sounds?|songs?|music|echoes?|rumours?)\s+of\b",
+    r"\b(?:salute|homage)\s+to\b",
+)
 
 _BLANKS = " || ".join(f"chr({ord(c)})" for c in WHITE_SPACE)
 _BLANK_CLASS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITE_SPACE) + "]"

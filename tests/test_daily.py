@@ -117,6 +117,22 @@ def test_a_failing_check_stops_the_build(spark, tmp_path, frame):
     assert not store.exists("mart_artist_touring_intensity")
 
 
+def test_bad_raw_rows_leave_the_stored_core_untouched(spark, tmp_path, frame):
+    store = TableStore(spark, str(tmp_path / "store"))
+    good = {"event_id": "e", "artist_name": "A", "artist_mbid": "m", "country_code": "GB", "event_date": "2024-05-05", "extracted_at": NOW}
+    store.overwrite("ticketmaster_events", frame(schemas.RAW_EVENTS, [good]))
+    daily.run(store, None, AS_OF, NOW)
+    before = {t: store.current_path(t) for t in ("dim_artist", "fact_concert")}
+    rows = {t: sorted(store.read(t).collect()) for t in before}
+    assert len(rows["fact_concert"]) == 1
+    bad = good | {"event_id": "b", "artist_mbid": "n", "event_date": "someday"}
+    store.overwrite("ticketmaster_events", frame(schemas.RAW_EVENTS, [good | {"city": "moved"}, bad]))
+    with pytest.raises(CheckFailed, match=r"stg_events.event_date.not_null: 1$"):
+        daily.run(store, None, AS_OF, NOW)
+    assert {t: store.current_path(t) for t in before} == before
+    assert {t: sorted(store.read(t).collect()) for t in before} == rows
+
+
 def test_prototype_mode(spark, tmp_path, landed):
     store = TableStore(spark, str(tmp_path / "store"))
     tracked = parameter_list(spark, ingest.TRACKED_ARTISTS + ",Muse", "artist_name")

@@ -103,23 +103,29 @@ class Declared:
         return {f"{c}.not_null": F.col(c).isNull() for c in self.required} | dict(self.rows)
 
 
-def declared_rules(
-    raw: Mapping[str, DataFrame],
-    stg_events: DataFrame,
-    stg_setlists: DataFrame,
-    dim: DataFrame,
-    fact: DataFrame,
-    as_of: dt.date | Column | None = None,
-) -> dict[str, Declared]:
+def raw_rules(raw: Mapping[str, DataFrame]) -> dict[str, Declared]:
     return {
         "raw_events": Declared(raw["ticketmaster_events"], ["event_id"], ["event_id"]),
         "raw_setlists": Declared(raw["setlistfm_setlists"], ["setlist_id"], ["setlist_id"]),
         "raw_artists": Declared(raw["musicbrainz_artists"], ["mbid"]),
+    }
+
+
+def staging_rules(stg_events: DataFrame, stg_setlists: DataFrame) -> dict[str, Declared]:
+    return {
         "stg_events": Declared(stg_events, ["concert_id", "event_date", "country"], ["concert_id"]),
         "stg_setlists": Declared(
             stg_setlists, ["setlist_id", "event_date", "artist_name"], ["setlist_id"]
         ),
-        "dim_artist": Declared(dim, ["artist_id", "mbid", "artist_name"], ["artist_id", "mbid"]),
+    }
+
+
+def dim_rules(dim: DataFrame) -> dict[str, Declared]:
+    return {"dim_artist": Declared(dim, ["artist_id", "mbid", "artist_name"], ["artist_id", "mbid"])}
+
+
+def fact_rules(fact: DataFrame, as_of: dt.date | Column | None = None) -> dict[str, Declared]:
+    return {
         "fact_concert": Declared(
             fact,
             ["concert_id", "event_date"],
@@ -132,13 +138,30 @@ def declared_rules(
     }
 
 
+def declared_rules(
+    raw: Mapping[str, DataFrame],
+    stg_events: DataFrame,
+    stg_setlists: DataFrame,
+    dim: DataFrame,
+    fact: DataFrame,
+    as_of: dt.date | Column | None = None,
+) -> dict[str, Declared]:
+    staged = staging_rules(stg_events, stg_setlists)
+    return raw_rules(raw) | staged | dim_rules(dim) | fact_rules(fact, as_of)
+
+
+def dim_checks(raw: Mapping[str, DataFrame], dim: DataFrame) -> dict[str, DataFrame]:
+    return {"dim_artist.artist_type.invalid": invalid_artist_types(dim, raw["musicbrainz_artists"])}
+
+
+def fact_checks(dim: DataFrame, fact: DataFrame) -> dict[str, DataFrame]:
+    return {"fact_concert.artist_id.relationship": relationship(fact, "artist_id", dim, "artist_id")}
+
+
 def _across_tables(
     raw: Mapping[str, DataFrame], dim: DataFrame, fact: DataFrame
 ) -> dict[str, DataFrame]:
-    return {
-        "fact_concert.artist_id.relationship": relationship(fact, "artist_id", dim, "artist_id"),
-        "dim_artist.artist_type.invalid": invalid_artist_types(dim, raw["musicbrainz_artists"]),
-    }
+    return fact_checks(dim, fact) | dim_checks(raw, dim)
 
 
 def core_checks(
@@ -166,11 +189,19 @@ def core_report(
     as_of: dt.date | Column | None = None,
 ) -> DataFrame:
     """Violations of every declared check; all row rules of a table in one pass over it."""
-    counts, others = [], _across_tables(raw, dim, fact)
-    for table, rules in declared_rules(raw, stg_events, stg_setlists, dim, fact, as_of).items():
+    declared = declared_rules(raw, stg_events, stg_setlists, dim, fact, as_of)
+    return counted(declared, _across_tables(raw, dim, fact))
+
+
+def counted(
+    declared: Mapping[str, Declared], others: Mapping[str, DataFrame] | None = None
+) -> DataFrame:
+    """One row per check: all row rules of a table in one pass, then unique keys and `others`."""
+    counts, rest = [], dict(others or {})
+    for table, rules in declared.items():
         counts.append(count_violations(rules.df, table, rules.row_rules()))
-        others |= {f"{table}.{c}.unique": unique(rules.df, c) for c in rules.keys}
-    return _union([*counts, report(others)])
+        rest |= {f"{table}.{c}.unique": unique(rules.df, c) for c in rules.keys}
+    return _union([*counts, report(rest)] if rest else counts)
 
 
 def count_violations(df: DataFrame, table: str, rules: Mapping[str, Column]) -> DataFrame:
@@ -202,6 +233,13 @@ def gate(checks: Mapping[str, DataFrame]) -> None:
             raise CheckFailed(f"{name}: {example[0]}")
 
 
+def gate_report(checks: DataFrame) -> None:
+    """Stop the build if a counted check found violations; names all that did, in one job."""
+    failed = checks.where("violations > 0").orderBy("check_name").collect()  # a row per check
+    if failed:
+        raise CheckFailed(", ".join(f"{r.check_name}: {r.violations}" for r in failed))
+
+
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
     result = frames[0]
     for frame in frames[1:]:

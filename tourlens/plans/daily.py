@@ -1,4 +1,4 @@
-"""The daily build: ingest, check, model, check, marts, similarity."""
+"""The daily build: ingest, then dimension, fact, marts and similarity, each behind a check of what it reads."""
 
 from __future__ import annotations
 
@@ -28,16 +28,25 @@ def build_core(
     full_refresh: bool = False,
     drop_called_off: bool = False,
     strict_reference: bool = False,
+    as_of: dt.date | Column | None = None,
 ) -> None:
-    """Dimension, then fact, from the stored raw tables."""
+    """Dimension, then fact, from the stored raw tables; a failing check stops what follows it.
+
+    Raw and staged rows are checked before anything is merged, the dimension before the fact is, and
+    the fact before anybody builds on it. Each check is one job.
+    """
     raw = raw_tables(store)
+    staged = staged_concerts(raw)
+    quality.gate_report(quality.counted(quality.raw_rules(raw) | quality.staging_rules(*staged)))
     how = {"full_refresh": full_refresh, "strict_reference": strict_reference}
     dim = core.load_dim_artist(
         store, raw["musicbrainz_artists"], raw["ticketmaster_events"], loaded_at, **how
     )
-    unified = staging.concerts_unified(*staged_concerts(raw))
+    quality.gate_report(quality.counted(quality.dim_rules(dim), quality.dim_checks(raw, dim)))
+    unified = staging.concerts_unified(*staged)
     removed = core.called_off(raw["ticketmaster_events"]) if drop_called_off else None
-    core.load_fact_concert(store, unified, dim, loaded_at, removed=removed, **how)
+    fact = core.load_fact_concert(store, unified, dim, loaded_at, removed=removed, **how)
+    quality.gate_report(quality.counted(quality.fact_rules(fact, as_of), quality.fact_checks(dim, fact)))
 
 
 def checks(store: TableStore, as_of: dt.date | Column | None = None) -> dict[str, DataFrame]:
@@ -66,6 +75,5 @@ def run(
     """All stages in order; the first failing check stops what follows."""
     if ingested is not None:
         write_raw(store, ingested)
-    build_core(store, loaded_at, full_refresh)
-    quality.gate(checks(store, as_of))
+    build_core(store, loaded_at, full_refresh, as_of=as_of)
     build_marts(store, as_of)

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+from collections import Counter
 
 import brute
 import numpy as np
@@ -209,6 +210,37 @@ def test_code_lengths_equal_the_tree_walked_byte_by_byte():
     assert trees.code_lengths(pa.array([other], pa.large_string()))[0, 0] == pytest.approx(expected, rel=1e-5)
 
 
+def test_contexts_stay_long_with_many_languages_and_scripts():
+    rng = random.Random(4)
+    ranges = [(0x61, 0x7B), (0x3B1, 0x3CA), (0x430, 0x450), (0x5D0, 0x5EB), (0x10D0, 0x10F1), (0x4E00, 0x4F00)]
+    words = ["".join(chr(rng.randrange(*ranges[i % 6])) for _ in range(rng.randint(1, 6))) for i in range(240)]
+    counted, order = {}, language_id.ORDER
+    for i in range(24):
+        raw = language_id._prepared(pa.array([" ".join(rng.choices(words, k=80))], pa.large_string()), order)[0].as_py().encode()
+        counted[f"l{i:02}"] = dict(Counter(raw[k : k + order + 1] for k in range(len(raw) - order)))
+    trees = language_id.ContextTrees.fitted(counted, order)
+    assert trees.order == order == 3 and len({b for grams in counted.values() for g in grams for b in g}) >= 75
+
+    def cost(grams, context, byte):
+        seen = Counter()
+        for gram, n in grams.items():
+            if gram[order - len(context) : order] == context:
+                seen[gram[order]] += n
+        shorter = (lambda: cost(grams, context[1:], byte)) if context else (lambda: 8.0)
+        if not seen:
+            return shorter()
+        whole = sum(seen.values()) + len(seen)
+        return np.log2(whole / seen[byte]) if seen[byte] else np.log2(whole / len(seen)) + shorter()
+
+    others = [" ".join(rng.choices([*words, "zq\u0539"], k=4)) for _ in range(3)]
+    got = trees.code_lengths(pa.array(others, pa.large_string()))
+    for i, other in enumerate(others):
+        raw = language_id._prepared(pa.array([other], pa.large_string()), order)[0].as_py().encode()
+        for j in (0, 7, 23):
+            grams = counted[trees.languages[j]]
+            assert got[i, j] == pytest.approx(sum(cost(grams, raw[k : k + order], raw[k + order]) for k in range(len(raw) - order)), rel=1e-9)
+
+
 def test_alignment_equals_edit_distance():
     rng = random.Random(5)
     for _ in range(200):

@@ -4,9 +4,9 @@ Each language has a variable-order tree of byte contexts with counts from labell
 that its longest seen context has not met escapes to the next shorter one (escape estimate C: a
 context with D different bytes among T escapes with D / (T + D)), down to a uniform order below
 the shortest. Statistics are frozen after training, so a byte's code length given a context is a
-constant; trees are kept as one dense table of code lengths over the bytes that training met, all others
-being one novel symbol at the uniform cost. A text's code length under a language is the sum over
-its bytes, exact, by table lookups.
+constant; a tree keeps the contexts and bytes that its language's sample met, as sorted codes by order, so
+its size follows the sample and the order is the same for any alphabet and number of languages. A text's code
+length under a language is the sum over its bytes, exact, each distinct context and byte of a slice looked up once.
 
 Texts are lower-cased and every run of non-letters becomes one space, so markup and numbers do not
 vote. Training takes whole labelled texts, at most `per_language` of each language by the order of
@@ -35,9 +35,8 @@ from tourlens.llm.common import bytes_and_offsets, fold, slices, texts
 UNDETERMINED = "und"
 #: Labelled texts of a language that are learned at most.
 PER_LANGUAGE = 400
-#: Longest context in bytes, and cells the dense table may have (shorter contexts if it would not fit).
+#: Longest context in bytes.
 ORDER = 3
-CELLS = 1 << 23
 #: Rows whose id has this remainder are held out.
 FOLDS, HELD_OUT = 5, 0
 
@@ -49,61 +48,87 @@ def _prepared(array: pa.Array, order: int) -> pa.Array:
     return pc.binary_join_element_wise(pad, words, end, pa.scalar("", pa.large_string()))
 
 
+def _grams(raw: np.ndarray, order: int) -> np.ndarray:
+    """The code of the `order + 1` bytes from each place: a context and the byte after it."""
+    assert order <= 3, "contexts are coded in four bytes"
+    n = max(len(raw) - order, 0)
+    codes = np.zeros(n, np.uint32)
+    for k in range(order + 1):
+        codes = (codes << np.uint32(8)) | raw[k : n + k].astype(np.uint32)
+    return codes
+
+
+def _found(codes: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the wanted are among the sorted codes, and the places of those."""
+    at = np.searchsorted(codes, wanted)
+    there = at < len(codes)
+    there[there] = codes[at[there]] == wanted[there]
+    return there, at[there]
+
+
+@dataclass(frozen=True)
+class Level:
+    """What a language met at one length of context: sorted codes with their code lengths in bits."""
+
+    grams: np.ndarray  # a context and the byte after it
+    hit: np.ndarray
+    contexts: np.ndarray
+    escape: np.ndarray
+
+
 @dataclass(frozen=True)
 class ContextTrees:
-    """Frozen trees of all languages: code lengths in bits by context, byte and language."""
+    """Frozen trees of all languages: levels by length of context, shortest first."""
 
     languages: list[str]
     order: int
-    symbol: np.ndarray  # byte -> symbol; 0 is novel
-    bits: np.ndarray  # (symbols ** (order + 1), languages)
+    trees: list[list[Level]]
 
     @classmethod
-    def fitted(cls, counted: dict[str, dict[bytes, int]], order: int, cells: int = CELLS) -> ContextTrees:
+    def fitted(cls, counted: dict[str, dict[bytes, int]], order: int) -> ContextTrees:
         """From counts of `order + 1` bytes by language: a context and the byte after it."""
         languages = sorted(counted)
-        seen = sorted({b for grams in counted.values() for g in grams for b in g})
-        symbol = np.zeros(256, np.uint8 if len(seen) < 255 else np.uint16)
-        symbol[seen] = np.arange(1, len(seen) + 1)
-        n = len(seen) + 1
-        use = order
-        while use > 0 and n ** (use + 1) * max(len(languages), 1) > cells:
-            use -= 1
-        tables = []
+        trees = []
         for language in languages:
-            counts = np.zeros((n,) * (use + 1))
             grams = counted[language]
-            if grams:
-                at = symbol[np.frombuffer(b"".join(grams), np.uint8).reshape(len(grams), -1)[:, order - use :]]
-                np.add.at(counts, tuple(at.T), np.fromiter(grams.values(), float, len(grams)))
-            cost = np.full(n, 8.0)
-            for length in range(use + 1):
-                here = counts.sum(axis=tuple(range(use - length)))
-                total = here.sum(axis=-1, keepdims=True)
-                kinds = (here > 0).sum(axis=-1, keepdims=True)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    hit = np.log2(total + kinds) - np.log2(here)
-                    escape = np.log2(total + kinds) - np.log2(kinds)
-                    cost = np.where(total == 0, cost, np.where(here > 0, hit, escape + cost))
-            tables.append(cost.reshape(-1).astype(np.float32))
-        bits = np.stack(tables, axis=1) if tables else np.zeros((n ** (use + 1), 0), np.float32)
-        return cls(languages, use, symbol, bits)
+            codes = _grams(np.frombuffer(b"".join(grams), np.uint8), order)[:: order + 1]
+            times = np.fromiter(grams.values(), float, len(grams))
+            levels = []
+            for length in range(order + 1):
+                own, which = np.unique(codes & np.uint32((1 << 8 * (length + 1)) - 1), return_inverse=True)
+                here = np.bincount(which, times, len(own))
+                contexts, which = np.unique(own >> np.uint32(8), return_inverse=True)
+                kinds = np.bincount(which, minlength=len(contexts))
+                whole = np.log2(np.bincount(which, here, len(contexts)) + kinds)
+                levels.append(Level(own, whole[which] - np.log2(here), contexts, whole - np.log2(kinds)))
+            trees.append(levels)
+        return cls(languages, order, trees)
+
+    def _costs(self, levels: list[Level], grams: np.ndarray) -> np.ndarray:
+        """Bits of the last byte of each gram after the bytes before it."""
+        cost = np.zeros(len(grams))
+        left = np.arange(len(grams))
+        for length in range(self.order, -1, -1):
+            level, wanted = levels[length], grams[left] & np.uint32((1 << 8 * (length + 1)) - 1)
+            hit, at = _found(level.grams, wanted)
+            cost[left[hit]] += level.hit[at]
+            left, wanted = left[~hit], wanted[~hit]
+            escapes, at = _found(level.contexts, wanted >> np.uint32(8))
+            cost[left[escapes]] += level.escape[at]
+        cost[left] += 8.0
+        return cost
 
     def code_lengths(self, array: pa.Array) -> np.ndarray:
         """Bits of each prepared text under each language."""
-        prepared = _prepared(array, self.order)
-        raw, offsets = bytes_and_offsets(prepared)
-        coded = self.symbol[raw].astype(np.int64)
-        n = round(self.bits.shape[0] ** (1 / (self.order + 1)))
-        at = np.zeros(max(len(coded) - self.order, 0), np.int64)
-        for k in range(self.order + 1):
-            at = at * n + coded[k : len(coded) - self.order + k]
+        raw, offsets = bytes_and_offsets(_prepared(array, self.order))
+        coded = pa.array(_grams(raw, self.order)).dictionary_encode()
+        grams, which = coded.dictionary.to_numpy(), coded.indices.to_numpy()
         out = np.empty((len(array), len(self.languages)))
         # The last `order` positions of a text would reach into the next one: sums end before them.
         starts, ends = offsets[:-1], offsets[1:] - self.order
         bounds = np.stack([starts, ends], axis=1).reshape(-1)
-        for j in range(len(self.languages)):
-            cost = np.append(self.bits[at, j], np.float32(0)).astype(np.float64)
+        for j, levels in enumerate(self.trees):
+            cost = np.append(self._costs(levels, grams)[which], 0.0)
             out[:, j] = np.add.reduceat(cost, np.minimum(bounds, len(cost) - 1))[::2] if len(array) else 0
         return out
 
@@ -147,15 +172,12 @@ def train(
                     inside = np.ones(len(raw), bool)
                     for back in range(1, order + 1):
                         inside[np.maximum(offsets[1:] - back, 0)] = False
-                    at = np.zeros(len(raw) - order, np.uint32)
-                    for k in range(order + 1):
-                        at = (at << np.uint32(8)) | raw[k : len(raw) - order + k].astype(np.uint32)
+                    at = _grams(raw, order)
                     grams, n = np.unique(at[inside[: len(at)]], return_counts=True)
                     yield pa.record_batch(
                         {"label": pa.array([name] * len(grams), pa.string()), "gram": grams.astype(np.int64), "n": n}
                     )
 
-    assert order <= 3, "contexts are counted in four bytes"
     sample = labelled_sample(docs, key, text, label, per_language)
     counts = sample.mapInArrow(contexts, "label string, gram long, n long").groupBy("label", "gram").agg(F.sum("n"))
     # Bounded by the sample: languages times the contexts of per_language texts.

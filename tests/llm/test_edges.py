@@ -57,6 +57,25 @@ def test_pages(spark):
     assert html_extract.main_texts(spark.createDataFrame([], "page_id long, url string, html string"), model).count() == 0
 
 
+def test_pages_with_open_heads_and_empty_icons():
+    model = html_extract.trained()
+    article = "<article><h1>A title here</h1><p>" + "some words of the article " * 9 + "</p></article>"
+    expected = "A title here\n" + ("some words of the article " * 9).strip()
+    head = "<title>Of the page</title><meta charset=utf-8><link rel=x><script>var a = '<body>'</script><style>p {}</style>"
+    for source in (
+        f"<html><head>{head}</head><body>{article}</body></html>",
+        f"<html><head>{head}<body>{article}</body></html>",
+        f"<html><HEAD>\n{head}\n<!-- no body -->{article}</html>",
+        f"<head>{head}<template><p>not yet</p></template><body>{article}",
+        f'<body><div><svg class="icon" viewBox="0 0 1 1"/>{article}</div></body>',
+        f"<body><div><math />{article}</div></body>",
+        f"<body><div><svg><title/><style/><path d='M0'/>unseen</svg>{article}</div></body>",
+        f"<body><div><svg><title>unseen</title><g><path/></g></svg>{article}</div></body>",
+    ):
+        assert html_extract.extracted(source, model) == expected, source
+    assert ["".join(t for _, t in b) for b in html_extract.parsed("<head><title>t</title>plain words<p>more").blocks] == ["plain words", "more"]
+
+
 def test_quality(spark, docs, none):
     labels = spark.createDataFrame([(1, 1, 0), (1, 0, None), (6, None, 0), (None, 1, 0), (8, 0, 0), (7, 1, 1)], "doc_id long, quality int, toxic int")
     got = quality.quality(docs, labels).collect()

@@ -13,8 +13,8 @@ Output: character references decoded, white space inside a block one space, bloc
 joined by one newline. Markup, comments, scripts, styles and the like never count as text.
 
 Defined cases: a null or empty page gives an empty text. Broken markup is read as far as it goes: unclosed
-elements end with their parents, a tag cut off at the end of the page is dropped. Depth is unbounded (no
-recursion) and very long pages are read whole. Rows are handled one by one, so repeated rows, null ids and null urls
+elements end with their parents, an open head at the first thing that cannot stand in it; a self-closed svg or math is
+empty; a tag cut off at the end of the page is dropped. Depth is unbounded (no recursion) and very long pages are read whole. Rows are handled one by one, so repeated rows, null ids and null urls
 pass through; an empty table gives an empty result. Only the named columns are read.
 """
 
@@ -46,6 +46,9 @@ CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split()
 )
 SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+#: What can stand in a head; anything else ends it, as its end tag is optional.
+HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
+FOREIGN = frozenset(["svg", "math"])
 SCOPE = frozenset("html body article section div ul ol dl table main aside nav header footer form td th".split())
 
 _TOKEN = re.compile(
@@ -90,10 +93,12 @@ def parsed(source: str, labels: bool = False, root: int = 0) -> Page:
     page = Page()
     page.nodes.append(Node(-1, "#root", (), label=root))
     stack: list[tuple[str, int, bool]] = [("#root", 0, False)]  # tag, its node, unseen
-    links = unseen = at = 0
+    links = unseen = foreign = at = 0
     block: list[tuple[int, str]] = []
 
     def text(chunk: str) -> None:
+        if stack[-1][0] == "head" and chunk.strip():
+            close_to(len(stack) - 1)
         if unseen or not chunk:
             return
         node = stack[-1][1]
@@ -110,10 +115,11 @@ def parsed(source: str, labels: bool = False, root: int = 0) -> Page:
             block = []
 
     def close_to(depth: int) -> None:
-        nonlocal links, unseen
+        nonlocal links, unseen, foreign
         while len(stack) > depth:
             tag, _, hides = stack.pop()
             links -= tag == "a"
+            foreign -= tag in FOREIGN
             unseen -= hides
             if tag not in INLINE:
                 cut()
@@ -141,6 +147,8 @@ def parsed(source: str, labels: bool = False, root: int = 0) -> Page:
                 if tag in INLINE and stack[depth][0] in SCOPE or tag == "p" and stack[depth][0] in SCOPE:
                     break
             continue
+        if stack[-1][0] == "head" and tag not in HEAD:
+            close_to(len(stack) - 1)
         if tag == "br":
             text("\n")
             continue
@@ -175,10 +183,11 @@ def parsed(source: str, labels: bool = False, root: int = 0) -> Page:
         else:
             node = stack[-1][1]
         hides = tag in UNSEEN
-        if attributes.rstrip().endswith("/") and tag not in UNSEEN and not own:
+        if attributes.rstrip().endswith("/") and (foreign or tag in FOREIGN or tag not in UNSEEN and not own):
             continue
         stack.append((tag, node, hides))
         links += tag == "a"
+        foreign += tag in FOREIGN
         unseen += hides
         if tag in RAW:
             shut = re.compile(rf"</{tag}\s*>", re.I).search(source, at)

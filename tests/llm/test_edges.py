@@ -116,6 +116,28 @@ def test_decontamination(spark, docs, none, benchmark):
     assert decontaminate.contamination(none, benchmark).count() == 0
 
 
+def test_decontamination_of_partial_and_reworded_quotes(spark):
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(400)]
+    items = [words[:29], words[100:140], words[200:212], words[250:310]]
+    other = words[320:]
+    reworded = [*items[0][:4], "zzzzzz", *items[0][5:14], "yyyyyy", *items[0][15:24], "xxxxxx", *items[0][25:]]
+    told = [
+        [*other[:9], *items[1][3:37], *other[9:]],  # 85 % word for word
+        [*other[:9], *reworded, *other[9:]],
+        [*other[:9], *items[1][:12], *other[9:]],  # too short a quote
+        [*other[:9], *items[3][20:40], "zzzzzz", *items[3][40:46], *other[9:]],  # a passage with a word put in
+        [*other[:9], *items[2][:5], "zzzzzz", *items[2][6:], *other[9:]],
+        other,
+        [*reversed(items[0])],
+    ]
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    rows = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(told)], "doc_id long, text string")
+    got = {r.doc_id: r.items for r in decontaminate.contamination(rows, bench).collect()}
+    assert got == {0: [1], 1: [0], 2: [], 3: [3], 4: [2], 5: [], 6: []}
+    assert sorted(r.doc_id for r in decontaminate.decontaminated(rows, bench).collect()) == [2, 5, 6]
+
+
 def test_spans(spark, docs, none):
     chains, forest = secrets.train(docs), pii.train(spark)
     assert {r.spans for r in secrets.scan(docs, chains).collect()} == {""}

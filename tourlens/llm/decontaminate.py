@@ -6,6 +6,11 @@ of each other. Shared q-grams are counted in bands of 2 w diagonals that start e
 that each such region lies whole in one band; bands that meet the bound are kept and verified by an alignment
 of the item that stays inside the band. k is `rate` of the item's length, lowered where the bound would be empty.
 
+The same lemma and alignment run over words, for partial and reworded quotes: an item is also contained where any
+PASSAGE of its words in a row, or the whole of an item shorter than two passages, occurs with edits of at most
+WORD_RATE of the words. Word q-grams are rarer than those of bytes, so q is small and the edit rate large.
+Words are runs of letters, marks and digits; in scripts without spaces between words, bytes alone decide on parts of a sentence.
+
 Texts and items are compared in lower case with white space as single spaces.
 The items are the fixed query set: each task holds their q-grams (the benchmark's size, not the corpus's),
 checked against `MOST_BYTES`; beyond it, the items are dealt to several passes over the documents, none dropped.
@@ -38,6 +43,10 @@ RATE = 0.08
 #: Bytes of items that a task holds at once.
 MOST_BYTES = 16 << 20
 
+#: Words of a q-gram, words of a passage, and edits allowed per word.
+WORD_Q, PASSAGE = 3, 25
+WORD_RATE = 0.2
+
 _TABLE_BITS = 22
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -57,9 +66,24 @@ def _codes(raw: np.ndarray) -> np.ndarray:
     return (low * _FACTOR) ^ (high * np.uint64(0xC2B2AE3D27D4EB4F) + (high >> np.uint64(29)))
 
 
-def edit_budget(length: int, rate: float = RATE) -> int:
+def edit_budget(length: int, rate: float = RATE, q: int = Q) -> int:
     """The most edits that leave the lemma a bound of at least one shared q-gram."""
-    return max(0, min(int(rate * length), (length - Q) // Q))
+    return max(0, min(int(rate * length), (length - q) // q))
+
+
+def words(array: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts in a row, and where each text begins and ends."""
+    spaced = pc.utf8_trim(pc.replace_substring_regex(pc.utf8_lower(array), r"[^\p{L}\p{M}\p{N}]+", " "), " ")
+    split = pc.split_pattern(spaced, " ")
+    flat, offsets = split.flatten(), split.offsets.to_numpy().astype(np.int64)
+    real = pc.not_equal(flat, "")  # a text without words is split into one empty word
+    before = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
+    return flat.filter(real), before[offsets - offsets[0]]
+
+
+def _expanded(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers from each first on, as many as its count."""
+    return np.repeat(first, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
 
 
 def aligned(item: np.ndarray, text: np.ndarray, low: int, high: int, budget: int) -> bool:
@@ -67,7 +91,7 @@ def aligned(item: np.ndarray, text: np.ndarray, low: int, high: int, budget: int
     width = high - low + 1
     base = np.arange(width)
     shift = width + max(-low, 0)  # padded[shift + j] is text[j]; no byte equals the padding
-    padded = np.full(shift + len(text) + len(item) + max(high, 0) + width + 2, -1, np.int16)
+    padded = np.full(shift + len(text) + len(item) + max(high, 0) + width + 2, -1, np.int32)
     padded[shift : shift + len(text)] = text
     valid = np.full(len(padded) + 1, 10**6)
     valid[shift : shift + len(text) + 1] = 0
@@ -85,6 +109,95 @@ def aligned(item: np.ndarray, text: np.ndarray, low: int, high: int, budget: int
     return bool(cost.min() <= budget)
 
 
+@dataclass(frozen=True)
+class Passages:
+    """The word q-grams of the items, by code, with item and place."""
+
+    vocabulary: pa.Array
+    items: list[np.ndarray]  # places in the vocabulary, from 1
+    codes: np.ndarray
+    item: np.ndarray
+    place: np.ndarray
+
+    @classmethod
+    def of(cls, contents: list[str]) -> Passages:
+        flat, offsets = words(pa.array(contents, pa.large_string()))
+        coded = flat.dictionary_encode()
+        numbers = coded.indices.to_numpy().astype(np.int64) + 1
+        at, item, codes = cls._grams(numbers, offsets)
+        order = np.argsort(codes, kind="stable")
+        items = [numbers[a:b] for a, b in zip(offsets, offsets[1:], strict=False)]
+        return cls(coded.dictionary, items, codes[order], item[order], (at - offsets[item])[order])
+
+    @staticmethod
+    def _grams(numbers: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places, texts and codes of the q-grams of known words that lie in one text."""
+        n = max(len(numbers) - WORD_Q + 1, 0)
+        known = np.ones(n, bool)
+        for k in range(WORD_Q):
+            known &= numbers[k : n + k] > 0
+        at = np.flatnonzero(known)
+        text = np.searchsorted(offsets, at, "right") - 1
+        whole = at + WORD_Q <= offsets[text + 1]
+        at, text = at[whole], text[whole]
+        codes = np.zeros(len(at), np.uint64)
+        for k in range(WORD_Q):
+            codes = codes * _FACTOR + numbers[at + k].astype(np.uint64)
+        return at, text, codes
+
+    @staticmethod
+    def parts(length: int) -> list[tuple[int, int, int]]:
+        """Words, most edits and least q-grams of the kinds of passages of an item of so many words."""
+        sizes = [length] * (length < 2 * PASSAGE) + [PASSAGE] * (length > PASSAGE)
+        budgets = [edit_budget(n, WORD_RATE, WORD_Q) for n in sizes]
+        return [(n, k, n + 1 - WORD_Q * (k + 1)) for n, k in zip(sizes, budgets, strict=True)]
+
+    def found(self, array: pa.Array) -> list[set[int]]:
+        """For each text, the items of which it has a passage."""
+        out: list[set[int]] = [set() for _ in range(len(array))]
+        flat, offsets = words(array)
+        numbers = pc.fill_null(pc.index_in(flat, self.vocabulary), -1).to_numpy().astype(np.int64) + 1
+        at, doc, codes = self._grams(numbers, offsets)
+        first = np.searchsorted(self.codes, codes, "left")
+        count = np.searchsorted(self.codes, codes, "right") - first
+        which = _expanded(first, count)
+        item, place, at, doc = self.item[which], self.place[which], np.repeat(at, count), np.repeat(doc, count)
+        if not len(item):
+            return out
+        # Passages of an item share its bands, which are as wide as the largest budget of any asks.
+        met_items, back = np.unique(item, return_inverse=True)
+        lengths = [len(self.items[i]) for i in met_items.tolist()]
+        kinds = {n: self.parts(n) for n in set(lengths)}
+        most = np.array([max(k for _, k, _ in kinds[n]) for n in lengths])
+        least = np.array([min(need for _, _, need in kinds[n]) for n in lengths])
+        band = np.floor_divide(at - offsets[doc] - place, most[back] + 1)
+        low = int(band.min()) - 1
+        bands = int(band.max()) - low + 1
+        key = (doc * len(met_items) + back) * bands + band - low
+        met = np.unique(np.concatenate([key, key - 1]), return_counts=True)
+        order = np.argsort(key, kind="stable")
+        key, place = key[order], place[order]
+        for one in met[0][met[1] >= least[met[0] // bands % len(met_items)]].tolist():
+            d, own, b = one // bands // len(met_items), one // bands % len(met_items), one % bands + low
+            i, k = int(met_items[own]), int(most[own])
+            if i in out[d]:
+                continue
+            held = np.zeros(lengths[own] + 1, np.int64)
+            held[place[np.searchsorted(key, one, "left") : np.searchsorted(key, one + 1, "right")] + 1] = 1
+            held = np.cumsum(held)
+            for n, budget, need in kinds[lengths[own]]:
+                for begin in np.flatnonzero(held[n - WORD_Q + 1 : lengths[own] - WORD_Q + 2] - held[: lengths[own] - n + 1] >= need).tolist():
+                    start, last = begin + b * (k + 1) - k, begin + (b + 2) * (k + 1) - 1 + k
+                    from_ = max(start, 0)
+                    window = numbers[offsets[d] + from_ : min(offsets[d] + max(last + n + 1, 0), offsets[d + 1])]
+                    if aligned(self.items[i][begin : begin + n], window, start - from_, last - from_, budget):
+                        out[d].add(i)
+                        break
+                if i in out[d]:
+                    break
+        return out
+
+
 @dataclass(frozen=True)
 class Items:
     """The q-grams of the items, by code, with item and place; short items as they are."""
@@ -96,6 +209,7 @@ class Items:
     item: np.ndarray
     place: np.ndarray
     table: np.ndarray
+    passages: Passages
 
     @classmethod
     def of(cls, rows: list[tuple], rate: float = RATE) -> Items:
@@ -112,10 +226,15 @@ class Items:
         order = np.argsort(flat, kind="stable")
         table = np.zeros(1 << _TABLE_BITS, bool)
         table[(flat >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)] = True
-        return cls([n for n, _ in rows], contents, rate, flat[order], np.concatenate(item)[order], np.concatenate(place)[order], table)
+        return cls([n for n, _ in rows], contents, rate, flat[order], np.concatenate(item)[order], np.concatenate(place)[order], table, Passages.of(stripped.to_pylist()))
+
+    def contained(self, array: pa.Array) -> list[list[int]]:
+        """For each text, the items it contains, whole or by a passage."""
+        both = zip(self.found(array), self.passages.found(array), strict=True)
+        return [sorted(whole.keys() | part) for whole, part in both]
 
     def found(self, array: pa.Array) -> list[dict[int, int]]:
-        """For each text, the items it contains and the place (byte of the canonical text) of one occurrence."""
+        """For each text, the items it contains whole and the place (byte of the canonical text) of one occurrence."""
         out: list[dict[int, int]] = [{} for _ in range(len(array))]
         raw, offsets = bytes_and_offsets(canonical(array))
         for i, content in enumerate(self.texts):
@@ -129,7 +248,7 @@ class Items:
         doc = np.searchsorted(offsets, at, "right") - 1
         whole = at + Q <= offsets[doc + 1]  # q-grams across two texts are none
         at, first, count, doc = at[whole], first[whole], count[whole], doc[whole]
-        which = np.repeat(first, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        which = _expanded(first, count)
         item, place = self.item[which], self.place[which]
         at, doc = np.repeat(at, count), np.repeat(doc, count)
         diagonal = at - offsets[doc] - place
@@ -195,7 +314,7 @@ def contamination(
             for part in slices(batch, "text"):
                 names: list[list] = [[] for _ in range(part.num_rows)]
                 for items in shared.value:
-                    for own, found in zip(names, items.found(texts(part, "text")), strict=True):
+                    for own, found in zip(names, items.contained(texts(part, "text")), strict=True):
                         own += [items.names[i] for i in found]
                 names = [sorted(x for x in own if x is not None) for own in names]
                 yield pa.RecordBatch.from_arrays(
@@ -216,7 +335,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", it
             for part in slices(batch, text):
                 clean = np.ones(part.num_rows, bool)
                 for items in shared.value:
-                    clean &= np.array([not x for x in items.found(texts(part, text))], bool)
+                    clean &= np.array([not x for x in items.contained(texts(part, text))], bool)
                 yield part.filter(pa.array(clean))
 
     return docs.mapInArrow(kept, T.StructType(docs.schema.fields))

@@ -138,6 +138,28 @@ def test_decontamination_of_partial_and_reworded_quotes(spark):
     assert sorted(r.doc_id for r in decontaminate.decontaminated(rows, bench).collect()) == [2, 5, 6]
 
 
+def test_decontamination_holds_one_group_of_items_at_a_time(spark, docs, benchmark, monkeypatch):
+    more = benchmark.unionAll(spark.createDataFrame([(5, "jumps over the lazy dog"), (6, "word1 word2 word3 word4"), (None, "brown fox jumps")], "item_id long, text string"))
+    whole = sorted(decontaminate.contamination(docs, more).collect(), key=str)
+    kept = sorted(map(str, decontaminate.decontaminated(docs, more).collect()))
+    held, of = [], decontaminate.Items.of
+
+    def noted(rows, *rest):
+        assert len(held) == len(gone)  # the group before is gone
+        held.append(sum(len(text) for _, text in rows))
+        return of(rows, *rest)
+
+    gone, destroy = [], decontaminate.Broadcast.destroy
+    monkeypatch.setattr(decontaminate.Broadcast, "destroy", lambda self, *a: (gone.append(1), destroy(self, *a)))
+    monkeypatch.setattr(decontaminate, "MOST_BYTES", 45)
+    monkeypatch.setattr(decontaminate.Items, "of", noted)
+    assert sorted(decontaminate.contamination(docs, more).collect(), key=str) == whole
+    assert len(held) > 2 and max(held) <= 45
+    held.clear(), gone.clear()
+    assert sorted(map(str, decontaminate.decontaminated(docs, more).collect())) == kept
+    assert len(held) > 2 and max(held) <= 45
+
+
 def test_spans(spark, docs, none):
     chains, forest = secrets.train(docs), pii.train(spark)
     assert {r.spans for r in secrets.scan(docs, chains).collect()} == {""}

@@ -12,8 +12,9 @@ WORD_RATE of the words. Word q-grams are rarer than those of bytes, so q is smal
 Words are runs of letters, marks and digits; in scripts without spaces between words, bytes alone decide on parts of a sentence.
 
 Texts and items are compared in lower case with white space as single spaces.
-The items are the fixed query set: each task holds their q-grams (the benchmark's size, not the corpus's),
-checked against `MOST_BYTES`; beyond it, the items are dealt to several passes over the documents, none dropped.
+The items are the fixed query set, dealt to groups of at most `MOST_BYTES` (a longer item is a group of its own). Driver
+and tasks hold the q-grams of one group at a time: each group is one pass over the documents, whose result is
+written to the shared folder before the next group is read. A benchmark of one group is not written in between.
 Documents are read in slices, one by one, with no shuffle.
 
 Defined cases: null and empty texts contain nothing. Null or empty items are contained nowhere; items
@@ -24,23 +25,24 @@ Columns of documents are kept by `decontaminated`; only id and text are read oth
 
 from __future__ import annotations
 
-from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tourlens.llm.common import bytes_and_offsets, slices, texts
+from tourlens.sources import workspace
 
 Q = 10
 #: Edits allowed per byte of an item.
 RATE = 0.08
-#: Bytes of items that a task holds at once.
+#: Bytes of items that the driver or a task holds at once.
 MOST_BYTES = 16 << 20
 
 #: Words of a q-gram, words of a passage, and edits allowed per word.
@@ -288,54 +290,73 @@ class Items:
                 out[d].setdefault(i, int(at - offsets[d]))
 
 
-def _passes(benchmark: DataFrame, key: str, text: str, rate: float) -> list[Items]:
+def _groups(benchmark: DataFrame, key: str, text: str) -> Iterator[list[tuple]]:
     """The items in groups of at most MOST_BYTES, each for one pass over the documents."""
-    groups, size = defaultdict(list), 0
+    group, size = [], 0
     rows = benchmark.select(key, text).where(F.col(text).isNotNull()).orderBy(key, text)
     for name, content in rows.toLocalIterator():
-        size += len(content.encode())
-        groups[size // MOST_BYTES].append((name, content))
-    return [Items.of(group, rate) for group in groups.values()]
+        more = len(content.encode())
+        if group and size + more > MOST_BYTES:
+            yield group
+            group, size = [], 0
+        group.append((name, content))
+        size += more
+    yield group
+
+
+def _in_passes(docs: DataFrame, groups: Iterator[list[tuple]], rate: float, one: Callable[[DataFrame, Broadcast, bool], DataFrame]) -> DataFrame:
+    """`one` applied to the documents with each group's items in turn; all results but the last are written first."""
+    spark, group, before = docs.sparkSession, next(groups), None
+    while True:
+        shared = spark.sparkContext.broadcast(Items.of(group, rate))
+        group = next(groups, None)
+        docs = one(docs, shared, group is None)
+        if group is None:
+            return docs
+        path = workspace.new_folder(spark, "decontamination-pass")
+        docs = workspace.settled(docs, path)
+        shared.destroy()
+        if before:
+            workspace.delete(spark, before)
+        before = path
 
 
 def contamination(
     docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", rate: float = RATE
 ) -> DataFrame:
     """A row per row: id, contaminated, items (ids of the items it contains, ascending), n_items."""
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    passes = _passes(benchmark, item, item_text, rate)
-    shared = docs.sparkSession.sparkContext.broadcast(passes)
     kind = benchmark.schema[item].dataType.simpleString()
     arrow = pa.int64() if kind in ("bigint", "int", "smallint", "tinyint") else pa.string()
     kind = "bigint" if arrow == pa.int64() else "string"
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.array().cast(f"array<{kind}>").alias("items"))
 
-    def looked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                names: list[list] = [[] for _ in range(part.num_rows)]
-                for items in shared.value:
-                    for own, found in zip(names, items.contained(texts(part, "text")), strict=True):
-                        own += [items.names[i] for i in found]
-                names = [sorted(x for x in own if x is not None) for own in names]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([bool(x) for x in names], pa.bool_()), pa.array(names, pa.list_(arrow)), pa.array(map(len, names), pa.int32())],
-                    names=["doc_id", "contaminated", "items", "n_items"],
-                )
+    def one(rows: DataFrame, shared: Broadcast, last: bool) -> DataFrame:
+        def looked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            items = shared.value
+            for batch in batches:
+                for part in slices(batch, "text"):
+                    found = items.contained(texts(part, "text"))
+                    names = [[*own, *(items.names[i] for i in new)] for own, new in zip(part.column("items").to_pylist(), found, strict=True)]
+                    names = pa.array([sorted(x for x in own if x is not None) for own in names], pa.list_(arrow))
+                    seen = pa.nulls(part.num_rows, part.schema.field("text").type) if last else part.column("text")
+                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), seen, names], names=["doc_id", "text", "items"])
 
-    own = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(looked, f"doc_id {own}, contaminated boolean, items array<{kind}>, n_items int")
+        return rows.mapInArrow(looked, rows.schema)
+
+    rows = _in_passes(rows, _groups(benchmark, item, item_text), rate, one)
+    return rows.select("doc_id", (F.size("items") > 0).alias("contaminated"), "items", F.size("items").alias("n_items"))
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", rate: float = RATE) -> DataFrame:
     """The documents that contain no item, all columns as they came."""
-    shared = docs.sparkSession.sparkContext.broadcast(_passes(benchmark, item, item_text, rate))
+    schema = T.StructType(docs.schema.fields)
+
+    def one(docs: DataFrame, shared: Broadcast, last: bool) -> DataFrame:
+        def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part in slices(batch, text):
+                    yield part.filter(pa.array([not x for x in shared.value.contained(texts(part, text))], pa.bool_()))
 
-    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, text):
-                clean = np.ones(part.num_rows, bool)
-                for items in shared.value:
-                    clean &= np.array([not x for x in items.contained(texts(part, text))], bool)
-                yield part.filter(pa.array(clean))
+        return docs.mapInArrow(kept, schema)
 
-    return docs.mapInArrow(kept, T.StructType(docs.schema.fields))
+    return _in_passes(docs, _groups(benchmark, item, item_text), rate, one)

@@ -198,6 +198,15 @@ def test_models_add_spans(spark, docs):
     assert [x.split(":")[0] for x in found] == ["number", "contact"]
 
 
+def test_short_random_tokens(spark, docs):
+    keys = ["kQ7vZ2xR9tLm", "x8sBn3HdY6cJf1", "Zr4Kp9Wq2Xv7Tj5B", "T7GX2QK9ZP4WV8JD3M", "q8Zk2Vx7Rw4Jt9Yp3Bn"]
+    plain = "internationalization of user_profile_id in src/main/java getElementById on 2024-01-15T10 for 4111-1111-1111-111 or 1353681299978555"
+    text = f"{plain} with {' and '.join(keys)} here"
+    rows = spark.createDataFrame([(1, text), (2, plain)], "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secrets.scan(rows, secrets.train(docs)).collect()}
+    assert got == {1: ",".join(f"random:{text.index(k)}:{text.index(k) + len(k)}" for k in keys), 2: ""}
+
+
 def test_archives(spark):
     rows = [(1, "http://a.com/x", "é"), (2, None, None), (3, "http://a.com/x\r\ny", ""), (4, "https://www.a.com:80", "é"), (None, "b", "é"), (4, "https://www.a.com:80", "é"), (5, "http://u@c.com/é#f", "x\r\n\r\nWARC/1.1\r\n\r\n" * 1000)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")

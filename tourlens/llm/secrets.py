@@ -3,7 +3,9 @@
 Patterns find assignments, access keys and long hexadecimal strings. Besides, every long token is scored by two
 first-order Markov chains over characters, one of random strings and one of ordinary identifiers and words: the mean
 log-likelihood ratio of its transitions. Tokens above a threshold, set so that at most one in a thousand ordinary
-samples passes, are spans of kind `random` where no pattern span overlaps them.
+samples passes, are spans of kind `random` where no pattern span overlaps them. Short means vary more, so tokens of
+`SHORTEST` to `FULL - 1` characters have a threshold for each length, set on ordinary samples of that length; of these,
+tokens without a letter are numbers (dates, telephones, cards) and not scored.
 
 The chains are counted by Spark on labelled samples: random strings are digests of numbers in three spellings; ordinary
 ones are identifiers put together from common words, and words of letters from at most `SAMPLE` documents
@@ -29,7 +31,9 @@ ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[
 ASSIGNED = r"""^(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)$"""
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"(?<![0-9a-f])[0-9a-f]{24,}+"
-LONG = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+"
+LONG = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{12,}+"
+#: Fewest characters of a scored token, and of one that has the common threshold.
+SHORTEST, FULL = 12, 20
 KINDS = ("assign", "access", "hex", "random")
 
 #: Documents whose words the ordinary chain learns at most.
@@ -53,10 +57,17 @@ WORDS = (
 
 @dataclass(frozen=True)
 class Chains:
-    """Log-likelihood ratios of transitions, row by row of the alphabet (others last), and the threshold."""
+    """Log-likelihood ratios of transitions, row by row of the alphabet (others last), and the thresholds."""
 
     ratios: tuple[float, ...]
     threshold: float
+    short: tuple[float, ...] = ()  # thresholds of SHORTEST to FULL - 1 characters
+
+    def is_random(self, token: Column) -> Column:
+        size = F.length(token)
+        least = F.element_at(F.array(*map(F.lit, self.short)), size - (SHORTEST - 1))
+        short = F.when(token.rlike("[A-Za-z]"), self.mean_ratio(token) > least).otherwise(False)
+        return F.when(size >= FULL, self.mean_ratio(token) > self.threshold).otherwise(short)
 
     def mean_ratio(self, token: Column) -> Column:
         """Mean log-likelihood ratio of the token's transitions, random over ordinary."""
@@ -109,6 +120,29 @@ def labelled(spark: SparkSession, docs: DataFrame, key: str, text: str) -> DataF
     return random.unionByName(identifiers).unionByName(spoken)
 
 
+def short_ordinary(samples: DataFrame) -> DataFrame:
+    """Ordinary tokens of SHORTEST to FULL - 1 characters: beginnings and ends of samples, some with a number or a date and time."""
+    token, n = F.col("token"), F.abs(F.xxhash64("token"))
+    day = F.date_format(F.date_add(F.lit("1990-01-01").cast("date"), (n % 16000).cast("int")), "yyyy-MM-dd")
+    number = F.substring(n.cast("string"), 1, 6)
+    made = samples.where("not random and length(token) >= 20").select(
+        F.explode(
+            F.array(
+                token,
+                F.concat(F.substring_index(token, "_", 2), F.lit("_"), number, token),
+                F.concat(F.substring_index(token, "-", 1), F.lit("-"), day, F.lit("-"), token),
+                F.concat(day, F.lit("T"), F.substring(number, 1, 2), F.lit("-"), token),
+            )
+        ).alias("token")
+    )
+    size = F.explode(F.sequence(F.lit(SHORTEST), F.lit(FULL - 1))).alias("size")
+    cut = made.select("token", size).select(
+        F.explode(F.array(F.expr("left(token, size)"), F.expr("right(token, size)"))).alias("token"), F.lit("made").alias("kind")
+    )
+    spoken = samples.where(f"not random and length(token) between {SHORTEST} and {FULL - 1}").select("token", F.lit("spoken").alias("kind"))
+    return cut.unionByName(spoken)
+
+
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Chains:
     samples = labelled(docs.sparkSession, docs, key, text)
     steps = samples.withColumn("i", F.explode(F.sequence(F.lit(1), F.length("token") - 1))).where("length(token) > 1")
@@ -123,7 +157,11 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Chains:
     chains = Chains(ratios, 0.0)
     scored = samples.where("not random and length(token) >= 20").select(chains.mean_ratio(F.col("token")).alias("score"))
     most = scored.agg(F.percentile_approx("score", F.lit(1 - PASS), F.lit(10_000))).first()[0]
-    return Chains(ratios, max(0.2, most or 0.0))
+    threshold = max(0.2, most or 0.0)
+    short = short_ordinary(samples).groupBy(F.length("token").alias("size"), "kind")
+    short = short.agg(F.percentile_approx(chains.mean_ratio(F.col("token")), F.lit(1 - PASS), F.lit(10_000)).alias("most"))
+    by_size = dict(short.groupBy("size").agg(F.max("most")).collect())  # one row of each length
+    return Chains(ratios, threshold, tuple(max(threshold, by_size.get(n, 0.0)) for n in range(SHORTEST, FULL)))
 
 
 def found(docs: DataFrame, chains: Chains, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -143,7 +181,7 @@ def found(docs: DataFrame, chains: Chains, key: str = "doc_id", text: str = "tex
     assign = F.filter(at["assign"], lambda s: F.length(F.regexp_extract(s["value"], ASSIGNED, 1)) >= 6)
     access = F.filter(at["access"], lambda s: F.length(s["value"]) >= 20)
     rows = rows.select("id", F.concat(assign, access, at["hex"]).alias("base"), at["long"].alias("long"))
-    scored = F.filter(F.col("long"), lambda s: chains.mean_ratio(s["value"]) > chains.threshold)
+    scored = F.filter(F.col("long"), lambda s: chains.is_random(s["value"]))
     return rows.select("id", "base", spans.apart(scored, F.col("base")).alias("added"))
 
 

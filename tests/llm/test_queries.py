@@ -24,7 +24,7 @@ def rows_of(table, columns, folder=GIVEN):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_oracle(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "pages", "benchmark", "labels"):
+    for table in ("documents", "pages", "benchmark", "labels", "conversations"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{GIVEN}/{table}.parquet'")
     cursor = connection.execute(ORACLES[name])
     columns = [d[0] for d in cursor.description]

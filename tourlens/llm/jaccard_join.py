@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from tourlens.llm.common import distilled, slices, texts, written
 from tourlens.llm.components import components
-from tourlens.llm.shingles import mixed, shingle_sets
+from tourlens.llm.shingles import TOGETHER, mixed, shingle_sets
 
 #: Counters of the frequency sketch, cut into pieces that are summed apart.
 SKETCH_BITS, PIECES, LANES = 20, 64, 32
@@ -63,7 +63,7 @@ def _frequencies(docs: DataFrame, k: int) -> np.ndarray:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << SKETCH_BITS, np.int64)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", TOGETHER):
                 hashes, _ = shingle_sets(texts(part, "text"), k)
                 total += np.bincount((hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(total))
         if total.any():
@@ -102,7 +102,7 @@ def _profiles(docs: DataFrame, k: int, percent: int, levels: np.ndarray) -> Data
     def profiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = shared.value
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", TOGETHER):
                 hashes, offsets = shingle_sets(texts(part, "text"), k)
                 n = np.diff(offsets)
                 with np.errstate(over="ignore"):
@@ -129,7 +129,7 @@ def _sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", TOGETHER):
                 hashes, offsets = shingle_sets(texts(part, "text"), k)
                 tokens = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(hashes.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([part.column("id"), tokens], names=["v", "tokens"])

@@ -122,22 +122,42 @@ def test_bad_raw_rows_leave_the_stored_core_untouched(spark, tmp_path, frame):
     good = {"event_id": "e", "artist_name": "A", "artist_mbid": "m", "country_code": "GB", "event_date": "2024-05-05", "extracted_at": NOW}
     store.overwrite("ticketmaster_events", frame(schemas.RAW_EVENTS, [good]))
     daily.run(store, None, AS_OF, NOW)
-    before = {t: store.current_path(t) for t in ("dim_artist", "fact_concert")}
+    before = {t: store.current(t) for t in ("dim_artist", "fact_concert")}
     rows = {t: sorted(store.read(t).collect()) for t in before}
     assert len(rows["fact_concert"]) == 1
     bad = good | {"event_id": "b", "artist_mbid": "n", "event_date": "someday"}
     store.overwrite("ticketmaster_events", frame(schemas.RAW_EVENTS, [good | {"city": "moved"}, bad]))
     with pytest.raises(CheckFailed, match=r"stg_events.event_date.not_null: 1$"):
         daily.run(store, None, AS_OF, NOW)
-    assert {t: store.current_path(t) for t in before} == before
+    assert {t: store.current(t) for t in before} == before
     assert {t: sorted(store.read(t).collect()) for t in before} == rows
 
 
+@pytest.mark.parametrize("table", ["dim_artist", "fact_concert"])
+def test_a_bad_dimension_or_fact_is_never_published(spark, tmp_path, frame, monkeypatch, table):
+    store = TableStore(spark, str(tmp_path / "store"))
+    good = {"event_id": "e", "artist_name": "A", "artist_mbid": "m", "country_code": "GB", "event_date": "2024-05-05", "extracted_at": NOW}
+    store.overwrite("ticketmaster_events", frame(schemas.RAW_EVENTS, [good]))
+    daily.run(store, None, AS_OF, NOW)
+    before = {t: (store.current(t), sorted(store.read(t).collect())) for t in ("dim_artist", "fact_concert", "dim_artist_watermark", "fact_concert_watermark")}
+    loads = {t: sorted((tmp_path / "store" / t).glob("load=*")) for t in before}
+    bad = {"event_id": "b", "artist_mbid": "n", "country_code": "GB", "event_date": "2024-06-06", "extracted_at": NOW + dt.timedelta(days=1)}
+    if table == "fact_concert":
+        bad |= {"artist_name": "B", "event_date": "2044-06-06"}  # too far ahead
+    store.upsert("ticketmaster_events", frame(schemas.RAW_EVENTS, [bad]))
+    with pytest.raises(CheckFailed, match=table):
+        daily.run(store, None, AS_OF, NOW)
+    assert {t: (store.current(t), sorted(store.read(t).collect())) for t in before} == before
+    assert {t: sorted((tmp_path / "store" / t).glob("load=*")) for t in before} == loads
+
+
 def test_prototype_mode(spark, tmp_path, landed):
     store = TableStore(spark, str(tmp_path / "store"))
     tracked = parameter_list(spark, ingest.TRACKED_ARTISTS + ",Muse", "artist_name")
-    result = run_ingest(store, landed(), mode="prototype", tracked=tracked)
+    result = run_ingest(store, landed(), mode="prototype", tracked=tracked, countries=["GB"])
     assert sorted(r["event_id"] for r in dicts(result.events)) == ["m1", "r1"]
+    result = run_ingest(store, landed(), mode="prototype", tracked=tracked)
+    assert sorted(r["event_id"] for r in dicts(result.events)) == ["m1", "m2", "r1"]
     with pytest.raises(ValueError):
         run_ingest(store, landed(), mode="prototype")
     with pytest.raises(ValueError):

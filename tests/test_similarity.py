@@ -1,11 +1,13 @@
 import itertools
 import random
 
+import pytest
+
 from conftest import dicts
 
 from tourlens import schemas
-from tourlens.plans import boards
-from tourlens.plans.similarity import most_similar, similar_to, venue_similarity
+from tourlens.plans import boards, similarity
+from tourlens.plans.similarity import most_similar, similar_to, top_similar, venue_similarity
 
 
 def fact(frame, visits):
@@ -63,3 +65,57 @@ def test_most_similar(frame):
         ("A", 1): "C", ("A", 2): "B", ("B", 1): "A", ("B", 2): "C", ("C", 1): "A", ("C", 2): "B", ("D", 1): "C",
     }
     assert [(r.artist_a, r.artist_b) for r in boards.top_pairs(edges, 2).collect()] == [("A", "C"), ("A", "B")]
+
+
+def best(visits, k):
+    """The best k of each artist by all pairs."""
+    found = {}
+    for a, b, n, share, _ in brute_force(visits):
+        for x, y in ((a, b), (b, a)):
+            found.setdefault(x, []).append((-share, y, n))
+    return sorted((a, y, n, -share, i + 1) for a, rows in found.items() for i, (share, y, n) in enumerate(sorted(rows)[:k]))
+
+
+def crowds(kind):
+    rng = random.Random(kind)
+    if kind == 0:
+        return [(f"a{rng.randrange(60)}", f"v{rng.randrange(25)}") for _ in range(300)] + [(None, "v1"), ("a1", " "), ("z", None)]
+    hot = [(f"a{i:03d}", "hot") for i in range(90)]
+    if kind == 1:  # equal sets, and sets that share nothing but the crowd
+        return hot + [(f"a{i:03d}", f"u{i}") for i in range(45)]
+    return hot + [(f"a{i:03d}", f"c{i // 4}_{j}") for i in range(90) for j in range(rng.randrange(5))]
+
+
+@pytest.mark.parametrize("kind", [0, 1, 2])
+def test_top_similar_equals_all_pairs(frame, monkeypatch, kind):
+    monkeypatch.setattr(similarity, "CLASSES", 2)
+    monkeypatch.setattr(similarity, "MATCHES", 50)
+    visits = crowds(kind)
+    got = top_similar(fact(frame, visits), 3).collect()
+    assert sorted(tuple(r) for r in got) == best(visits, 3)
+
+
+def test_a_crowded_venue_opens_few_blocks(frame, monkeypatch):
+    """Groups of four with venues of their own, all at one crowded venue: what only shares the crowd is not compared."""
+    monkeypatch.setattr(similarity, "CLASSES", 3)
+    visits = [(f"a{i:03d}", "hot") for i in range(400)] + [(f"a{i:03d}", f"c{i // 4}_{j % 5}") for i in range(400) for j in range(i % 4, i % 4 + 3)]
+    opened = []
+    kept = similarity._settled
+
+    def counted(df, purpose):
+        result = kept(df, purpose)
+        if purpose == "similarity-open":
+            opened.append(result.count())
+        return result
+
+    monkeypatch.setattr(similarity, "_settled", counted)
+    got = top_similar(fact(frame, visits), 3)
+    assert sorted(tuple(r) for r in got.collect()) == best(visits, 3)
+    assert opened[0] <= 50 * 50 / 10  # of all pairs of the 50 blocks
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_no_artists(frame):
+    assert top_similar(fact(frame, [("A", None)])).count() == 0
+    assert top_similar(fact(frame, [("A", "v")])).count() == 0

@@ -43,20 +43,89 @@ def test_upsert_moves_months(frame, store):
         ("c", "2024-03-09", "y"),
         ("d", "2024-03-09", "x"),
     ]
-    folders = [f for f in os.listdir(store.current_path("fact_concert")) if f.startswith("event_month")]
-    assert sorted(folders) == ["event_month=2024-03-01", "event_month=__HIVE_DEFAULT_PARTITION__"]
+    assert sorted(store.current("fact_concert").cells) == ["event_month=2024-03-01", "event_month=__HIVE_DEFAULT_PARTITION__"]
     # Back from no date, and one removed.
     gone = frame("concert_id STRING", [{"concert_id": "d"}])
     got = store.upsert("fact_concert", fact(frame, ("b", FEB, "z")), removed=gone)
     assert [r[0] for r in stored(got)] == ["a", "b", "c"]
 
 
+def files(store, name):
+    """Data files of each current cell."""
+    now = store.current(name)
+    at = {c: os.path.join(store.root, name, f"load={load}", c) for c, load in now.cells.items()}
+    return {c: sorted(f for f in os.listdir(folder) if f.endswith(".parquet")) for c, folder in at.items()}
+
+
 def test_untouched_months_keep_their_files(frame, store):
     store.overwrite("fact_concert", fact(frame, ("a", JAN, "x"), ("b", FEB, "x")))
-    january = os.path.join(store.current_path("fact_concert"), "event_month=2024-01-01")
-    before = sorted(os.listdir(january))
+    before = files(store, "fact_concert")
     store.upsert("fact_concert", fact(frame, ("b", FEB, "y"), ("n", FEB, "y")))
-    assert sorted(os.listdir(january)) == before
+    after = files(store, "fact_concert")
+    assert after["event_month=2024-01-01"] == before["event_month=2024-01-01"]
+    assert after["event_month=2024-02-01"] != before["event_month=2024-02-01"]
+
+
+def test_untouched_buckets_keep_their_files(frame, store):
+    rows = [{"event_id": str(i), "city": "x"} for i in range(200)]
+    store.overwrite("ticketmaster_events", frame(schemas.RAW_EVENTS, rows))
+    before = files(store, "ticketmaster_events")
+    assert len(before) == tables.BUCKETS
+    got = store.upsert("ticketmaster_events", frame(schemas.RAW_EVENTS, [{"event_id": "7", "city": "y"}]))
+    assert sorted((r.event_id, r.city) for r in got.select("event_id", "city").collect()) == sorted((str(i), "y" if i == 7 else "x") for i in range(200))
+    after = files(store, "ticketmaster_events")
+    assert sum(before[c] != after[c] for c in before) == 1
+    # A bucket that loses its last row is no cell any more.
+    gone = frame("event_id STRING", [{"event_id": str(i)} for i in range(200)])
+    assert store.upsert("ticketmaster_events", frame(schemas.RAW_EVENTS, []), removed=gone).count() == 0
+    assert store.current("ticketmaster_events").cells == {}
+    few = TableStore(store.spark, store.root + "-few", buckets=3)
+    few.overwrite("ticketmaster_events", frame(schemas.RAW_EVENTS, rows))
+    assert len(few.current("ticketmaster_events").cells) == 3 and few.read("ticketmaster_events").count() == 200
+
+
+def test_a_failure_before_the_switch_changes_nothing(frame, store, monkeypatch):
+    store.overwrite("fact_concert", fact(frame, ("a", JAN, "x"), ("b", FEB, "x")))
+    before = stored(store.read("fact_concert"))
+
+    def broken(*_):
+        raise OSError("no switch")
+
+    with monkeypatch.context() as m:
+        m.setattr(TableStore, "_switch", broken)
+        with pytest.raises(OSError):
+            store.upsert("fact_concert", fact(frame, ("a", FEB, "y"), ("c", MAR, "y")))
+    assert stored(store.read("fact_concert")) == before
+    got = store.upsert("fact_concert", fact(frame, ("a", FEB, "y"), ("c", MAR, "y")))
+    assert [r[0] for r in stored(got)] == ["a", "b", "c"]
+
+
+def test_old_loads_go_once_no_reader_follows_them(frame, store):
+    root = os.path.join(store.root, "fact_concert")
+    store.overwrite("fact_concert", fact(frame, ("a", JAN, "x"), ("b", FEB, "x")))
+    open_ = store.read("fact_concert")
+    store.upsert("fact_concert", fact(frame, ("b", FEB, "y")))
+    assert stored(open_) == [("a", "2024-01-09", "x"), ("b", "2024-02-09", "x")]
+    for city in "zuvw":
+        store.upsert("fact_concert", fact(frame, ("b", FEB, city)))
+    loads = [d for d in os.listdir(root) if d.startswith("load=")]
+    held = {f"load={load}" for load in store.current("fact_concert").cells.values()}
+    assert held <= set(loads) and len(loads) == 3  # January's, and February's now and before
+    assert len(os.listdir(os.path.join(root, "_pointers"))) <= 4  # two pointers and their checksums
+
+
+def test_a_draft_is_seen_by_nobody_until_published(frame, store):
+    store.overwrite("dim_artist", frame(schemas.DIM_ARTIST, [{"artist_id": "a"}]))
+    draft = store.draft()
+    draft.upsert("dim_artist", frame(schemas.DIM_ARTIST, [{"artist_id": "b"}]))
+    draft.upsert("dim_artist", frame(schemas.DIM_ARTIST, [{"artist_id": "c"}]))
+    assert draft.read("dim_artist").count() == 3 and store.read("dim_artist").count() == 1
+    draft.discard()
+    assert store.read("dim_artist").count() == 1 and draft.read("dim_artist").count() == 1
+    draft.upsert("dim_artist", frame(schemas.DIM_ARTIST, [{"artist_id": "b"}]))
+    draft.overwrite("fact_concert", fact(frame, ("a", JAN, "x")))
+    draft.publish()
+    assert store.read("dim_artist").count() == 2 and store.read("fact_concert").count() == 1
 
 
 def test_raw_tables_grow_by_columns(frame, store):
@@ -76,7 +145,7 @@ def test_core_tables_follow_their_schema(frame):
 
 def test_a_failed_write_stays_invisible(frame, store):
     store.overwrite("dim_artist", frame(schemas.DIM_ARTIST, [{"artist_id": "a"}]))
-    os.makedirs(os.path.join(store.root, "dim_artist", "v00000009"))
+    os.makedirs(os.path.join(store.root, "dim_artist", "load=unfinished", "bucket=1"))
     assert store.read("dim_artist").count() == 1
     assert store.overwrite("dim_artist", frame(schemas.DIM_ARTIST, [{"artist_id": "b"}] * 2)).count() == 2
     # A rewrite may read what it replaces.

@@ -171,7 +171,7 @@ def similarity_top_pairs(g):
 
 @query
 def similar_artists_top10(g):
-    return similarity.most_similar(similarity.venue_similarity(g.visits(), with_detail=False))
+    return similarity.top_similar(g.visits())
 
 
 # --- live log ---------------------------------------------------------------------
@@ -375,12 +375,15 @@ def upsert_events(g):
 def incremental_fact(g):
     """Two loads, the first without half the artists; the result equals one full build."""
     store = TableStore(g.spark, workspace.new_folder(g.spark, "store"))
-    unified, events, artists = _unified(g), g.raw_events(), g.raw_artists()
+    events, setlists, artists = g.raw_events(), g.raw_setlists(), g.raw_artists()
     early = F.col("extracted_at") < F.lit("1999-01-01").cast("timestamp")
     known = artists.where("mbid LIKE '%1' OR mbid LIKE '%4'")
-    no_events = typed_empty(g.spark, schemas.RAW_EVENTS)
-    dim = core.load_dim_artist(store, known, no_events, LOADED_AT)
-    core.load_fact_concert(store, unified.where(early), dim, LOADED_AT)
-    dim = core.load_dim_artist(store, artists, events, LOADED_AT)
-    result = core.load_fact_concert(store, unified, dim, LOADED_AT)
-    return result.drop("loaded_at")
+
+    def load(artists, events, setlists, of_dim):
+        dim = core.load_dim_artist(store, artists, of_dim, LOADED_AT)
+        rows = core.due_concerts(store, events, setlists)
+        unified = staging.concerts_unified(staging.stg_events(rows[0], g.raw_artists()), staging.stg_setlists(rows[1]))
+        return core.load_fact_concert(store, unified, dim, LOADED_AT)
+
+    load(known, events.where(early), setlists.where(early), typed_empty(g.spark, schemas.RAW_EVENTS))
+    return load(artists, events, setlists, events).drop("loaded_at")

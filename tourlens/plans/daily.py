@@ -30,23 +30,31 @@ def build_core(
     strict_reference: bool = False,
     as_of: dt.date | Column | None = None,
 ) -> None:
-    """Dimension, then fact, from the stored raw tables; a failing check stops what follows it.
+    """Dimension, then fact, from the stored raw tables; a failing check leaves both as they were.
 
-    Raw and staged rows are checked before anything is merged, the dimension before the fact is, and
-    the fact before anybody builds on it. Each check is one job.
+    Raw and staged rows are checked first. Dimension and fact are written unseen, each is checked,
+    and only then are both published with their watermarks. Each check is one job.
     """
     raw = raw_tables(store)
-    staged = staged_concerts(raw)
-    quality.gate_report(quality.counted(quality.raw_rules(raw) | quality.staging_rules(*staged)))
     how = {"full_refresh": full_refresh, "strict_reference": strict_reference}
-    dim = core.load_dim_artist(
-        store, raw["musicbrainz_artists"], raw["ticketmaster_events"], loaded_at, **how
-    )
-    quality.gate_report(quality.counted(quality.dim_rules(dim), quality.dim_checks(raw, dim)))
-    unified = staging.concerts_unified(*staged)
-    removed = core.called_off(raw["ticketmaster_events"]) if drop_called_off else None
-    fact = core.load_fact_concert(store, unified, dim, loaded_at, removed=removed, **how)
-    quality.gate_report(quality.counted(quality.fact_rules(fact, as_of), quality.fact_checks(dim, fact)))
+    quality.gate_report(quality.counted(quality.raw_rules(raw) | quality.staging_rules(*staged_concerts(raw))))
+    draft = store.draft()
+    try:
+        dim = core.load_dim_artist(draft, raw["musicbrainz_artists"], raw["ticketmaster_events"], loaded_at, **how)
+        quality.gate_report(quality.counted(quality.dim_rules(dim), quality.dim_checks(raw, dim)))
+        taken = dict(raw)
+        if not (full_refresh or strict_reference):
+            taken["ticketmaster_events"], taken["setlistfm_setlists"] = core.due_concerts(
+                store, raw["ticketmaster_events"], raw["setlistfm_setlists"]
+            )
+        removed = core.called_off(raw["ticketmaster_events"]) if drop_called_off else None
+        unified = staging.concerts_unified(*staged_concerts(taken))
+        fact = core.load_fact_concert(draft, unified, dim, loaded_at, removed=removed, **how)
+        quality.gate_report(quality.counted(quality.fact_rules(fact, as_of), quality.fact_checks(dim, fact)))
+    except BaseException:
+        draft.discard()
+        raise
+    draft.publish()
 
 
 def checks(store: TableStore, as_of: dt.date | Column | None = None) -> dict[str, DataFrame]:

@@ -1,42 +1,84 @@
-"""Which artists share venues: Jaccard similarity of artists' venue sets."""
+"""Which artists share venues: Jaccard similarity of artists' venue sets, all pairs or the best of each artist.
+
+Artists are numbered by name, so numbers order and break ties as names do, and venues from rare to crowded.
+
+The best k of each artist are found without listing all pairs. Artists with equal sets are one class, known by its
+k + 1 first artists. Classes are sorted by their venues, rare ones first, and cut into blocks; like sets are
+neighbours. Blocks are matched with themselves and their neighbours, and each class with the first artists of its most
+crowded venue, which gives each class a list and with it a threshold: score and number of its last entry. Of the other pairs of
+blocks only those are opened that can beat the weakest threshold of a block, by sizes, venues in common and, at
+an equal score, numbers. Opened pairs return the best k + 1 of each class.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tourlens.sources import workspace
+
 # A venue's artists are compared in blocks of about this many.
 BLOCK = 1000
+# Classes of a block of the top-k join, as a power of two.
+CLASSES = 7
+# Matches that a task holds at once.
+MATCHES = 1 << 22
+
+
+@dataclass(frozen=True)
+class Sets:
+    """artists: artist, artist_name; venues: venue, venue_name; visits: artist, venue, n (venues of the artist)."""
+
+    artists: DataFrame
+    venues: DataFrame
+    visits: DataFrame
+
+
+def _settled(df: DataFrame, purpose: str) -> DataFrame:
+    return workspace.settled(df, workspace.new_folder(df.sparkSession, purpose))
 
 
-def artist_venues(fact: DataFrame) -> DataFrame:
-    """Distinct (artist, venue), with each artist's number of venues.
+def _numbered(df: DataFrame, number: str, *order: str) -> DataFrame:
+    """Rows with increasing numbers in an order, given by the tasks that sort them."""
+    return _settled(df.orderBy(*order).withColumn(number, F.monotonically_increasing_id()), f"similarity-{number}")
 
-    The number travels with the rows from here on: joining it before the pairs are made
+
+def venue_sets(fact: DataFrame) -> Sets:
+    """Distinct visits with numbers for names.
+
+    Each artist's number of venues travels with the visits: joining it before pairs are made
     moves far fewer rows than looking it up twice for every pair afterwards.
     """
-    visits = (
+    named = (
         fact.where(F.col("artist_name").isNotNull())
         .select("artist_name", F.trim("venue_name").alias("venue_name"))
         .where("venue_name != ''")
         .distinct()
     )
-    totals = visits.groupBy("artist_name").agg(F.count("*").alias("venue_count"))
-    return visits.join(totals, "artist_name")
+    named = _settled(named, "similarity-visits")
+    artists = _numbered(named.groupBy("artist_name").agg(F.count("*").alias("n")), "artist", "artist_name")
+    venues = _numbered(named.groupBy("venue_name").agg(F.count("*").alias("crowd")), "venue", "crowd", "venue_name")
+    visits = named.join(artists, "artist_name").join(venues, "venue_name").select("artist", "venue", "n")
+    return Sets(artists.select("artist", "artist_name"), venues, _settled(visits, "similarity-numbered"))
 
 
 def _blocked(visits: DataFrame, block_size: int) -> DataFrame:
     """Add each venue's number of blocks and each row's own block."""
-    sizes = visits.groupBy("venue_name").agg(
+    sizes = visits.groupBy("venue").agg(
         F.ceil(F.count("*") / F.lit(block_size)).cast("int").alias("blocks")
     )
-    return visits.join(sizes, "venue_name").withColumn(
-        "block", F.pmod(F.xxhash64("artist_name"), F.col("blocks")).cast("int")
+    return visits.join(sizes, "venue").withColumn(
+        "block", F.pmod(F.xxhash64("artist"), F.col("blocks")).cast("int")
     )
 
 
 def shared_venue_pairs(visits: DataFrame, block_size: int = BLOCK) -> DataFrame:
-    """(artist_a, artist_b, venue) for a < b.
+    """(a, b, venue) for a < b: the long form of the venues that pairs share; other columns of visits stay with a.
 
     Each row is an entry in the list of venues that the result gives for its pair, so there
     cannot be fewer. What can go wrong is one crowded venue landing in one task: its artists
@@ -46,20 +88,21 @@ def shared_venue_pairs(visits: DataFrame, block_size: int = BLOCK) -> DataFrame:
     rows = _blocked(visits, block_size)
     every_block = F.sequence(F.lit(0), F.col("blocks") - 1)
     a = rows.select(
-        "venue_name",
+        "venue",
         F.col("block").alias("block_a"),
         F.explode(every_block).alias("block_b"),
-        F.col("artist_name").alias("artist_a"),
-        F.col("venue_count").alias("count_a"),
+        F.col("artist").alias("a"),
+        F.col("n").alias("count_a"),
+        *[c for c in visits.columns if c not in ("artist", "venue", "n")],
     )
     b = rows.select(
-        "venue_name",
+        "venue",
         F.explode(every_block).alias("block_a"),
         F.col("block").alias("block_b"),
-        F.col("artist_name").alias("artist_b"),
-        F.col("venue_count").alias("count_b"),
+        F.col("artist").alias("b"),
+        F.col("n").alias("count_b"),
     )
-    return a.join(b, ["venue_name", "block_a", "block_b"]).where("artist_a < artist_b")
+    return a.join(b, ["venue", "block_a", "block_b"]).where("a < b")
 
 
 def venue_similarity(
@@ -67,27 +110,161 @@ def venue_similarity(
 ) -> DataFrame:
     """Pairs of artists with shared venues, their Jaccard similarity and, if asked, the venues.
 
-    Unordered; readers sort. Without detail only numbers are aggregated.
+    Unordered; readers sort. Pairs are aggregated by numbers; without detail nothing but numbers is.
     """
-    shared = [
-        F.count("*").alias("shared_venues"),
-        F.max("count_a").alias("count_a"),
-        F.max("count_b").alias("count_b"),
-    ]
-    columns = [
-        "artist_a",
-        "artist_b",
-        "shared_venues",
-        F.round(
-            F.col("shared_venues") / (F.col("count_a") + F.col("count_b") - F.col("shared_venues")), 4
-        ).alias("jaccard_similarity"),
-    ]
+    sets = venue_sets(fact)
+    visits = sets.visits.join(sets.venues.drop("crowd"), "venue") if with_detail else sets.visits
+    shared = [F.count("*").alias("shared_venues"), F.max("count_a").alias("count_a"), F.max("count_b").alias("count_b")]
     if with_detail:
-        venues = F.concat_ws("; ", F.sort_array(F.collect_list("venue_name")))
-        shared.append(venues.alias("shared_venues_detail"))
-        columns.append("shared_venues_detail")
-    pairs = shared_venue_pairs(artist_venues(fact), block_size)
-    return pairs.groupBy("artist_a", "artist_b").agg(*shared).select(*columns)
+        shared.append(F.array_join(F.sort_array(F.collect_list("venue_name")), "; ").alias("shared_venues_detail"))
+    pairs = shared_venue_pairs(visits, block_size).groupBy("a", "b").agg(*shared)
+    similarity = F.col("shared_venues") / (F.col("count_a") + F.col("count_b") - F.col("shared_venues"))
+    a, b = (sets.artists.select(F.col("artist").alias(s), F.col("artist_name").alias(f"artist_{s}")) for s in "ab")
+    return pairs.join(a, "a").join(b, "b").select(
+        "artist_a", "artist_b", "shared_venues", F.round(similarity, 4).alias("jaccard_similarity"), *["shared_venues_detail"] * with_detail
+    )
+
+
+# --- the best of each artist, without all pairs ----------------------------------------
+
+
+def _classes(sets: Sets, k: int) -> tuple[DataFrame, DataFrame]:
+    """Each artist's class, and the classes in blocks: class, n, venues (from rare to crowded), its k + 1 first members."""
+    own = sets.visits.groupBy("artist").agg(F.sort_array(F.collect_set("venue")).alias("venues"))
+    own = _settled(own, "similarity-sets")
+    first = own.groupBy("venues").agg(F.min("artist").alias("class"))
+    rank = F.row_number().over(Window.partitionBy("venues").orderBy("artist"))
+    members = own.withColumn("rank", rank).where(F.col("rank") <= k + 1).groupBy("venues").agg(F.sort_array(F.collect_list("artist")).alias("members"))
+    listed = members.select(F.col("members")[0].alias("class"), F.size("venues").cast("long").alias("n"), "venues", "members")
+    listed = listed.orderBy("venues").withColumn("block", F.shiftright(F.monotonically_increasing_id(), CLASSES))
+    return own.join(first, "venues").select("artist", "class"), _settled(listed, "similarity-classes")
+
+
+def _matched(pairs: DataFrame, packed: DataFrame, k: int) -> DataFrame:
+    """Of each pair of blocks (l, r) the k + 1 best artists of r for each class of l: class, other, shared, union, score."""
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                parts = list(_best_of(row, k))
+                if parts:
+                    columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["class", "other", "shared", "union"])
+
+    left = packed.select(*[F.col(c).alias(f"l_{c}") for c in packed.columns])
+    right = packed.select(*[F.col(c).alias(f"r_{c}") for c in packed.columns])
+    rows = pairs.join(left, F.col("l") == F.col("l_block")).join(right, F.col("r") == F.col("r_block"))
+    wanted = [f"{s}_{c}" for s in "lr" for c in ("class", "n", "venues", "members", "sizes")]
+    return rows.select(*wanted).mapInArrow(best, "class long, other long, shared long, union long")
+
+
+def _scores(shared: np.ndarray, union: np.ndarray) -> np.ndarray:
+    """Jaccard similarity in ten-thousandths, halves up."""
+    return (20_000 * shared + union) // (2 * union)
+
+
+def _best_of(row: dict, k: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Class, other artist, shared venues and union of the best of one pair of blocks."""
+    n, m = np.array(row["l_n"]), np.array(row["r_n"])
+    venues = np.array(row["r_venues"])
+    order = np.argsort(venues, kind="stable")
+    owners, venues = np.repeat(np.arange(len(m)), m)[order], venues[order]
+    asked, classes = np.array(row["l_venues"]), np.array(row["l_class"])
+    members, sizes = np.array(row["r_members"]), np.array(row["r_sizes"])
+    ends = np.cumsum(sizes)
+    low, high = np.searchsorted(venues, asked, "left"), np.searchsorted(venues, asked, "right")
+    begins = np.concatenate([[0], np.cumsum(n)])
+    load = np.concatenate([[0], np.cumsum(high - low)])[begins]
+    a = 0
+    while a < len(n):
+        # As many classes of the left block as their matches allow.
+        b = max(a + 1, int(np.searchsorted(load, load[a] + MATCHES, "right")) - 1)
+        part = slice(begins[a], begins[b])
+        count = high[part] - low[part]
+        at = np.repeat(low[part] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        who = np.repeat(np.repeat(np.arange(b - a), n[a:b]), count)
+        shared = np.bincount(who * len(m) + owners[at], minlength=(b - a) * len(m)).reshape(b - a, len(m))
+        union = n[a:b, None] + m[None, :] - shared
+        score = _scores(shared, union)
+        for i in range(b - a):
+            near = np.flatnonzero(shared[i])
+            if len(near) > k + 1:
+                # Every class brings a member, so the k + 1 best classes and their ties are enough.
+                least = np.partition(score[i, near], len(near) - k - 1)[len(near) - k - 1]
+                near = near[score[i, near] >= least]
+            own = np.repeat(near, sizes[near])
+            other = members[np.repeat(ends[near] - np.cumsum(sizes[near]), sizes[near]) + np.arange(len(own))]
+            chosen = np.lexsort((other, -score[i, own]))[: k + 1]
+            yield np.full(len(chosen), classes[a + i]), other[chosen], shared[i, own[chosen]], union[i, own[chosen]]
+        a = b
+
+
+def _ranked(found: DataFrame, most: int) -> DataFrame:
+    """The best entries of each class by score, then number; repeated ones count once."""
+    found = found.dropDuplicates(["class", "other"]).withColumn("score", F.expr("(20000 * shared + union) div (2 * union)"))
+    rank = F.row_number().over(Window.partitionBy("class").orderBy(F.desc("score"), "other"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= most)
+
+
+def _stars(classes: DataFrame, k: int) -> DataFrame:
+    """Each class with the k + 1 first classes of its most crowded venue: entries as of `_matched`."""
+    rank = F.row_number().over(Window.partitionBy("venue").orderBy("class"))
+    placed = classes.select(F.explode("venues").alias("venue"), "class")
+    first = placed.withColumn("rank", rank).where(F.col("rank") <= k + 1).select("venue", F.col("class").alias("star"))
+    asked = classes.select(F.element_at("venues", -1).alias("venue"), "class", "n", "venues")
+    others = classes.select(F.col("class").alias("star"), F.col("n").alias("m"), F.col("venues").alias("theirs"), "members")
+    shared = F.size(F.array_intersect("venues", "theirs")).cast("long")
+    rows = asked.join(first, "venue").join(others, "star").withColumn("shared", shared)
+    return rows.select("class", F.explode("members").alias("other"), "shared", (F.col("n") + F.col("m") - F.col("shared")).alias("union"))
+
+
+def _openable(classes: DataFrame, weakest: DataFrame, done: DataFrame) -> DataFrame:
+    """Pairs of blocks, not yet done, of which one class of l could gain an entry from r."""
+    spans = classes.groupBy("block").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("class").alias("first"))
+    held = classes.select("block", F.explode("venues").alias("venue")).distinct()
+    common = held.select(F.col("block").alias("l"), "venue").join(held.select(F.col("block").alias("r"), "venue"), "venue")
+    common = common.groupBy("l", "r").agg(F.count("*").alias("venues"))
+    left = spans.join(weakest, "block").select(F.col("block").alias("l"), F.col("low").alias("l_low"), F.col("high").alias("l_high"), "score", "other")
+    right = spans.select(F.col("block").alias("r"), F.col("low").alias("r_low"), F.col("high").alias("r_high"), "first")
+    pairs = common.join(done, ["l", "r"], "left_anti").join(left, "l").join(right, "r")
+    # At most so many venues in common, and sets no smaller than that or the least of the block.
+    most = F.least("venues", "l_high", "r_high")
+    union = F.greatest("l_low", most) + F.greatest("r_low", most) - most
+    pairs = pairs.withColumns({"shared": most, "union": union}).withColumn("bound", F.expr("(20000 * shared + union) div (2 * union)"))
+    better = (F.col("bound") > F.col("score")) | ((F.col("bound") == F.col("score")) & (F.col("first") < F.col("other")))
+    return pairs.where(better).select("l", "r")
+
+
+def top_similar(fact: DataFrame, k: int = 10) -> DataFrame:
+    """The k artists most similar to each artist, by score, then name: as `most_similar` over all pairs, without making them."""
+    sets = venue_sets(fact)
+    members, classes = _classes(sets, k)
+    rows = F.sort_array(F.collect_list(F.struct("class", "n", "venues", "members")))
+    packed = classes.groupBy("block").agg(rows.alias("rows")).select(
+        "block",
+        *[F.col(f"rows.{c}").alias(c) for c in ("class", "n")],
+        *[F.flatten(f"rows.{c}").alias(c) for c in ("venues", "members")],
+        F.transform("rows", lambda r: F.size(r["members"])).alias("sizes"),
+    )
+    packed = _settled(packed, "similarity-blocks")
+    blocks = packed.select("block")
+    near = blocks.select(F.col("block").alias("l"), F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)).alias("r"))
+    near = near.join(blocks.select(F.col("block").alias("r")), "r", "left_semi").select("l", "r")
+    known = _settled(_ranked(_matched(near, packed, k).unionByName(_stars(classes, k)), k + 1), "similarity-known")
+    last = known.where(F.col("rank") == k + 1).select("class", "score", "other")
+    # A class with fewer entries takes any.
+    weakest = classes.select("block", "class").join(last, "class", "left").groupBy("block").agg(
+        F.min(F.coalesce("score", F.lit(-1))).alias("score"), F.max(F.coalesce("other", F.lit(-1))).alias("other")
+    )
+    rest = _matched(_settled(_openable(classes, weakest, near), "similarity-open"), packed, k)
+    best = _ranked(known.select("class", "other", "shared", "union").unionByName(rest), k + 1)
+    entries = members.join(best.drop("rank"), "class").where("artist != other")
+    rank = F.row_number().over(Window.partitionBy("artist").orderBy(F.desc("score"), "other"))
+    entries = entries.withColumn("similarity_rank", rank).where(F.col("similarity_rank") <= k)
+    similar = sets.artists.select(F.col("artist").alias("other"), F.col("artist_name").alias("similar_artist"))
+    return entries.join(sets.artists, "artist").join(similar, "other").select(
+        "artist_name", "similar_artist", F.col("shared").alias("shared_venues"), F.round(F.col("shared") / F.col("union"), 4).alias("jaccard_similarity"), "similarity_rank"
+    )
 
 
 def other_side(artist: Column | str) -> Column:

@@ -66,3 +66,24 @@ def children(spark: SparkSession, path: str) -> list[str]:
 def delete(spark: SparkSession, path: str) -> None:
     p, fs = _path(spark, path)
     fs.delete(p, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears whole: written beside its place, then renamed."""
+    beside, fs = _path(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(beside)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not fs.rename(beside, _path(spark, path)[0]):
+        raise FileExistsError(path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    p, fs = _path(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 from collections import Counter
 
 import brute
@@ -11,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tourlens.llm import decontaminate, exact_dedup, html_extract, jaccard_join, language_id, mixing, pii, quality, secrets, warc
+from tourlens.llm import decontaminate, exact_dedup, html_extract, jaccard_join, language_id, mixing, pii, quality, secrets, spans, warc
 
 LONG = " ".join(f"word{i % 977}" for i in range(60_000))
 DDL = "doc_id long, text string, lang string, source string, n_chars long, score string, copies string, component_id string, id string, n string, v string, kept string, digest string, lang_pred string"
@@ -116,6 +117,19 @@ def test_decontamination(spark, docs, none, benchmark):
     assert decontaminate.contamination(none, benchmark).count() == 0
 
 
+def test_decontamination_of_repetitive_texts():
+    def of(items, *texts):
+        return decontaminate.Items.of(list(enumerate(items))).contained(pa.array(texts, pa.large_string()))
+
+    letters = "a" * 1500
+    assert of([letters], "a" * 1_000_000, "b" * 1_000_000, "a" * 1400, "a" * 1000, letters[:700] + "b" * 50 + letters[:750]) == [[0], [], [0], [], [0]]
+    assert of(["ab " * 500, "ab " * 500, "cd"], "ab " * 300_000, "ab " * 15, "cd " * 9) == [[0, 1], [], [2]]
+    rng = random.Random(8)
+    preamble = "the common preamble of all items is about this long and says nothing else "
+    items = [preamble + " ".join(f"w{rng.randrange(3000)}" for _ in range(30)) for _ in range(200)]
+    assert of(items, preamble * 5, items[7] + " tail", "x " + items[199][:-20], "nothing") == [[], [7], [199], []]
+
+
 def test_decontamination_of_partial_and_reworded_quotes(spark):
     rng = random.Random(6)
     words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(400)]
@@ -207,6 +221,25 @@ def test_short_random_tokens(spark, docs):
     assert got == {1: ",".join(f"random:{text.index(k)}:{text.index(k) + len(k)}" for k in keys), 2: ""}
 
 
+def test_archives_of_any_ids(spark):
+    ids = [0, -1, -(2**62), 2**62, 2**63 - 1, 1_700_000_000_000_123, None]
+    rows = [(i, f"http://a.com/{i}", f"page {i}", "x", "y", "z") for i in ids]
+    got = warc.archived(spark.createDataFrame(rows, "page_id long, url string, html string, digest string, record string, size string")).collect()
+    assert {r.page_id for r in got} == set(ids) and {r.record_type for r in got} == {"response"}
+    assert all(re.fullmatch(r"2[01]\d\d-\d\d-\d\dT\d\d:\d\d:\d\dZ", r.captured_at) for r in got)
+
+
+def test_many_matches_in_one_text(spark):
+    mails = " ".join(f"a{i}@b.com" for i in range(100_000))
+    keys = " ".join(f"token={i:06d}" for i in range(100_000))
+    frame = spark.createDataFrame([(1, mails), (2, keys)], "doc_id long, text string")
+    found = frame.select("doc_id", *[F.size(spans.located(F.col("text"), spans.hits(F.col("text"), p), p, "x", 0)).alias(n) for n, p in (("m", r"[a-z0-9]+@[a-z.]+"), ("k", "token=[0-9]+"))])
+    assert sorted(map(tuple, found.collect())) == [(1, 100_000, 0), (2, 0, 100_000)]
+    short = spark.createDataFrame([(" ".join("é" * (i % 3) + f"a{i}" for i in range(n)),) for n in (0, 1, 2, 3, 4, 5, 10, 17, 100)], "text string")
+    rows = short.select("text", spans.located(F.col("text"), spans.hits(F.col("text"), "a[0-9]+"), "a[0-9]+", "x", 0).alias("s")).collect()
+    assert all([(s.start, s.end) for s in r.s] == [m.span() for m in re.finditer("a[0-9]+", r.text)] for r in rows)
+
+
 def test_archives(spark):
     rows = [(1, "http://a.com/x", "é"), (2, None, None), (3, "http://a.com/x\r\ny", ""), (4, "https://www.a.com:80", "é"), (None, "b", "é"), (4, "https://www.a.com:80", "é"), (5, "http://u@c.com/é#f", "x\r\n\r\nWARC/1.1\r\n\r\n" * 1000)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")

@@ -11,6 +11,10 @@ PASSAGE of its words in a row, or the whole of an item shorter than two passages
 WORD_RATE of the words. Word q-grams are rarer than those of bytes, so q is small and the edit rate large.
 Words are runs of letters, marks and digits; in scripts without spaces between words, bytes alone decide on parts of a sentence.
 
+A q-gram at more than HEAVY places of an item is not counted: the bound falls by its places in the item. Where none is left of
+the bound, as in an item that repeats one letter, texts with enough such q-grams are aligned as a whole. Shared
+q-grams are counted MATCHES at a time, so repetitive texts need no more memory than others.
+
 Texts and items are compared in lower case with white space as single spaces.
 The items are the fixed query set, dealt to groups of at most `MOST_BYTES` (a longer item is a group of its own). Driver
 and tasks hold the q-grams of one group at a time: each group is one pass over the documents, whose result is
@@ -49,6 +53,9 @@ MOST_BYTES = 16 << 20
 WORD_Q, PASSAGE = 3, 25
 WORD_RATE = 0.2
 
+#: Places of a q-gram in an item that are counted; shared q-grams that are counted at once.
+HEAVY, MATCHES = 64, 1 << 22
+
 _TABLE_BITS = 22
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -88,6 +95,41 @@ def _expanded(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.repeat(first, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
 
 
+def _counted(first: np.ndarray, count: np.ndarray, key_of) -> tuple[np.ndarray, np.ndarray]:
+    """Bands and their numbers of shared q-grams, for hits whose matches are `count` numbers from `first` on.
+
+    `key_of` gives the strip of matches, from the hits' and the matches' numbers; a band is a strip and the next one.
+    """
+    keys, sums = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    ends, a = np.cumsum(count), 0
+    while a < len(count):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + MATCHES, "right")))
+        key = key_of(np.repeat(np.arange(a, b), count[a:b]), _expanded(first[a:b], count[a:b]))
+        met, times = np.unique(np.concatenate([key, key - 1]), return_counts=True)
+        keys.append(met)
+        sums.append(times)
+        a = b
+    met, back = np.unique(np.concatenate(keys), return_inverse=True)
+    return met, np.bincount(back, np.concatenate(sums), len(met)).astype(np.int64)
+
+
+def _without_heavy(codes: np.ndarray, item: np.ndarray, items: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of sorted codes: which to keep, the heavy ones, and how many places of each item are heavy."""
+    order = np.lexsort((item, codes))
+    new = np.ones(len(codes), bool)
+    new[1:] = (np.diff(codes[order]) != 0) | (np.diff(item[order]) != 0)
+    count = np.diff(np.flatnonzero(new), append=len(codes))
+    heavy = np.unique(codes[order][new][count > HEAVY])
+    light = ~np.isin(codes, heavy)
+    return light, heavy, np.bincount(item[~light], minlength=items)
+
+
+def anywhere(item: np.ndarray, text: np.ndarray, budget: int) -> bool:
+    """Whether the item occurs in the text with at most `budget` edits."""
+    high = len(text) - len(item) + budget
+    return high >= -budget and aligned(item, text, -budget, high, budget)
+
+
 def aligned(item: np.ndarray, text: np.ndarray, low: int, high: int, budget: int) -> bool:
     """Whether the item occurs in the text with at most `budget` edits on diagonals low to high."""
     width = high - low + 1
@@ -117,9 +159,12 @@ class Passages:
 
     vocabulary: pa.Array
     items: list[np.ndarray]  # places in the vocabulary, from 1
+    own: list[np.ndarray]  # codes of each item by place
     codes: np.ndarray
     item: np.ndarray
     place: np.ndarray
+    heavy: np.ndarray
+    spare: np.ndarray
 
     @classmethod
     def of(cls, contents: list[str]) -> Passages:
@@ -127,9 +172,12 @@ class Passages:
         coded = flat.dictionary_encode()
         numbers = coded.indices.to_numpy().astype(np.int64) + 1
         at, item, codes = cls._grams(numbers, offsets)
-        order = np.argsort(codes, kind="stable")
         items = [numbers[a:b] for a, b in zip(offsets, offsets[1:], strict=False)]
-        return cls(coded.dictionary, items, codes[order], item[order], (at - offsets[item])[order])
+        own = np.split(codes, np.searchsorted(item, np.arange(1, len(items)))) if items else []
+        order = np.argsort(codes, kind="stable")
+        codes, item, place = codes[order], item[order], (at - offsets[item])[order]
+        light, heavy, spare = _without_heavy(codes, item, len(items))
+        return cls(coded.dictionary, items, own, codes[light], item[light], place[light], heavy, spare)
 
     @staticmethod
     def _grams(numbers: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -160,35 +208,51 @@ class Passages:
         flat, offsets = words(array)
         numbers = pc.fill_null(pc.index_in(flat, self.vocabulary), -1).to_numpy().astype(np.int64) + 1
         at, doc, codes = self._grams(numbers, offsets)
+        everywhere = np.zeros(len(numbers) + 1, np.uint64)  # codes by place; a word of an item is no zero
+        everywhere[at] = codes
+        lengths = np.array([len(i) for i in self.items] or [0])
+        kinds = {n: self.parts(n) for n in set(lengths.tolist())}
+        # Passages of an item share its bands, which are as wide as the largest budget of any asks.
+        most = np.array([max((k for _, k, _ in kinds[n]), default=0) for n in lengths.tolist()])
+        least = np.array([min((need for _, _, need in kinds[n]), default=1) for n in lengths.tolist()])
+        common = (least - self.spare < 1) & (self.spare > 0) if len(self.items) else np.zeros(1, bool)
+        is_heavy = np.isin(codes, self.heavy)
+        for i in np.flatnonzero(common).tolist():
+            enough = np.bincount(doc[is_heavy | np.isin(codes, self.own[i])], minlength=len(array)) >= least[i]
+            for d in np.flatnonzero(enough).tolist():
+                text = numbers[offsets[d] : offsets[d + 1]]
+                for n, budget, _ in kinds[int(lengths[i])]:
+                    if any(anywhere(self.items[i][a : a + n], text, budget) for a in range(lengths[i] - n + 1)):
+                        out[d].add(i)
+                        break
         first = np.searchsorted(self.codes, codes, "left")
         count = np.searchsorted(self.codes, codes, "right") - first
-        which = _expanded(first, count)
-        item, place, at, doc = self.item[which], self.place[which], np.repeat(at, count), np.repeat(doc, count)
-        if not len(item):
+        at, doc, first, count = (x[count > 0] for x in (at, doc, first, count))
+        if not len(at):
             return out
-        # Passages of an item share its bands, which are as wide as the largest budget of any asks.
-        met_items, back = np.unique(item, return_inverse=True)
-        lengths = [len(self.items[i]) for i in met_items.tolist()]
-        kinds = {n: self.parts(n) for n in set(lengths)}
-        most = np.array([max(k for _, k, _ in kinds[n]) for n in lengths])
-        least = np.array([min(need for _, _, need in kinds[n]) for n in lengths])
-        band = np.floor_divide(at - offsets[doc] - place, most[back] + 1)
-        low = int(band.min()) - 1
-        bands = int(band.max()) - low + 1
-        key = (doc * len(met_items) + back) * bands + band - low
-        met = np.unique(np.concatenate([key, key - 1]), return_counts=True)
-        order = np.argsort(key, kind="stable")
-        key, place = key[order], place[order]
-        for one in met[0][met[1] >= least[met[0] // bands % len(met_items)]].tolist():
-            d, own, b = one // bands // len(met_items), one // bands % len(met_items), one % bands + low
-            i, k = int(met_items[own]), int(most[own])
-            if i in out[d]:
+        low = -int(lengths.max()) - 1
+        bands = int(np.diff(offsets).max()) - low + 2
+
+        def strip(hit: np.ndarray, which: np.ndarray) -> np.ndarray:
+            item = self.item[which]
+            band = np.floor_divide(at[hit] - offsets[doc[hit]] - self.place[which], most[item] + 1)
+            return (doc[hit] * len(lengths) + item) * bands + band - low
+
+        met, sums = _counted(first, count, strip)
+        for one in met[sums >= (least - self.spare)[met // bands % len(lengths)]].tolist():
+            d, i, b = one // bands // len(lengths), one // bands % len(lengths), one % bands + low
+            if i in out[d] or common[i]:
                 continue
-            held = np.zeros(lengths[own] + 1, np.int64)
-            held[place[np.searchsorted(key, one, "left") : np.searchsorted(key, one + 1, "right")] + 1] = 1
-            held = np.cumsum(held)
-            for n, budget, need in kinds[lengths[own]]:
-                for begin in np.flatnonzero(held[n - WORD_Q + 1 : lengths[own] - WORD_Q + 2] - held[: lengths[own] - n + 1] >= need).tolist():
+            k, own = int(most[i]), self.own[i]
+            held = np.isin(own, self.heavy)
+            for diagonal in range(b * (k + 1), (b + 2) * (k + 1)):
+                a, z = max(0, -diagonal), min(len(own), int(offsets[d + 1] - offsets[d]) - diagonal)
+                if a < z:
+                    begin = offsets[d] + diagonal
+                    held[a:z] |= own[a:z] == everywhere[begin + a : begin + z]
+            held = np.concatenate([[0], np.cumsum(held)])
+            for n, budget, need in kinds[int(lengths[i])]:
+                for begin in np.flatnonzero(held[n - WORD_Q + 1 : lengths[i] - WORD_Q + 2] - held[: lengths[i] - n + 1] >= need).tolist():
                     start, last = begin + b * (k + 1) - k, begin + (b + 2) * (k + 1) - 1 + k
                     from_ = max(start, 0)
                     window = numbers[offsets[d] + from_ : min(offsets[d] + max(last + n + 1, 0), offsets[d + 1])]
@@ -204,20 +268,25 @@ class Passages:
 class Items:
     """The q-grams of the items, by code, with item and place; short items as they are."""
 
-    names: list
+    names: list[list]
     texts: list[bytes]
     rate: float
     codes: np.ndarray
     item: np.ndarray
     place: np.ndarray
+    heavy: np.ndarray
+    spare: np.ndarray
     table: np.ndarray
     passages: Passages
 
     @classmethod
     def of(cls, rows: list[tuple], rate: float = RATE) -> Items:
         rows = [(name, text) for name, text in rows if text and text.strip()]
-        stripped = pc.utf8_trim_whitespace(canonical(pa.array([t for _, t in rows], pa.large_string())))
-        contents = [t.encode() for t in stripped.to_pylist()]
+        stripped = pc.utf8_trim_whitespace(canonical(pa.array([t for _, t in rows], pa.large_string()))).to_pylist()
+        names: dict[str, list] = {}
+        for (name, _), text in zip(rows, stripped, strict=True):
+            names.setdefault(text, []).append(name)
+        contents = [t.encode() for t in names]
         codes, item, place = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for i, content in enumerate(contents):
             own = _codes(np.frombuffer(content, np.uint8))
@@ -228,12 +297,14 @@ class Items:
         order = np.argsort(flat, kind="stable")
         table = np.zeros(1 << _TABLE_BITS, bool)
         table[(flat >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)] = True
-        return cls([n for n, _ in rows], contents, rate, flat[order], np.concatenate(item)[order], np.concatenate(place)[order], table, Passages.of(stripped.to_pylist()))
+        flat, item, place = flat[order], np.concatenate(item)[order], np.concatenate(place)[order]
+        light, heavy, spare = _without_heavy(flat, item, len(contents))
+        return cls(list(names.values()), contents, rate, flat[light], item[light], place[light], heavy, spare, table, Passages.of(list(names)))
 
-    def contained(self, array: pa.Array) -> list[list[int]]:
-        """For each text, the items it contains, whole or by a passage."""
+    def contained(self, array: pa.Array) -> list[list]:
+        """For each text, the names of the items it contains, whole or by a passage."""
         both = zip(self.found(array), self.passages.found(array), strict=True)
-        return [sorted(whole.keys() | part) for whole, part in both]
+        return [[name for i in sorted(whole.keys() | part) for name in self.names[i]] for whole, part in both]
 
     def found(self, array: pa.Array) -> list[dict[int, int]]:
         """For each text, the items it contains whole and the place (byte of the canonical text) of one occurrence."""
@@ -244,31 +315,37 @@ class Items:
                 self._short(i, content, raw, offsets, out)
         codes = _codes(raw)
         at = np.flatnonzero(self.table[(codes >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)])
-        first = np.searchsorted(self.codes, codes[at], "left")
-        count = np.searchsorted(self.codes, codes[at], "right") - first
-        at, first, count = at[count > 0], first[count > 0], count[count > 0]
         doc = np.searchsorted(offsets, at, "right") - 1
         whole = at + Q <= offsets[doc + 1]  # q-grams across two texts are none
-        at, first, count, doc = at[whole], first[whole], count[whole], doc[whole]
-        which = _expanded(first, count)
-        item, place = self.item[which], self.place[which]
-        at, doc = np.repeat(at, count), np.repeat(doc, count)
-        diagonal = at - offsets[doc] - place
+        at, doc = at[whole], doc[whole]
         length = np.array([len(c) for c in self.texts] or [0])
         budget = np.array([edit_budget(n, self.rate) for n in length.tolist()])
-        width = budget[item] + 1
-        band = np.floor_divide(diagonal, width)
         need = length + 1 - Q - budget * Q
-        # A band holds two strips; its count is the number of the item's q-grams met in either.
-        # Hits are counted first, then distinct q-grams of the few bands with enough hits.
-        low = int(band.min(initial=0)) - 1
-        bands = int(band.max(initial=0)) - low + 1
-        key = (doc * len(length) + item) * bands + band - low
-        met = np.unique(np.concatenate([key, key - 1]), return_counts=True)
-        enough = met[0][met[1] >= need[met[0] // bands % len(length)]]
-        for one in enough.tolist():
+        common = (need - self.spare < 1) & (self.spare > 0) if self.texts else np.zeros(1, bool)
+        if common.any():
+            heavy = np.bincount(doc[np.isin(codes[at], self.heavy)], minlength=len(array))
+            for i in np.flatnonzero(common).tolist():
+                light = length[i] + 1 - Q - self.spare[i]
+                for d in np.flatnonzero(heavy + light >= need[i]).tolist():
+                    text, content, k = raw[offsets[d] : offsets[d + 1]], self.texts[i], int(budget[i])
+                    if heavy[d] and (text.tobytes().find(content) >= 0 or anywhere(np.frombuffer(content, np.uint8), text, k)):
+                        out[d][i] = 0
+        first = np.searchsorted(self.codes, codes[at], "left")
+        count = np.searchsorted(self.codes, codes[at], "right") - first
+        at, first, count, doc = at[count > 0], first[count > 0], count[count > 0], doc[count > 0]
+        # A band holds two strips; its count is the number of shared q-grams in either.
+        low = -int(length.max()) - 1
+        bands = int(np.diff(offsets).max(initial=0)) - low + 2
+
+        def strip(hit: np.ndarray, which: np.ndarray) -> np.ndarray:
+            item = self.item[which]
+            band = np.floor_divide(at[hit] - offsets[doc[hit]] - self.place[which], budget[item] + 1)
+            return (doc[hit] * len(length) + item) * bands + band - low
+
+        met, sums = _counted(first, count, strip)
+        for one in met[sums >= (need - self.spare)[met // bands % len(length)]].tolist() if self.texts else []:
             d, i, b = one // bands // len(length), one // bands % len(length), one % bands + low
-            if i in out[d] or len(np.unique(place[(key == one) | (key == one + 1)])) < need[i]:
+            if i in out[d] or common[i]:
                 continue
             k = int(budget[i])
             start, last = b * (k + 1) - k, (b + 2) * (k + 1) - 1 + k
@@ -336,7 +413,7 @@ def contamination(
             for batch in batches:
                 for part in slices(batch, "text"):
                     found = items.contained(texts(part, "text"))
-                    names = [[*own, *(items.names[i] for i in new)] for own, new in zip(part.column("items").to_pylist(), found, strict=True)]
+                    names = [[*own, *new] for own, new in zip(part.column("items").to_pylist(), found, strict=True)]
                     names = pa.array([sorted(x for x in own if x is not None) for own in names], pa.list_(arrow))
                     seen = pa.nulls(part.num_rows, part.schema.field("text").type) if last else part.column("text")
                     yield pa.RecordBatch.from_arrays([part.column("doc_id"), seen, names], names=["doc_id", "text", "items"])

@@ -8,7 +8,7 @@ range a loser tree merges the runs. The result is in global order: the capture h
 The text writer makes the files: a record's end, two line breaks, is its line separator, so records are exactly as the
 format wants them, and any store that Spark writes to will do. Files hold at most `RECORDS` records.
 
-Capture times are `EPOCH` plus the id in seconds: pages carry none of their own.
+Capture times are `EPOCH` plus the id in seconds, modulo `SPAN` so that any id gives a legal date: pages carry none of their own.
 
 Defined cases: a null payload is an empty one, and empty payloads equal each other. A record without an id is a response, its
 time the epoch. Rows that repeat an id and payload are all responses; entries that tie in key, time and id are ordered by file and place. A null url has
@@ -31,6 +31,8 @@ from tourlens.llm.common import written
 from tourlens.sources import workspace
 
 EPOCH = "2024-01-01 00:00:00"
+#: A hundred years in seconds.
+SPAN = 3_155_760_000
 #: Records of a file at most.
 RECORDS = 5000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -64,7 +66,7 @@ def records(pages: DataFrame, key: str, url: str, payload: str, least: int) -> D
     firsts = written(firsts.where("n > 1 and first is not null").select("digest", "first"), "warc-firsts")
     rows = rows.join(firsts, "digest", "left")
     revisit = F.col("id").isNotNull() & F.col("first").isNotNull() & (F.col("id") != F.col("first")) & (F.col("size") >= least)
-    time = F.to_timestamp(F.lit(EPOCH)) + F.make_dt_interval(secs=F.coalesce(F.col("id"), F.lit(0)).cast("decimal(18,6)"))
+    time = F.to_timestamp(F.lit(EPOCH)) + F.make_dt_interval(secs=F.pmod(F.coalesce(F.col("id"), F.lit(0)).cast("long"), F.lit(SPAN)).cast("decimal(18,6)"))
     http = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("size").cast("string"), F.lit(END)
     )

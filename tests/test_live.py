@@ -26,6 +26,7 @@ UPDATES = schemas.LIVE_UPDATES.replace(", is_new BOOLEAN", "")
 
 def test_first_seen_over_batches_and_a_restart(spark, frame, tmp_path):
     folder, log, state = (str(tmp_path / n) for n in ("in", "log", "state"))
+    entered = []
 
     def arrive(*updates):
         frame(UPDATES, list(updates)).coalesce(1).write.mode("append").parquet(folder)
@@ -34,7 +35,10 @@ def test_first_seen_over_batches_and_a_restart(spark, frame, tmp_path):
         stream = spark.readStream.schema(UPDATES).option("maxFilesPerTrigger", 1).parquet(folder)
         rows = live.first_seen(stream)
         query = rows.writeStream.format("parquet").option("path", log).option("checkpointLocation", state)
-        query.trigger(availableNow=True).start().awaitTermination()
+        with live.state_store(spark):
+            query = query.trigger(availableNow=True).start()
+        query.awaitTermination()
+        entered.append(sum(p["stateOperators"][0]["numRowsUpdated"] for p in query.recentProgress if p["stateOperators"]))
         return {(r.event_id, r.observed_at): r.is_new for r in spark.read.parquet(log).collect()}
 
     arrive(update("e1", 1), update("e2", 2), update("e3", 3))
@@ -47,6 +51,40 @@ def test_first_seen_over_batches_and_a_restart(spark, frame, tmp_path):
     got = run()
     assert len(got) == 10
     assert {k for k, new in got.items() if new and k[1] == at(20)} == {("e5", at(20))}
+    assert entered == [3, 1, 1]
+
+
+def test_only_nominees_reach_the_stateful_operator(spark, frame, tmp_path):
+    folder = str(tmp_path / "in")
+    frame(UPDATES, [update("hot", i) for i in range(500)] + [update("e", 1)]).coalesce(1).write.parquet(folder)
+    rows = live.first_seen(spark.readStream.schema(UPDATES).parquet(folder))
+    with live.state_store(spark):
+        query = rows.writeStream.format("memory").queryName("nominees").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    got = spark.table("nominees")
+    assert sorted(map(tuple, got.where("is_new").select("event_id", "observed_at").collect())) == [("e", at(1)), ("hot", at(0))]
+    assert got.count() == 501
+    plan = query._jsq.lastProgress() and query._jsq.explainInternal(False)
+    stateful = plan[plan.index("TransformWithState") :]
+    assert "nominee" in stateful[: stateful.index("Scan")] and "Union" in plan
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert len(exchanges) == 1 and "hashpartitioning(event_id" in exchanges[0]
+
+
+def test_a_table_grows_by_the_columns_that_batches_bring(spark, frame, tmp_path):
+    folder, table, state = (str(tmp_path / n) for n in ("in", "table", "state"))
+
+    def run(ddl, *updates, checkpoint=state):
+        frame(ddl, list(updates)).coalesce(1).write.mode("overwrite").parquet(folder)
+        live.append_to_table(spark.readStream.schema(ddl).parquet(folder), table, checkpoint, once=True).awaitTermination()
+        return sorted(map(tuple, live.read_table(spark, table).collect()))
+
+    assert live.read_table(spark, table).count() == 0
+    assert run("event_id STRING, n INT", {"event_id": "a", "n": 1}) == [("a", 1)]
+    assert run("event_id STRING, city STRING", {"event_id": "b", "city": "x"}) == [("a", 1, None), ("b", None, "x")]
+    with pytest.raises(Exception, match="other types"):
+        run("event_id STRING, n STRING", {"event_id": "c", "n": "1"})
+    assert sorted(r.event_id for r in live.read_table(spark, table).collect()) == ["a", "b"]
 
 
 def test_batch_form_spreads_one_hot_event(spark):

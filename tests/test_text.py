@@ -1,3 +1,5 @@
+import unicodedata
+
 from pyspark.sql import functions as F
 
 from tourlens.functions import text
@@ -87,6 +89,14 @@ def test_songs(evaluate):
     assert evaluate(text.split_songs, ["A; B; "]) == [["A", "B", ""]]
 
 
-def test_folding_keeps_ascii_out_of_python(spark):
-    df = spark.createDataFrame([("abc",), ("é",), (None,)], "v STRING")
-    assert [r[0] for r in df.select(text.fold_accents(F.col("v"))).collect()] == ["abc", "e", None]
+def test_folding_is_that_of_unicode_and_stays_in_the_jvm(spark):
+    codes = [*range(1, 0x3400), *range(0xAC00, 0xD7A4, 7), *range(0xF900, 0x10000), *range(0x1D400, 0x1D800), *range(0x1F100, 0x1F200), *range(0x2F800, 0x2FA1E)]
+    rows = [(f"a{chr(i)}z",) for i in codes] + [("e\u0301\u0323 ﬁ ½ 한글 ©",), (None,), ("",)]
+    out = spark.createDataFrame(rows, "v STRING").select("v", text.fold_accents(F.col("v")).alias("folded"))
+
+    def folded(v):
+        return v and "".join(c for c in unicodedata.normalize("NFKD", v) if not unicodedata.combining(c))
+
+    assert [r for r in out.collect() if r.folded != folded(r.v)] == []
+    names = spark.range(1).select(text.normalise_names(F.array(F.lit("É"))), text.normalise_name(F.lit("ö")))
+    assert "Python" not in names._jdf.queryExecution().executedPlan().toString()

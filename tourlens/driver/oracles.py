@@ -311,6 +311,15 @@ oracle("concerts_unified", f"SELECT * REPLACE ({_stamp('extracted_at')} AS extra
 oracle("dim_artist", "SELECT * FROM artists", artists=_dim("raw_events", "twin_artists"))
 oracle("fact_concert", "SELECT * FROM fact")
 oracle("incremental_fact", "SELECT * FROM fact")
+oracle(
+    "full_refresh_fact",
+    "SELECT f.* FROM fact f JOIN unified u USING (concert_id) WHERE u.extracted_at >= TIMESTAMP '1999-01-01'",
+)
+oracle(
+    "strict_fact",
+    """SELECT f.* FROM fact f JOIN unified u USING (concert_id)
+       WHERE u.country < 'NATION_2' OR u.extracted_at > TIMESTAMP '1999-01-01'""",
+)
 oracle(
     "checkpoint_view",
     f"""
@@ -386,6 +395,12 @@ oracle(
     "similarity_top_pairs",
     f"SELECT {_EDGE} FROM edges ORDER BY jaccard_similarity DESC, artist_a, artist_b LIMIT 5000",
 )
+oracle(
+    "similar_to_artist",
+    """SELECT CASE WHEN artist_a = 'Supplier#000000001' THEN artist_b ELSE artist_a END AS similar_artist, shared_venues, jaccard_similarity
+       FROM edges WHERE 'Supplier#000000001' IN (artist_a, artist_b)
+       ORDER BY jaccard_similarity DESC, similar_artist LIMIT 10""",
+)
 oracle(
     "similar_artists_top10",
     """SELECT *, CAST(row_number() OVER (PARTITION BY artist_name
@@ -422,6 +437,20 @@ oracle(
     f"SELECT event_id, event_status, {_stamp('observed_at')} AS observed_at, is_new FROM live",
 )
 
+oracle(
+    "live_payload_stream",
+    f"""SELECT CAST(o_orderkey AS VARCHAR) AS event_id, event_name, artist_name || CASE WHEN place = 0 THEN ' (US Tour)' ELSE '' END AS artist_name,
+               strftime(o_orderdate, '%Y-%m-%d') AS event_date, CASE WHEN event_status = '' THEN 'unknown' ELSE event_status END AS event_status, venue_name, n_name AS city,
+               n_name AS country_code, {_stamp("TIMESTAMP '2012-01-01'")} AS observed_at,
+               row_number() OVER (PARTITION BY o_orderkey ORDER BY place) = 1 AS is_new
+        FROM listings WHERE billed AND total >= 3 AND kind NOT IN ('Event Style', 'Venue Based') AND event_status NOT IN {_OFF}""",
+)
+oracle(
+    "stream_table_grows",
+    f"""SELECT CAST(user_id AS VARCHAR) AS event_id, event_type AS event_status, {_stamp('CAST(ts AS TIMESTAMP)')} AS observed_at,
+               CASE WHEN event_type < 'm' THEN NULL ELSE 'Town' END AS city FROM events""",
+)
+
 # --- landed documents and entity resolution -------------------------------------------
 
 _MARKETS = ", ".join(f"'NATION_{i}'" for i in range(20))
@@ -529,6 +558,7 @@ oracle(
        WHERE mbid IS NOT NULL
          AND mbid NOT IN (SELECT artist_mbid FROM setlist_base)""",
 )
+_FOUND = "SELECT * FROM artists_judged WHERE c_name IN (SELECT artist_name FROM kept_events)"
 oracle(
     "dry_run_counts",
     f"""
@@ -539,7 +569,44 @@ oracle(
      WHERE {_RECENT} AND artist_mbid IN (SELECT mbid FROM found WHERE reason IS NULL)
     UNION ALL
     SELECT 'musicbrainz_artists', count(*) FROM found WHERE mbid IS NOT NULL""",
-    found="SELECT * FROM artists_judged WHERE c_name IN (SELECT artist_name FROM kept_events)",
+    found=_FOUND,
+)
+oracle(
+    "ingest_events",
+    """
+    SELECT CAST(o_orderkey AS VARCHAR) AS event_id, event_name, strftime(o_orderdate, '%Y-%m-%d') AS event_date, artist_name,
+           f.mbid AS artist_mbid, venue_name, n_name AS country_code, event_status
+    FROM kept_events JOIN found f ON artist_name = f.c_name AND f.reason IS NULL""",
+    found=_FOUND,
+)
+oracle(
+    "ingest_setlists",
+    f"""
+    SELECT setlist_id, artist_name, artist_mbid, song_count, songs_played FROM setlist_base
+    WHERE {_RECENT} AND artist_mbid IN (SELECT mbid FROM found WHERE reason IS NULL)""",
+    found=_FOUND,
+)
+oracle("ingest_artists", "SELECT mbid, c_name AS artist_name, primary_genre, artist_type FROM found WHERE mbid IS NOT NULL", found=_FOUND)
+oracle(
+    "cache_written_back",
+    """
+    SELECT lower(c_name) AS cache_key, CASE WHEN c_name IN (SELECT c_name FROM found) THEN mbid ELSE 'K' || c_custkey END AS mbid
+    FROM (SELECT r.c_name, r.mbid, c_custkey, c_nationkey % 5 AS fifth FROM resolved r JOIN customer c ON r.c_name = c.c_name)
+    WHERE fifth IN (2, 4) OR c_name IN (SELECT c_name FROM found)""",
+    found=_FOUND,
+)
+oracle(
+    "exported_snapshots",
+    """
+    SELECT 'touring_intensity' AS snapshot, concat_ws('|', coalesce(artist_name, '-'), coalesce(primary_genre, '-'), coalesce(country, '-'), concert_count) AS row FROM touring
+    UNION ALL
+    SELECT 'date_range', concat_ws('|', coalesce(CAST(min(event_date) AS VARCHAR), '-'), coalesce(CAST(max(event_date) AS VARCHAR), '-')) FROM fact
+    WHERE source = 'ticketmaster' AND event_date >= DATE '2000-01-01'
+    UNION ALL
+    SELECT 'freshness', concat_ws('|', artist_name, coalesce(primary_genre, '-'), concert_year, concert_count, unique_songs, first_time_songs)
+    FROM freshness WHERE artist_name IS NOT NULL
+    UNION ALL
+    SELECT 'meta', '2000-01-01'""",
 )
 
 # --- checks -------------------------------------------------------------------------

@@ -13,7 +13,7 @@ from tourlens.driver.tables import AS_OF, LOADED_AT, Given, once
 from tourlens.functions import text
 from tourlens.operators import matching, quality
 from tourlens.operators.keyed import latest_per_key
-from tourlens.plans import boards, core, ingest, marts, similarity, staging
+from tourlens.plans import boards, core, export, ingest, marts, similarity, staging
 from tourlens.sources import landing, workspace
 from tourlens.sources.tables import TableStore, typed_empty
 from tourlens.streaming import live
@@ -174,6 +174,12 @@ def similar_artists_top10(g):
     return similarity.top_similar(g.visits())
 
 
+@query
+def similar_to_artist(g):
+    edges = similarity.venue_similarity(g.visits(), with_detail=False)
+    return similarity.similar_to(edges, "Supplier#000000001")
+
+
 # --- live log ---------------------------------------------------------------------
 
 
@@ -209,6 +215,34 @@ def stream_first_seen(g):
     return readable(log, "observed_at").select("event_id", "event_status", "observed_at", "is_new")
 
 
+@query
+def live_payload_stream(g):
+    """Landed event pages as a stream, stopped and resumed: the listings, then late ones of the same events."""
+    folder, pages = workspace.new_folder(g.spark, "live"), g.event_pages()
+    for place in (0, 1):
+        pages.where(F.col("country_order") == place).write.mode("append").json(f"{folder}/pages")
+        stream = landing.stream_event_pages(g.spark, f"{folder}/pages")
+        flagged = live.live_updates(stream, observed_at=LOADED_AT)
+        live.publish(flagged, f"{folder}/topic", f"{folder}/published", once=True).awaitTermination()
+        messages = live.read_messages(g.spark, f"{folder}/topic")
+        live.consume(messages, f"{folder}/log", f"{folder}/consumed", once=True).awaitTermination()
+    log = live.read_log(g.spark, f"{folder}/log").drop("observed_date")
+    return readable(log, "observed_at")
+
+
+@query
+def stream_table_grows(g):
+    """Updates without a city, then such with one: the stored table gains the column."""
+    folder, updates = workspace.new_folder(g.spark, "grows"), g.as_updates(g.table("events"))
+    updates = updates.select("event_id", "event_status", "observed_at", "city")
+    early = F.col("event_status") < "m"
+    for rows in (updates.where(early).drop("city"), updates.where(~early)):
+        rows.write.mode("overwrite").parquet(f"{folder}/in")
+        stream = g.spark.readStream.schema(rows.schema).parquet(f"{folder}/in")
+        live.append_to_table(stream, f"{folder}/table", f"{folder}/state", once=True).awaitTermination()
+    return readable(live.read_table(g.spark, f"{folder}/table"), "observed_at")
+
+
 # --- landed documents and entity resolution -----------------------------------------
 
 
@@ -296,19 +330,80 @@ def new_setlist_artists(g):
     return matching.without_setlists(artists, g.raw_setlists()).select("mbid", "artist_name", "primary_genre")
 
 
-@query
-def dry_run_counts(g):
-    with ingest.ingest(
-        g.event_pages(),
-        g.setlist_pages(),
-        g.customer_searches(),
+def _landed(g):
+    """The documents as JSON files, read back as an ingest finds them."""
+    folder = workspace.new_folder(g.spark, "landed")
+    for name, docs in (("events", g.event_pages()), ("setlists", g.setlist_pages()), ("searches", g.customer_searches())):
+        docs.write.json(f"{folder}/{name}")
+    return (
+        landing.read_event_pages(g.spark, f"{folder}/events"),
+        landing.read_setlist_pages(g.spark, f"{folder}/setlists"),
+        landing.read_artist_searches(g.spark, f"{folder}/searches"),
+    )
+
+
+def _ingested(g):
+    return ingest.ingest(
+        *_landed(g),
         g.cached_resolutions(),
         mode="production",
         countries=[f"NATION_{i}" for i in range(25)],
         extracted_at=LOADED_AT,
         keep_scratch=True,
-    ) as result:
-        return ingest.dry_run(result.tables())
+    )
+
+
+@query
+def dry_run_counts(g):
+    return ingest.dry_run(_ingested(g).tables())
+
+
+@query
+def ingest_events(g):
+    return _ingested(g).events.select("event_id", "event_name", "event_date", "artist_name", "artist_mbid", "venue_name", "country_code", "event_status")
+
+
+@query
+def ingest_setlists(g):
+    return _ingested(g).setlists.select("setlist_id", "artist_name", "artist_mbid", "song_count", "songs_played")
+
+
+@query
+def ingest_artists(g):
+    return _ingested(g).artists.select("mbid", "artist_name", "primary_genre", "artist_type")
+
+
+@query
+def cache_written_back(g):
+    """The stored resolutions after an ingest: those of before, and what it found."""
+    store = TableStore(g.spark, workspace.new_folder(g.spark, "store"))
+    store.overwrite("artist_resolution", g.cached_resolutions())
+    ingest.write(store, _ingested(g))
+    return store.read("artist_resolution").select("cache_key", "mbid")
+
+
+@query
+def exported_snapshots(g):
+    """Touring rows, date range and yearly freshness as exported, read back: the rows of each set as text."""
+    store = TableStore(g.spark, workspace.new_folder(g.spark, "store"))
+    fact, dim = _fact(g), _dim(g)
+    store.overwrite("fact_concert", fact)
+    store.overwrite("mart_artist_touring_intensity", marts.touring_intensity(fact, dim, AS_OF))
+    store.overwrite("mart_artist_setlist_freshness", marts.setlist_freshness(fact, dim))
+    folder = workspace.new_folder(g.spark, "snapshots")
+    export.export_snapshots(g.spark, store.read, folder, AS_OF)
+    shown = {
+        "touring_intensity": ("artist_name", "primary_genre", "country", "concert_count"),
+        "date_range": ("min_date", "max_date"),
+        "freshness": ("artist_name", "primary_genre", "concert_year", "concert_count", "unique_songs", "first_time_songs"),
+        "meta": ("exported_date",),
+    }
+    parts = []
+    for name, columns in shown.items():
+        rows = g.spark.read.parquet(f"{folder}/{name}")
+        day = {c: F.date_format(c, "yyyy-MM-dd") for c in columns if c.endswith("_date")}
+        parts.append(rows.select(F.lit(name).alias("snapshot"), F.concat_ws("|", *[F.coalesce(day.get(c, F.col(c)).cast("string"), F.lit("-")) for c in columns]).alias("row")))
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 # --- checks -----------------------------------------------------------------------
@@ -387,3 +482,22 @@ def incremental_fact(g):
 
     load(known, events.where(early), setlists.where(early), typed_empty(g.spark, schemas.RAW_EVENTS))
     return load(artists, events, setlists, events).drop("loaded_at")
+
+
+@query
+def full_refresh_fact(g):
+    """A load of everything, then a full refresh with the later concerts: those alone are left."""
+    store = TableStore(g.spark, workspace.new_folder(g.spark, "store"))
+    unified, dim = _unified(g), _dim(g)
+    core.load_fact_concert(store, unified, dim, LOADED_AT)
+    late = F.col("extracted_at") >= F.lit("1999-01-01").cast("timestamp")
+    return core.load_fact_concert(store, unified.where(late), dim, LOADED_AT, full_refresh=True).drop("loaded_at")
+
+
+@query
+def strict_fact(g):
+    """A load of the concerts of some markets on one day, then a strict load of all: what was stamped before that day is lost."""
+    store = TableStore(g.spark, workspace.new_folder(g.spark, "store"))
+    unified, dim, day = _unified(g), _dim(g), dt.datetime(1999, 1, 1)
+    core.load_fact_concert(store, unified.where("country < 'NATION_2'"), dim, day)
+    return core.load_fact_concert(store, unified, dim, LOADED_AT, strict_reference=True).drop("loaded_at")

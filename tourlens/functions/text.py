@@ -1,11 +1,11 @@
-"""Text cleaners, match keys and name filters as column expressions.
-
-Everything stays in the JVM except Unicode NFKD folding, for which Spark has no
-function; see `fold_accents`.
-"""
+"""Text cleaners, match keys and name filters as column expressions, all of them in the JVM."""
 
 from __future__ import annotations
 
+import functools
+import sys
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -67,30 +67,52 @@ def strip_qualifier(c: Column) -> Column:
     return strip(F.regexp_replace(c, rf"(?U){_SPACE}*\([^)]*\){_SPACE}*$", ""))
 
 
-def _nfkd_without_marks():
-    # Defined inside a function so that it travels to the executors by value.
-    @F.pandas_udf("string")
-    def fold(names):
-        import unicodedata
+#: Hangul syllables are letters of three tables by arithmetic.
+SYLLABLES = ("\uac00", "\ud7a3")
+
 
-        return names.map(
-            lambda s: "".join(
-                ch for ch in unicodedata.normalize("NFKD", s) if not unicodedata.combining(ch)
-            ),
-            na_action="ignore",
-        )
+@functools.cache
+def _decompositions() -> tuple[dict[str, str], dict[str, str]]:
+    """Characters that fold to one other or none, and those that fold to several (Hangul syllables apart)."""
+    short, long = {}, {}
+    for code in range(128, sys.maxunicode + 1):
+        char = chr(code)
+        if not (unicodedata.decomposition(char) or unicodedata.combining(char)):
+            continue
+        parts = unicodedata.normalize("NFKD", char)
+        folded = "".join(p for p in parts if not unicodedata.combining(p))
+        if folded != char and not SYLLABLES[0] <= char <= SYLLABLES[1]:
+            (short if len(folded) < 2 else long)[char] = folded
+    return short, long
 
-    return fold
+
+def _jamo(char: Column) -> Column:
+    """The two or three letters of a Hangul syllable."""
+    place = F.ascii(char) - ord(SYLLABLES[0])
+    lead, vowel, tail = ("".join(map(chr, range(a, a + n))) for a, n in ((0x1100, 19), (0x1161, 21), (0x11A8, 27)))
+    parts = (lead, F.floor(place / 588)), (vowel, F.floor(F.pmod(place, F.lit(588)) / 28)), (tail, F.pmod(place, F.lit(28)) - 1)
+    return F.concat(*[F.when(at < 0, "").otherwise(F.substr(F.lit(table), at.cast("int") + 1, F.lit(1))) for table, at in parts])
 
 
 def fold_accents(c: Column) -> Column:
     """NFKD-decompose and drop combining marks.
 
-    ASCII text is its own decomposition, so only other values are shipped to Python;
-    the rest cross the Arrow boundary as nulls.
+    ASCII text is its own decomposition. Of other text most characters fold to one or none, which is one
+    `translate`; only text with a ligature, fraction, syllable and the like is taken apart character by character.
     """
-    foreign = F.when(c.rlike(r"[^\x00-\x7f]"), c)
-    return F.coalesce(_nfkd_without_marks()(foreign), c)
+    short, long = _decompositions()
+    # Characters without a counterpart, at the end, are dropped.
+    ordered = sorted(short, key=lambda ch: (not short[ch], ch))
+    single = F.translate(c, "".join(ordered), "".join(short[ch] for ch in ordered))
+    several = "".join(long)
+
+    def apart(char: Column) -> Column:
+        other = F.get(F.array(*map(F.lit, long.values())), F.instr(F.lit(several), char) - 1)
+        return F.when(char.between(*SYLLABLES), _jamo(char)).otherwise(F.coalesce(F.when(F.length(char) > 0, other), char))
+
+    whole = F.array_join(F.transform(F.regexp_extract_all(single, F.lit("(?s)."), F.lit(0)), apart), "")
+    is_long = single.rlike(f"[{several}{'-'.join(SYLLABLES)}]")
+    return F.when(c.rlike(r"[^\x00-\x7f]"), F.when(is_long, whole).otherwise(single)).otherwise(c)
 
 
 def simplify_folded(c: Column) -> Column:
@@ -107,17 +129,8 @@ def normalise_name(c: Column) -> Column:
 
 
 def normalise_names(names: Column) -> Column:
-    """`normalise_name` for an array of names.
-
-    Python functions cannot run inside a lambda, so the names are folded as one text,
-    parted by a unit separator, and split again.
-    """
-    unit = "\x1f"
-    cleaned = F.transform(
-        names, lambda n: strip(F.translate(F.coalesce(n, F.lit("")), unit, " "))
-    )
-    folded = F.split(fold_accents(F.array_join(cleaned, unit)), unit)
-    return F.transform(folded, simplify_folded)
+    """`normalise_name` for an array of names."""
+    return F.transform(names, normalise_name)
 
 
 def is_non_artist(c: Column) -> Column:

@@ -24,6 +24,10 @@ def read_event_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.EVENT_PAGE).json(path)
 
 
+def stream_event_pages(spark: SparkSession, path: str) -> DataFrame:
+    return spark.readStream.schema(schemas.EVENT_PAGE).json(path)
+
+
 def read_setlist_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.SETLIST_PAGE).json(path)
 

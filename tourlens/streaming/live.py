@@ -10,17 +10,21 @@ last one stopped, with the ids seen so far, and the file sinks write each batch
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import json
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tourlens import schemas
 from tourlens.functions import dates
 from tourlens.plans.staging import is_on
-from tourlens.sources import landing
-from tourlens.sources.tables import read_or_empty
+from tourlens.sources import landing, workspace
+from tourlens.sources.tables import read_or_empty, typed_empty
 
 # The topic, and how long a batch waits before it is written.
 TOPIC = "ticket_events"
@@ -91,30 +95,22 @@ def _processor(columns: list[str], order: list[str], ttl_ms: int | None):
     from pyspark.sql.streaming import StatefulProcessor
 
     class FirstSeen(StatefulProcessor):
-        """Remembers, for each event id, when it was first seen."""
+        """Remembers, for each event id, when it was first seen; gets at most a row per id and Arrow batch."""
 
         def init(self, handle):
             self.seen = handle.getValueState("first_seen", "at TIMESTAMP", ttl_ms)
 
         def handleInputRows(self, key, rows, timerValues):
-            def flagged(frame, new):
-                return frame.assign(is_new=new)[columns]
-
-            if key[1] != 0 or self.seen.exists():
-                for chunk in rows:
-                    yield flagged(chunk, False)
-                return
-            # One pass, one row held back: the earliest so far.
-            first = None
+            known, first = self.seen.exists(), None
             for chunk in rows:
-                if first is not None:
-                    chunk = pd.concat([first, chunk])
-                chunk = chunk.sort_values(order, kind="stable")
-                first = chunk.head(1)
-                yield flagged(chunk.tail(len(chunk) - 1), False)
+                if not known:
+                    # One row held back: the earliest so far.
+                    chunk = (chunk if first is None else pd.concat([first, chunk])).sort_values(order, kind="stable")
+                    first, chunk = chunk.head(1), chunk.tail(len(chunk) - 1)
+                yield chunk.assign(is_new=False)[columns]
             if first is not None:
                 self.seen.update((first["observed_at"].iloc[0].to_pydatetime(),))
-                yield flagged(first, True)
+                yield first.assign(is_new=True)[columns]
 
         def close(self):
             pass
@@ -125,31 +121,25 @@ def _processor(columns: list[str], order: list[str], ttl_ms: int | None):
 def first_seen(updates: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     """Flag the first update of each event id, over all batches and restarts.
 
-    Within a batch the earliest `observed_at` counts as first. Only that row matters, so
-    each Arrow batch nominates its earliest row per id: nominees meet under their id (lane 0),
-    and all other rows, which cannot be first, are spread evenly over the other lanes,
-    whatever their id. An event that fills a third of the stream thus does not fill one
-    task, and rows that need no state cost no group of their own.
+    Within a batch the earliest `observed_at` counts as first. Each Arrow batch nominates its
+    earliest row per id, and only nominees meet under their id in the stateful operator. All other
+    rows cannot be first: they take a branch without state or shuffle, so an
+    event that fills a third of the stream sends few rows to its task. Both branches nominate by themselves, so
+    the rows of a batch must come in a fixed order: from a source, through steps without a shuffle. Start it in `state_store`.
     """
-    updates.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    order, lanes = [c for c in SIGHTING_ORDER if c in updates.columns], _lanes(updates.sparkSession)
+    order = [c for c in SIGHTING_ORDER if c in updates.columns]
 
     def nominate(batches):
-        import numpy as np
-
         for rows in batches:
             rows = rows.sort_values(order, kind="stable")
-            later = rows.duplicated("event_id").to_numpy()
-            spread = 1 + np.arange(len(rows)) % lanes
-            yield rows.assign(
-                nominee=rows["event_id"].mask(later, ""),
-                lane=np.where(later, spread, 0).astype("int32"),
-            )
+            yield rows.assign(nominee=~rows.duplicated("event_id"))
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in updates.schema)
-    return (
-        updates.mapInPandas(nominate, f"{fields}, nominee STRING, lane INT")
-        .groupBy("nominee", "lane")
+    nominated = updates.mapInPandas(nominate, f"{fields}, nominee BOOLEAN")
+    settled = (
+        nominated.where("nominee")
+        .drop("nominee")
+        .groupBy("event_id")
         .transformWithStateInPandas(
             statefulProcessor=_processor([*updates.columns, "is_new"], order, ttl_ms),
             outputStructType=f"{fields}, is_new BOOLEAN",
@@ -157,6 +147,19 @@ def first_seen(updates: DataFrame, ttl_ms: int | None = None) -> DataFrame:
             timeMode="ProcessingTime" if ttl_ms else "None",
         )
     )
+    return settled.unionByName(nominated.where("NOT nominee").drop("nominee").withColumn("is_new", F.lit(False)))
+
+
+@contextmanager
+def state_store(spark: SparkSession):
+    """The store that `first_seen` keeps its state in, for queries started in the block; the session's own comes back after it."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def flag_first_sightings(updates: DataFrame) -> DataFrame:
@@ -198,7 +201,7 @@ def publish(
         )
     else:
         writer = messages.select("value").writeStream.format("text").option("path", target)
-    return _start(writer, checkpoint, once)
+    return _start(updates.sparkSession, writer, checkpoint, once)
 
 
 # --- consuming ------------------------------------------------------------------
@@ -235,7 +238,7 @@ def consume(messages: DataFrame, log: str, checkpoint: str, once: bool = False)
     writer = (
         rows.writeStream.format("parquet").option("path", log).partitionBy("observed_date")
     )
-    return _start(writer, checkpoint, once)
+    return _start(messages.sparkSession, writer, checkpoint, once)
 
 
 def read_log(spark: SparkSession, log: str) -> DataFrame:
@@ -243,20 +246,57 @@ def read_log(spark: SparkSession, log: str) -> DataFrame:
     return read_or_empty(spark, log, f"{schemas.LIVE_UPDATES}, observed_date DATE")
 
 
-def missing_columns(stored: DataFrame) -> list[str]:
-    """Columns of the log's schema that a stored table does not have yet."""
-    wanted = stored.sparkSession.createDataFrame([], schemas.LIVE_UPDATES).columns
-    return [c for c in wanted if c not in stored.columns]
+def align(table: str, stored: StructType, rows: DataFrame) -> StructType:
+    """The schema of a stored table with the columns that a batch brings in addition; a column never changes its type."""
+    known = {f.name: f.dataType for f in stored}
+    clashing = [f.name for f in rows.schema if known.get(f.name, f.dataType) != f.dataType]
+    if clashing:
+        raise TypeError(f"{table}: other types than stored in {', '.join(clashing)}")
+    return StructType([*stored.fields, *[f for f in rows.schema if f.name not in known]])
+
+
+def append_to_table(updates: DataFrame, table: str, checkpoint: str, once: bool = False) -> StreamingQuery:
+    """Append a stream to a stored table whose columns may grow, one folder per batch.
+
+    Each batch starts by aligning the stored schema: columns it brings are added, and read as null in the older
+    rows. A batch that is repeated after a failure overwrites its folder, so its rows are stored once.
+    """
+
+    def append(rows: DataFrame, batch: int) -> None:
+        spark = rows.sparkSession
+        stored = table_schema(spark, table)
+        aligned = align(table, stored, rows)
+        if aligned != stored:
+            workspace.delete(spark, f"{table}/_schema")
+            workspace.write_text(spark, f"{table}/_schema", aligned.json())
+        rows.write.mode("overwrite").parquet(f"{table}/batch={stream}-{batch:010d}")
 
+    stream = hashlib.md5(checkpoint.encode()).hexdigest()[:8]
+    return _start(updates.sparkSession, updates.writeStream.foreachBatch(append), checkpoint, once)
 
-def _start(writer, checkpoint: str, once: bool) -> StreamingQuery:
+
+def table_schema(spark: SparkSession, table: str) -> StructType:
+    path = f"{table}/_schema"
+    return StructType.fromJson(json.loads(workspace.read_text(spark, path))) if workspace.exists(spark, path) else StructType([])
+
+
+def read_table(spark: SparkSession, table: str) -> DataFrame:
+    """All rows of a table of `append_to_table`, in the schema that its batches have grown to."""
+    schema = table_schema(spark, table)
+    if not schema.fields:
+        return typed_empty(spark, schemas.LIVE_UPDATES)
+    return spark.read.schema(schema.add("batch", "string")).parquet(table).drop("batch")
+
+
+def _start(spark: SparkSession, writer, checkpoint: str, once: bool) -> StreamingQuery:
     trigger = {"availableNow": True} if once else {"processingTime": FLUSH}
-    return (
-        writer.outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
+    with state_store(spark):
+        return (
+            writer.outputMode("append")
+            .option("checkpointLocation", checkpoint)
+            .trigger(**trigger)
+            .start()
+        )
 
 
 def stop(*queries: StreamingQuery) -> None:

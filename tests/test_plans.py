@@ -6,6 +6,7 @@ import pytest
 
 from tourlens import schemas
 from tourlens.plans import core, marts, similarity, staging
+from tourlens.sources.tables import TableStore
 
 
 def plan(df):
@@ -75,3 +76,23 @@ def test_no_cross_joins(stored):
 def test_similarity_without_detail_collects_nothing(stored):
     assert "collect_list" not in plan(similarity.venue_similarity(stored["fact"], with_detail=False))
     assert "Sort [jaccard" not in plan(similarity.venue_similarity(stored["fact"]))
+
+
+def test_loads_push_the_watermark_to_the_scan(spark, stored, tmp_path):
+    store = TableStore(spark, str(tmp_path / "store"))
+    mark = spark.createDataFrame([(dt.datetime(2024, 6, 1),)], schemas.WATERMARK)
+    for table in ("dim_artist", "fact_concert"):
+        store.overwrite(table, spark.createDataFrame([], core.TABLES[table].ddl).coalesce(1))
+        store.overwrite(f"{table}_watermark", mark)
+    events, _ = core.due_concerts(store, stored["events"], stored["setlists"])
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    try:
+        scans = [line for line in plan(events).splitlines() if "FileScan" in line and "event_id" in line]
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert len(scans) == 3
+    new, keys, rows = (scans[0], *sorted(scans[1:], key=len))
+    assert "PushedFilters: [Or(GreaterThanOrEqual(extracted_at,2024-06-01" in new
+    assert "LessThan(extracted_at,2024-06-01" in keys.split("PushedFilters")[1] and "LessThan(extracted_at" in rows.split("PushedFilters")[1]
+    assert "artist_name" not in keys  # late rows are found by their keys
+    assert "LeftAnti" in plan(events) and "LeftSemi" in plan(events)

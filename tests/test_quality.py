@@ -44,3 +44,14 @@ def test_gate_stops_at_the_first_violation(frame):
     with pytest.raises(quality.CheckFailed, match="two"):
         quality.gate({"one": good, "two": bad, "three": bad})
     assert [tuple(r) for r in quality.report({"one": good, "two": bad}).collect()] == [("one", 0), ("two", 1)]
+
+
+def test_rules_and_keys_of_a_table_in_one_scan(spark, frame, tmp_path):
+    rows = [{"id": "a", "v": "x"}, {"id": "a"}, {"id": "a", "v": "x"}, {"id": None, "v": "x"}, {"id": None}, {"id": "b", "v": "y"}]
+    frame("id STRING, v STRING", rows).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    declared = {"t": quality.Declared(df, ["id", "v"], ["id", "v"], {"v.y": quality.not_accepted("v", ["x"])}), "u": quality.Declared(df.limit(0), ["id"], ["id"]), "w": quality.Declared(df, ["id"])}
+    counts = quality.counted(declared)
+    assert dict(map(tuple, counts.collect())) == {"t.id.not_null": 2, "t.v.not_null": 2, "t.v.y": 1, "t.id.unique": 1, "t.v.unique": 1, "u.id.not_null": 0, "u.id.unique": 0, "w.id.not_null": 2}
+    plan = quality.counted({"t": declared["t"]})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1

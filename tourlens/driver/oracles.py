@@ -395,6 +395,12 @@ oracle(
     "similarity_top_pairs",
     f"SELECT {_EDGE} FROM edges ORDER BY jaccard_similarity DESC, artist_a, artist_b LIMIT 5000",
 )
+oracle(
+    "similarity_of_named_venues",
+    "SELECT artist_a, artist_b, shared_venues, jaccard_similarity FROM edges",
+    visits="""SELECT DISTINCT s_name AS artist, 'Venue ' || l_partkey AS venue
+              FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_partkey % 7 > 1""",
+)
 oracle(
     "similar_to_artist",
     """SELECT CASE WHEN artist_a = 'Supplier#000000001' THEN artist_b ELSE artist_a END AS similar_artist, shared_venues, jaccard_similarity
@@ -468,6 +474,11 @@ oracle(
           QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY place) = 1)""",
 )
 oracle("event_outcomes", "SELECT coalesce(reason, 'kept') AS outcome, count(*) AS n FROM judged GROUP BY ALL")
+oracle(
+    "outcomes_without_ids",
+    """SELECT CASE WHEN o_orderkey % 5 < 2 AND coalesce(reason, '') NOT IN ('no_attraction', 'few_upcoming', 'not_an_artist', 'called_off') THEN 'no_id'
+                   ELSE coalesce(reason, 'kept') END AS outcome, count(*) AS n FROM judged GROUP BY ALL""",
+)
 _RECENT = "(o_orderstatus = 'P' OR o_orderdate >= DATE '2000-01-01')"
 oracle(
     "flatten_setlists",
@@ -479,6 +490,13 @@ oracle(
     FROM setlist_base WHERE {_RECENT}""",
 )
 _SHOW = "regexp_matches(artist_name, '(?i)" + "|".join(NON_ARTIST_PHRASES) + "')"
+oracle(
+    "show_names",
+    f"""SELECT c_custkey, artist_name, {_SHOW} AS is_show
+        FROM (SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN 'The Sound of ' ELSE '' END || c_name ||
+                     [' on Ice', ': The Musical', ' LIVE – one night', ' and Friends', ' (a Tribute)', ' Legacy Band', ''][1 + c_custkey % 7] AS artist_name
+              FROM customer)""",
+)
 oracle(
     "touring_candidates",
     f"""SELECT {_strip('artist_name')} AS artist_name, count(*) AS event_count

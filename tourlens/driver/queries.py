@@ -263,6 +263,34 @@ def event_outcomes(g):
     return matching.count_by_reason(landing.judged_events(g.event_pages()))
 
 
+@query
+def outcomes_without_ids(g):
+    """Judged events of which some came without an id."""
+    events = F.transform(
+        "_embedded.events", lambda e: e.withField("id", F.when(e["id"].cast("bigint") % 5 == 0, "").when(e["id"].cast("bigint") % 5 == 1, None).otherwise(e["id"]))
+    )
+    pages = g.event_pages().withColumn("_embedded", F.col("_embedded").withField("events", events))
+    return matching.count_by_reason(landing.judged_events(pages))
+
+
+@query
+def show_names(g):
+    """Which names read like shows: customers billed as several kinds of act."""
+    acts = [" on Ice", ": The Musical", " LIVE – one night", " and Friends", " (a Tribute)", " Legacy Band", ""]
+    act = F.get(F.array(*map(F.lit, acts)), (F.col("c_custkey") % len(acts)).cast("int"))
+    name = F.when(F.col("c_custkey") % 10 == 0, "The Sound of ").otherwise("")
+    names = g.table("customer").select("c_custkey", F.concat(name, "c_name", act).alias("artist_name"))
+    return names.withColumn("is_show", text.is_non_artist(F.col("artist_name")))
+
+
+@query
+def similarity_of_named_venues(g):
+    """Similarity where some visits have a blank venue or none: those join nobody."""
+    key = F.regexp_extract("venue_name", "[0-9]+", 0).cast("bigint")
+    named = F.when(key % 7 == 0, "  ").when(key % 7 != 1, F.concat(F.lit(" "), "venue_name"))
+    return similarity.venue_similarity(g.visits().withColumn("venue_name", named), with_detail=False)
+
+
 @query
 def flatten_setlists(g):
     rows = landing.flatten_setlists(g.setlist_pages())

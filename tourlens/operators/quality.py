@@ -196,23 +196,26 @@ def core_report(
 def counted(
     declared: Mapping[str, Declared], others: Mapping[str, DataFrame] | None = None
 ) -> DataFrame:
-    """One row per check: all row rules of a table in one pass, then unique keys and `others`."""
-    counts, rest = [], dict(others or {})
-    for table, rules in declared.items():
-        counts.append(count_violations(rules.df, table, rules.row_rules()))
-        rest |= {f"{table}.{c}.unique": unique(rules.df, c) for c in rules.keys}
-    return _union([*counts, report(rest)] if rest else counts)
-
-
-def count_violations(df: DataFrame, table: str, rules: Mapping[str, Column]) -> DataFrame:
-    per_rule = [
-        F.struct(
-            F.lit(f"{table}.{name}").alias("check_name"),
-            F.count_if(F.coalesce(bad, F.lit(False))).alias("violations"),
-        )
-        for name, bad in rules.items()
-    ]
-    return df.agg(F.array(*per_rule).alias("counts")).select(F.inline("counts"))
+    """One row per check: all row rules and unique keys of a table in one pass over it, then `others`."""
+    counts = [count_violations(rules.df, table, rules.row_rules(), rules.keys) for table, rules in declared.items()]
+    return _union([*counts, report(others)] if others else counts)
+
+
+def count_violations(df: DataFrame, table: str, rules: Mapping[str, Column], keys: Sequence[str] = ()) -> DataFrame:
+    """Violations of row rules and of unique keys, in one scan and one shuffle.
+
+    Each row becomes one (key, value) for each key; the first also carries the row's violations. Map tasks add up rows of one value
+    before the shuffle, so a value, or the lack of one, that fills a table is no burden.
+    """
+    broken = [F.coalesce(bad, F.lit(False)).cast("long").alias(f"r{i}") for i, bad in enumerate(rules.values())]
+    places = [F.struct(F.lit(i).alias("key"), F.col(c).cast("string").alias("value")) for i, c in enumerate(keys)]
+    rows = df.select(*broken, F.inline(F.array(*places or [F.struct(F.lit(0).alias("key"), F.lit(None).cast("string").alias("value"))])))
+    met = rows.groupBy("key", "value").agg(F.count("*").alias("n"), *[F.sum(F.when(F.col("key") == 0, F.col(f"r{i}"))).alias(f"r{i}") for i in range(len(rules))])
+    twice = F.col("value").isNotNull() & (F.col("n") > 1)
+    found = {name: F.coalesce(F.sum(f"r{i}"), F.lit(0)) for i, name in enumerate(rules)}
+    found |= {f"{c}.unique": F.count_if((F.col("key") == i) & twice) for i, c in enumerate(keys)}
+    counts = [F.struct(F.lit(f"{table}.{name}").alias("check_name"), n.alias("violations")) for name, n in found.items()]
+    return met.agg(F.array(*counts).alias("counts")).select(F.inline("counts"))
 
 
 def report(checks: Mapping[str, DataFrame]) -> DataFrame:

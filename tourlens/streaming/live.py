@@ -95,22 +95,27 @@ def _processor(columns: list[str], order: list[str], ttl_ms: int | None):
     from pyspark.sql.streaming import StatefulProcessor
 
     class FirstSeen(StatefulProcessor):
-        """Remembers, for each event id, when it was first seen; gets at most a row per id and Arrow batch."""
+        """Remembers, for each event id of its share, when it was first seen; gets at most a row per id and Arrow batch."""
 
         def init(self, handle):
-            self.seen = handle.getValueState("first_seen", "at TIMESTAMP", ttl_ms)
+            self.seen = handle.getMapState("first_seen", "event_id STRING", "at TIMESTAMP", ttl_ms)
 
         def handleInputRows(self, key, rows, timerValues):
-            known, first = self.seen.exists(), None
+            # A row per id is held back: the earliest so far.
+            first = None
             for chunk in rows:
-                if not known:
-                    # One row held back: the earliest so far.
-                    chunk = (chunk if first is None else pd.concat([first, chunk])).sort_values(order, kind="stable")
-                    first, chunk = chunk.head(1), chunk.tail(len(chunk) - 1)
-                yield chunk.assign(is_new=False)[columns]
-            if first is not None:
-                self.seen.update((first["observed_at"].iloc[0].to_pydatetime(),))
-                yield first.assign(is_new=True)[columns]
+                chunk = (chunk if first is None else pd.concat([first, chunk])).sort_values(order, kind="stable")
+                later = chunk.duplicated("event_id")
+                first = chunk[~later]
+                yield chunk[later].assign(is_new=False)[columns]
+            if first is None:
+                return
+            new = []
+            for event_id, at in zip(first["event_id"].fillna(""), first["observed_at"], strict=True):
+                new.append(not self.seen.containsKey((event_id,)))
+                if new[-1]:
+                    self.seen.updateValue((event_id,), (at.to_pydatetime(),))
+            yield first.assign(is_new=new)[columns]
 
         def close(self):
             pass
@@ -122,7 +127,7 @@ def first_seen(updates: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     """Flag the first update of each event id, over all batches and restarts.
 
     Within a batch the earliest `observed_at` counts as first. Each Arrow batch nominates its
-    earliest row per id, and only nominees meet under their id in the stateful operator. All other
+    earliest row per id, and only nominees meet in the stateful operator, in shares by a hash of their id. All other
     rows cannot be first: they take a branch without state or shuffle, so an
     event that fills a third of the stream sends few rows to its task. Both branches nominate by themselves, so
     the rows of a batch must come in a fixed order: from a source, through steps without a shuffle. Start it in `state_store`.
@@ -139,7 +144,8 @@ def first_seen(updates: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     settled = (
         nominated.where("nominee")
         .drop("nominee")
-        .groupBy("event_id")
+        .withColumn("share", F.pmod(F.xxhash64("event_id"), F.lit(_lanes(updates.sparkSession))).cast("int"))
+        .groupBy("share")
         .transformWithStateInPandas(
             statefulProcessor=_processor([*updates.columns, "is_new"], order, ttl_ms),
             outputStructType=f"{fields}, is_new BOOLEAN",

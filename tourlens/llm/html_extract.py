@@ -1,13 +1,14 @@
 """Main text of web pages by a tree-structured graphical model over DOM nodes.
 
 A page becomes a tree of block elements. Each node has a hidden state, content or not; a node's
-observed features (tag, words of its class, id and role, length of its own text, part of it in links)
-depend on its state, and its state on its parent's. Both tables are counted on labelled pages (`pages_for_training`,
+observed features (tag, words of its class, id and role, length of its own text, part of it in links; its share of the page's
+text, links below it, its place and its paragraphs) depend on its state, and its state on its parent's. Both tables are counted on labelled pages (`pages_for_training`,
 smoothed). Sum-product message passing, upward then downward, gives every node's marginal;
 text of nodes that are likelier content is kept in page order.
 
 Labelled pages come from templates: common ways to mark up an article and its surroundings, with
-words of fixed lists, in fixed pseudo-random combinations.
+words of fixed lists, in fixed pseudo-random combinations. In half of them the names are left out or generated, and telling elements
+may be plain ones, so that unfamiliar markup is judged by what its text is to the page.
 
 Output: character references decoded, white space inside a block one space, blocks trimmed and
 joined by one newline. Markup, comments, scripts, styles and the like never count as text.
@@ -49,10 +50,13 @@ SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td"
 #: What can stand in a head; anything else ends it, as its end tag is optional.
 HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 FOREIGN = frozenset(["svg", "math"])
+TOP = frozenset("#root html body".split())
+#: Elements that hold others; what is in one of the rest rarely differs from it.
+HOLDERS = frozenset("article aside center details div fieldset footer form header main nav ol section table tbody td tr ul".split())
 SCOPE = frozenset("html body article section div ul ol dl table main aside nav header footer form td th".split())
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)", re.S
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)(>|\Z)", re.S
 )
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role|hidden|style|aria-hidden|itemprop)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _WORDS = re.compile(r"[a-z]+")
@@ -200,37 +204,64 @@ def parsed(source: str, labels: bool = False, root: int = 0) -> Page:
     return page
 
 
-def _features(node: Node) -> list[str]:
-    bucket = 0 if not node.chars else min(1 + int(math.log2(node.chars) / 2), 6)
-    part = 0 if not node.chars else min(int(4 * node.linked / node.chars), 3)
-    plain = "" if node.names else " plain"
-    return [f"t:{node.tag}{plain}", f"c:{bucket}", f"l:{part}" if node.chars else "l:-", *(f"n:{x}" for x in node.names)]
+def _features(page: Page) -> list[list[str]]:
+    """Of each node: its tag, names, length and links, and what it is to its page: its share, links below it, place, paragraphs."""
+    nodes = page.nodes
+    chars, linked = [n.chars for n in nodes], [n.linked for n in nodes]
+    below = [0] * len(nodes)
+    for i in range(len(nodes) - 1, 0, -1):  # children come after their parents
+        p = nodes[i].parent
+        chars[p] += chars[i]
+        linked[p] += linked[i]
+        below[p] += nodes[i].tag == "p" and nodes[i].chars > 40
+    largest = [1] * len(nodes)
+    for i, node in enumerate(nodes[1:], 1):
+        largest[node.parent] = max(largest[node.parent], chars[i])
+    total, before, out = max(chars[0], 1), 0, []
+    for i, node in enumerate(nodes):
+        length = 0 if not node.chars else min(1 + int(math.log2(node.chars) / 2), 6)
+        part = min(int(4 * node.linked / node.chars), 3) if node.chars else "-"
+        links = min(int(4 * linked[i] / chars[i]), 3) if chars[i] else "-"
+        share = "top" if node.tag in TOP else min(int(8 * chars[i] / total), 7) if 8 * chars[i] >= total else "-"
+        kind = f"{node.tag}{'' if node.names else ' plain'}"
+        out.append([f"t:{kind}", f"c:{length}", f"l:{part}", f"s:{share} {links}", f"p:{min(below[i], 3)}", f"w:{int(4 * before / total)}", *(f"n:{x}" for x in node.names)])
+        if i and node.tag in HOLDERS and nodes[node.parent].tag in TOP:  # what competes for the page
+            out[-1].append(f"r:{min(int(math.log2(largest[node.parent] / max(chars[i], 1))), 4)}")
+        before += node.chars
+    return out
+
+
+def _link(parent: Node, child: Node) -> tuple[bool, bool]:
+    """Kinds of edges with a table of their own: from the page itself or below it, to an element that holds others or not."""
+    return parent.tag in TOP, child.tag in HOLDERS
 
 
 @dataclass(frozen=True)
 class TreeModel:
-    """Log tables: features given the state, and a state given the parent's."""
+    """Log tables: features given the state, and a state given the parent's for each kind of edge."""
 
     feature: dict[str, tuple[float, float]]
     unknown: tuple[float, float]
     root: tuple[float, float]
-    edge: tuple[tuple[float, float], tuple[float, float]]  # [parent][child]
+    edge: dict[tuple[bool, bool], tuple[tuple[float, float], tuple[float, float]]]  # by `_link`, then [parent][child]
 
     @classmethod
     def fitted(cls, pages: list[Page]) -> TreeModel:
-        counts, states, roots, edges = [Counter(), Counter()], [0, 0], [1, 1], [[1.0, 1.0], [1.0, 1.0]]
+        counts, states, roots = [Counter(), Counter()], [0, 0], [1, 1]
+        edges = {(x, y): [[1.0, 1.0], [1.0, 1.0]] for x in (False, True) for y in (False, True)}
         for page in pages:
-            for node in page.nodes:
+            for node, features in zip(page.nodes, _features(page), strict=True):
                 states[node.label] += 1
-                counts[node.label].update(_features(node))
+                counts[node.label].update(features)
                 if node.parent >= 0:
-                    edges[page.nodes[node.parent].label][node.label] += 1
+                    parent = page.nodes[node.parent]
+                    edges[_link(parent, node)][parent.label][node.label] += 1
                 else:
                     roots[node.label] += 1
         names = set(counts[0]) | set(counts[1])
         log = lambda n, k: math.log((n + 0.2) / (states[k] + 0.4))
         feature = {x: (log(counts[0][x], 0), log(counts[1][x], 1)) for x in names}
-        edge = tuple(tuple(math.log(x / sum(row)) for x in row) for row in edges)
+        edge = {k: tuple(tuple(math.log(x / sum(row)) for x in row) for row in table) for k, table in edges.items()}
         return cls(feature, (0.0, 0.0), tuple(math.log(x / sum(roots)) for x in roots), edge)
 
     def marginals(self, page: Page) -> list[float]:
@@ -238,17 +269,18 @@ class TreeModel:
         nodes = page.nodes
         n = len(nodes)
         local = []
-        for node in nodes:
+        for node, features in zip(nodes, _features(page), strict=True):
             a, b = self.root if node.parent < 0 else (0.0, 0.0)
-            for x in _features(node):
+            for x in features:
                 fa, fb = self.feature.get(x, self.unknown)
                 a += fa
                 b += fb
             local.append((a, b))
         up = [list(x) for x in local]
         sent: list[tuple[float, float]] = [(0.0, 0.0)] * n
-        (e00, e01), (e10, e11) = self.edge
+        edges = [((0.0, 0.0), (0.0, 0.0))] + [self.edge[_link(nodes[x.parent], x)] for x in nodes[1:]]
         for i in range(n - 1, 0, -1):  # children come after their parents
+            (e00, e01), (e10, e11) = edges[i]
             a, b = up[i]
             sent[i] = m0, m1 = _add(e00 + a, e01 + b), _add(e10 + a, e11 + b)
             parent = up[nodes[i].parent]
@@ -258,7 +290,7 @@ class TreeModel:
         out = [0.0] * n
         for i in range(n):
             if i:
-                p = nodes[i].parent
+                p, ((e00, e01), (e10, e11)) = nodes[i].parent, edges[i]
                 a = up[p][0] + down[p][0] - sent[i][0]
                 b = up[p][1] + down[p][1] - sent[i][1]
                 m0, m1 = _add(a + e00, b + e10), _add(a + e01, b + e11)
@@ -298,7 +330,7 @@ AROUND = (
 ).split("|")
 NOTICES = (
     '<div class="ad">|<div class="ads advert advertisement">|<div class="sponsor sponsored promo">|<div class="banner">|<aside class="ad">|<div class="cookie notice consent">|<div id="cookie-banner" role="alert">|'
-    '<div class="alert warning message">|<div class="notice">|<div class="gdpr privacy popup modal overlay" role="dialog">|<section class="promo">|<p class="notice">|<p class="ad">|<p class="disclaimer">|<div hidden>|<span class="ad">'
+    '<div class="alert warning message">|<div class="notice">|<div class="paywall note">|<p class="premium subscription paywall">|<div class="gdpr privacy popup modal overlay" role="dialog">|<section class="promo">|<p class="notice">|<p class="ad">|<p class="disclaimer">|<div hidden>|<span class="ad">'
 ).split("|")
 COMMENTS = (
     '<section class="comments">|<div id="comments" class="comment-list">|<ol class="comment-thread replies">|<div class="comment reply user">|<article class="comment">|<div id="disqus_thread" class="discussion responses">|<li class="comment">'
@@ -306,11 +338,29 @@ COMMENTS = (
 FORMS = '<form>|<form class="search" role="search">|<form class="login contact">|<fieldset>|<div class="search-form form">'.split("|")
 
 
+#: Part of the training pages whose names say nothing.
+ANONYMOUS = 0.5
+
+
+def _renamed(source: str, rng: random.Random) -> str:
+    """A page whose classes, ids and roles are left out, or generated, and whose telling elements may be plain ones."""
+    name = {}
+
+    def other(m: re.Match) -> str:
+        return f' class="{name.setdefault(m[0], "css-" + "".join(rng.choices("bcdfghjklmnpqrstvwxz", k=6)))}"'
+
+    source = re.sub(r' (?:class|id|role|itemprop)="[^"]*"', other if rng.random() < 0.7 else "", source)
+    for tag in ("article", "main", "section", "nav", "header", "footer", "aside"):
+        if rng.random() < 0.6:
+            source = re.sub(rf"(</?){tag}\b", r"\1div", source)
+    return source
+
+
 def _closing(opening: str) -> str:
     return "".join(f"</{x}>" for x in reversed(re.findall(r"<([a-z]+)", opening)))
 
 
-def pages_for_training(n: int = 600, seed: int = 7) -> list[Page]:
+def pages_for_training(n: int = 800, seed: int = 7, anonymous: float = ANONYMOUS) -> list[Page]:
     """Labelled pages: every way to mark up a part, combined pseudo-randomly with texts of varied length."""
     rng = random.Random(seed)
     mains, menus, around = itertools.cycle(MAIN), itertools.cycle(MENUS), itertools.cycle(AROUND)
@@ -379,8 +429,9 @@ def pages_for_training(n: int = 600, seed: int = 7) -> list[Page]:
             body.append(noise(next(around), rng.choice([say(1, 25), paragraphs(1, 2), listed()])))
         bare = rng.random() < 0.25  # a text without any frame
         source = main_text() if bare else f'<html data-main="0"><head></head><body data-main="0">{"".join(body)}</body></html>'
-        page = parsed(source, labels=True, root=int(bare))
-        pages.append(page)
+        if rng.random() < anonymous:
+            source = _renamed(source, rng)
+        pages.append(parsed(source, labels=True, root=int(bare)))
     return pages
 
 

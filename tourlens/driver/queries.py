@@ -506,7 +506,7 @@ def incremental_fact(g):
         dim = core.load_dim_artist(store, artists, of_dim, LOADED_AT)
         rows = core.due_concerts(store, events, setlists)
         unified = staging.concerts_unified(staging.stg_events(rows[0], g.raw_artists()), staging.stg_setlists(rows[1]))
-        return core.load_fact_concert(store, unified, dim, LOADED_AT)
+        return core.load_fact_concert(store, unified, dim, LOADED_AT, taken=True)
 
     load(known, events.where(early), setlists.where(early), typed_empty(g.spark, schemas.RAW_EVENTS))
     return load(artists, events, setlists, events).drop("loaded_at")

@@ -212,10 +212,11 @@ def load_fact_concert(
     full_refresh: bool = False,
     strict_reference: bool = False,
     removed: DataFrame | None = None,
+    taken: bool = False,
 ) -> DataFrame:
     """Merge concerts into the stored fact.
 
-    `unified` may hold all concerts or only those staged from `due_concerts`.
+    `unified` holds all concerts, or only those staged from `due_concerts` if they are `taken` already.
     `removed` (concert_id) deletes concerts that have since been called off; without it
     they stay. By default, concerts stored before their artist was known are linked again.
     """
@@ -223,6 +224,7 @@ def load_fact_concert(
     mark = None if rebuild or strict_reference else _mark(store, "fact_concert")
     if mark is not None:
         stored, unlinked = _stored_concerts(store)
+    if mark is not None and not taken:
         unified = due(unified, "concert_id", stored, mark, unlinked)
     rows = best_per_key(
         unified, ["concert_id"], [F.col("extracted_at").desc_nulls_last(), F.col("source").asc()]

@@ -42,14 +42,14 @@ def build_core(
     try:
         dim = core.load_dim_artist(draft, raw["musicbrainz_artists"], raw["ticketmaster_events"], loaded_at, **how)
         quality.gate_report(quality.counted(quality.dim_rules(dim), quality.dim_checks(raw, dim)))
-        taken = dict(raw)
-        if not (full_refresh or strict_reference):
-            taken["ticketmaster_events"], taken["setlistfm_setlists"] = core.due_concerts(
+        rows, taken = dict(raw), not (full_refresh or strict_reference)
+        if taken:
+            rows["ticketmaster_events"], rows["setlistfm_setlists"] = core.due_concerts(
                 store, raw["ticketmaster_events"], raw["setlistfm_setlists"]
             )
         removed = core.called_off(raw["ticketmaster_events"]) if drop_called_off else None
-        unified = staging.concerts_unified(*staged_concerts(taken))
-        fact = core.load_fact_concert(draft, unified, dim, loaded_at, removed=removed, **how)
+        unified = staging.concerts_unified(*staged_concerts(rows))
+        fact = core.load_fact_concert(draft, unified, dim, loaded_at, removed=removed, taken=taken, **how)
         quality.gate_report(quality.counted(quality.fact_rules(fact, as_of), quality.fact_checks(dim, fact)))
     except BaseException:
         draft.discard()

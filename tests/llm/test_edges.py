@@ -9,10 +9,12 @@ import brute
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tourlens.llm import decontaminate, exact_dedup, html_extract, jaccard_join, language_id, mixing, pii, quality, secrets, spans, warc
+from tourlens.llm.common import fold
 
 LONG = " ".join(f"word{i % 977}" for i in range(60_000))
 DDL = "doc_id long, text string, lang string, source string, n_chars long, score string, copies string, component_id string, id string, n string, v string, kept string, digest string, lang_pred string"
@@ -102,6 +104,25 @@ def test_language(docs, none):
     assert language_id.identify(none, trees).count() == 0
 
 
+def test_foreign_scripts_score_low(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    trees = language_id.train(rows)
+    foreign = ["これは日本語の文章です。" * 9, "это русский текст без единого знакомого слова " * 5, "αυτό είναι ένα ελληνικό κείμενο " * 7]
+    texts = spark.createDataFrame([(i, t) for i, t in enumerate(foreign)], "doc_id long, text string")
+    assert all(r.score < 0.5 for r in language_id.identify(texts, trees).collect())
+    assert language_id.keep_identified(texts, trees).count() == 0
+    known = language_id.identify(rows.where("lang is not null and length(text) > 20"), trees)
+    assert known.where("score < 0.5").count() <= 0.01 * known.count()
+
+
+def test_language_sample_is_the_first_by_digest(spark):
+    frame = spark.range(3000).selectExpr("id AS doc_id", "concat('text ', id) AS text", "if(id % 3 = 0, 'a', 'b') AS lang")
+    got = language_id.labelled_sample(frame, "doc_id", "text", "lang", 50)
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"))
+    all_rows = frame.where(fold(F.col("doc_id"), 5) != 0).withColumn("n", F.row_number().over(order)).where("n <= 50")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, all_rows.select("lang", "text").collect()))
+
+
 def test_jaccard(docs, none):
     got = jaccard_join.jaccard_components(docs).collect()
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == sorted(

@@ -29,6 +29,16 @@ def fold(key: Column, n: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % n, F.lit(0))
 
 
+def drawn(key: Column) -> Column:
+    """A number from 0 to 1 by the digest of a key, in the order of the digest."""
+    return F.xxhash64(key) / 2.0**64 + 0.5
+
+
+def part(most: int, n: int) -> float:
+    """`drawn` below which `most` of n keys lie: twice as many are expected there, so that fewer are next to impossible."""
+    return min(1.0, (2 * most + 100) / max(n, 1))
+
+
 #: Folders of tables written inside `distilled`, innermost last.
 _passing: list[list[str]] = []
 

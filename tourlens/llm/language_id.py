@@ -10,7 +10,11 @@ length under a language is the sum over its bytes, exact, each distinct context
 
 Texts are lower-cased and every run of non-letters becomes one space, so markup and numbers do not
 vote. Training takes whole labelled texts, at most `per_language` of each language by the order of
-a digest of their ids (the documented bound on the sample); scoring takes every whole text.
+a digest of their ids (the documented bound on the sample); scoring takes every whole text. Labels are counted first, so that only
+about twice the sample's texts are shuffled, however many tasks read the table.
+
+The score is the best language's share among the languages. Where even its tree needs more than the eight bits a byte of no model at
+all, as in a script that no language of the sample has, the score falls in proportion.
 
 Defined cases: a null text or one without letters is `und` with score 0. Null labels are not learned.
 No labelled rows: everything is `und`. Ties go to the first language by code point. Rows are scored one
@@ -30,13 +34,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tourlens.llm.common import bytes_and_offsets, fold, slices, texts
+from tourlens.llm.common import bytes_and_offsets, drawn, fold, part, slices, texts
 
 UNDETERMINED = "und"
 #: Labelled texts of a language that are learned at most.
 PER_LANGUAGE = 400
 #: Longest context in bytes.
 ORDER = 3
+#: Bits of a byte without any model.
+UNMODELLED = 8.0
 #: Rows whose id has this remainder are held out.
 FOLDS, HELD_OUT = 5, 0
 
@@ -120,6 +126,10 @@ class ContextTrees:
 
     def code_lengths(self, array: pa.Array) -> np.ndarray:
         """Bits of each prepared text under each language."""
+        return self._coded(array)[0]
+
+    def _coded(self, array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Bits of each prepared text under each language, and its bytes."""
         raw, offsets = bytes_and_offsets(_prepared(array, self.order))
         coded = pa.array(_grams(raw, self.order)).dictionary_encode()
         grams, which = coded.dictionary.to_numpy(), coded.indices.to_numpy()
@@ -130,15 +140,16 @@ class ContextTrees:
         for j, levels in enumerate(self.trees):
             cost = np.append(self._costs(levels, grams)[which], 0.0)
             out[:, j] = np.add.reduceat(cost, np.minimum(bounds, len(cost) - 1))[::2] if len(array) else 0
-        return out
+        return out, np.maximum(ends - starts, 1)
 
     def predictions(self, array: pa.Array) -> tuple[pa.Array, pa.Array]:
         has_letter = pc.match_substring_regex(array, r"\p{L}").to_numpy(zero_copy_only=False).astype(bool)
         if not self.languages or not len(array):
             return pa.array([UNDETERMINED] * len(array), pa.string()), pa.array([0.0] * len(array))
-        bits = self.code_lengths(array)
-        best = bits.argmin(axis=1)
-        share = 1 / np.exp2(np.minimum(bits.min(axis=1, keepdims=True) - bits, 0)).sum(axis=1)
+        bits, size = self._coded(array)
+        best, least = bits.argmin(axis=1), bits.min(axis=1)
+        share = 1 / np.exp2(np.minimum(least[:, None] - bits, 0)).sum(axis=1)
+        share *= np.minimum(UNMODELLED * size / np.maximum(least, 1e-9), 1)
         names = np.array(self.languages, object)[best]
         names[~has_letter] = UNDETERMINED
         return pa.array(names, pa.string()), pa.array(np.where(has_letter, share, 0.0))
@@ -148,6 +159,10 @@ def labelled_sample(docs: DataFrame, key: str, text: str, label: str, per_langua
     """Learned texts: label and text, a bounded number of each label outside the held-out fold."""
     rows = docs.where(fold(F.col(key), FOLDS) != HELD_OUT).where(F.col(label).isNotNull() & F.col(text).isNotNull())
     rows = rows.select(F.col(key).alias("id"), F.col(label).cast("string").alias("label"), F.col(text).alias("text"))
+    counts = rows.groupBy("label").count().collect()  # one row of each language
+    if counts:
+        parts = F.create_map(*[F.lit(x) for r in counts for x in (r["label"], part(per_language, r["count"]))])
+        rows = rows.where(drawn(F.col("id")) <= F.element_at(parts, F.col("label")))
     order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id", "text")
     return rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language).select("label", "text")
 

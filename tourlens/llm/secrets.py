@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tourlens.llm import spans
+from tourlens.llm.common import drawn, part
+from tourlens.sources import workspace
 
 #: Fixed patterns. Those that can match nothing shorter are anchored at the first character of a run.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]+"""
@@ -115,6 +117,8 @@ def labelled(spark: SparkSession, docs: DataFrame, key: str, text: str) -> DataF
         F.lit(False).alias("random"),
     )
     sample = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).where("text is not null")
+    # Few whole texts come to one task, however many tasks read the table.
+    sample = sample.where(drawn(F.col("id")) <= part(SAMPLE, sample.count()))
     sample = sample.orderBy(F.xxhash64("id"), "id", F.md5(F.col("text").cast("binary"))).limit(SAMPLE)
     spoken = sample.select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]{8,}"), F.lit(0))).alias("token"), F.lit(False).alias("random"))
     return random.unionByName(identifiers).unionByName(spoken)
@@ -144,7 +148,12 @@ def short_ordinary(samples: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Chains:
-    samples = labelled(docs.sparkSession, docs, key, text)
+    with workspace.staged(labelled(docs.sparkSession, docs, key, text), "secrets-samples") as samples:
+        return fitted(samples)
+
+
+def fitted(samples: DataFrame) -> Chains:
+    """Chains and thresholds from samples: token and whether it is random."""
     steps = samples.withColumn("i", F.explode(F.sequence(F.lit(1), F.length("token") - 1))).where("length(token) > 1")
     pair = F.substring("token", F.col("i"), F.lit(2))
     n = len(ALPHABET) + 1

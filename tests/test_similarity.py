@@ -119,3 +119,36 @@ def test_a_crowded_venue_opens_few_blocks(frame, monkeypatch):
 def test_no_artists(frame):
     assert top_similar(fact(frame, [("A", None)])).count() == 0
     assert top_similar(fact(frame, [("A", "v")])).count() == 0
+
+
+@pytest.mark.parametrize("kind", [0, 1, 2])
+@pytest.mark.parametrize("most", [0, 1000])
+def test_both_ways_to_the_best_agree(frame, monkeypatch, kind, most):
+    """By blocks, and by all that artists meet; crowded venues in many blocks."""
+    monkeypatch.setattr(similarity, "CLASSES", 2)
+    monkeypatch.setattr(similarity, "MET_PER_VISIT", most)
+    monkeypatch.setattr(similarity, "ENTRIES", 100)
+    made, kept = [], similarity._settled
+    monkeypatch.setattr(similarity, "_settled", lambda df, purpose: made.append(purpose) or kept(df, purpose))
+    visits = crowds(kind)
+    got = top_similar(fact(frame, visits), 3).collect()
+    assert sorted(tuple(r) for r in got) == best(visits, 3)
+    assert ("similarity-blocks" in made) == (most == 0)
+
+
+def test_lists_of_met_artists_are_shuffled_not_pairs(frame, monkeypatch):
+    """A row per visit, and tasks by what is met."""
+    monkeypatch.setattr(similarity, "ENTRIES", 40)
+    rng = random.Random(3)
+    visits = sorted({(f"a{rng.randrange(40)}", f"v{rng.randrange(30)}") for _ in range(200)})
+    sets = similarity.venue_sets(fact(frame, visits))
+    assert sorted(r.artist for r in sets.artists.collect()) == list(range(sets.artists.count()))
+    rows = similarity.met(sets.visits)
+    assert rows.count() <= len(visits)
+    entries = similarity._entries(sets)
+    assert sum(len(r.others) for r in rows.collect()) == entries
+    assert similarity._gathered(rows, entries).rdd.getNumPartitions() == 1 + entries // 40
+    edges = venue_similarity(fact(frame, visits), with_detail=False)
+    text = edges._jdf.queryExecution().executedPlan().toString()
+    assert ", other#" not in text.split("Exchange hashpartitioning(", 1)[1].split(")", 1)[0]
+    assert sorted(tuple(r) for r in edges.collect()) == sorted(r[:4] for r in brute_force(visits))

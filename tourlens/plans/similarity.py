@@ -2,7 +2,8 @@
 
 Artists are numbered by name, so numbers order and break ties as names do, and venues from rare to crowded.
 
-The best k of each artist are found without listing all pairs. Artists with equal sets are one class, known by its
+Artists that meet are sent as lists, a row for each visit, to the task of the artist, and counted there. The best k of each
+artist are ranked there too while that is linear in the visits. Else they are found without listing all pairs. Artists with equal sets are one class, known by its
 k + 1 first artists. Classes are sorted by their venues, rare ones first, and cut into blocks; like sets are
 neighbours. Blocks are matched with themselves and their neighbours, and each class with the first artists of its most
 crowded venue, which gives each class a list and with it a threshold: score and number of its last entry. Of the other pairs of
@@ -28,11 +29,15 @@ BLOCK = 1000
 CLASSES = 7
 # Matches that a task holds at once.
 MATCHES = 1 << 22
+# Artists met that a task counts, and the most tasks that count them.
+ENTRIES, MOST_TASKS = 1 << 21, 20_000
+# The best are taken from all that are met if these are at most so many for each visit: linear work then.
+MET_PER_VISIT = 32
 
 
 @dataclass(frozen=True)
 class Sets:
-    """artists: artist, artist_name; venues: venue, venue_name; visits: artist, venue, n (venues of the artist)."""
+    """artists: artist, artist_name, n (venues); venues: venue, venue_name, crowd (artists); visits: artist, venue, n, crowd."""
 
     artists: DataFrame
     venues: DataFrame
@@ -48,6 +53,16 @@ def _numbered(df: DataFrame, number: str, *order: str) -> DataFrame:
     return _settled(df.orderBy(*order).withColumn(number, F.monotonically_increasing_id()), f"similarity-{number}")
 
 
+def _dense(df: DataFrame, number: str) -> DataFrame:
+    """The same order with numbers from 0 without gaps: short ones, as lists of them are shuffled."""
+    # Numbers of one task follow each other, those of the next start at 1 << 33 more. There is one row per task to add up.
+    task, start = F.shiftright(number, 33), F.sum("_rows").over(Window.orderBy("_task")) - F.col("_rows")
+    starts = df.groupBy(task.alias("_task")).agg(F.count("*").alias("_rows")).select("_task", start.alias("_start"))
+    rows = df.withColumn("_task", task).join(starts, "_task")
+    rows = rows.withColumn(number, (F.col("_start") + F.col(number).bitwiseAND((1 << 33) - 1)).cast("int")).drop("_task", "_start")
+    return _settled(rows, f"similarity-{number}")
+
+
 def venue_sets(fact: DataFrame) -> Sets:
     """Distinct visits with numbers for names.
 
@@ -62,47 +77,58 @@ def venue_sets(fact: DataFrame) -> Sets:
     )
     named = _settled(named, "similarity-visits")
     artists = _numbered(named.groupBy("artist_name").agg(F.count("*").alias("n")), "artist", "artist_name")
+    artists = _dense(artists, "artist")
     venues = _numbered(named.groupBy("venue_name").agg(F.count("*").alias("crowd")), "venue", "crowd", "venue_name")
-    visits = named.join(artists, "artist_name").join(venues, "venue_name").select("artist", "venue", "n")
-    return Sets(artists.select("artist", "artist_name"), venues, _settled(visits, "similarity-numbered"))
+    visits = named.join(artists, "artist_name").join(venues, "venue_name").select("artist", "venue", "n", "crowd")
+    return Sets(artists, venues, _settled(visits, "similarity-numbered"))
+
+
+def _lists(visits: DataFrame, block_size: int) -> DataFrame:
+    """The artists of each venue in blocks: venue, block, blocks, members (n and artist, in that order), other columns of visits."""
+    more = [c for c in visits.columns if c not in ("artist", "venue", "n", "crowd")]
+    rows = visits.withColumn("blocks", F.ceil(F.col("crowd") / F.lit(block_size)).cast("int"))
+    lists = (
+        rows.withColumn("block", F.pmod(F.xxhash64("artist"), F.col("blocks")).cast("int"))
+        .groupBy("venue", "block")
+        .agg(F.sort_array(F.collect_list(F.struct("n", "artist"))).alias("members"), *[F.first(c).alias(c) for c in ("blocks", *more)])
+    )
+    return _settled(lists, "similarity-lists")
 
 
-def _blocked(visits: DataFrame, block_size: int) -> DataFrame:
-    """Add each venue's number of blocks and each row's own block."""
-    sizes = visits.groupBy("venue").agg(
-        F.ceil(F.count("*") / F.lit(block_size)).cast("int").alias("blocks")
-    )
-    return visits.join(sizes, "venue").withColumn(
-        "block", F.pmod(F.xxhash64("artist"), F.col("blocks")).cast("int")
-    )
+def _numbers(members: Column) -> Column:
+    return F.transform(members, lambda m: m["artist"])
 
 
-def shared_venue_pairs(visits: DataFrame, block_size: int = BLOCK) -> DataFrame:
-    """(a, b, venue) for a < b: the long form of the venues that pairs share; other columns of visits stay with a.
+def met(visits: DataFrame, block_size: int = BLOCK, both: bool = False) -> DataFrame:
+    """(artist, others): at each venue each artist with those that come after it by (n, artist), or with `both` all; more columns of visits stay.
 
-    Each row is an entry in the list of venues that the result gives for its pair, so there
-    cannot be fewer. What can go wrong is one crowded venue landing in one task: its artists
-    are hashed into blocks, and each combination of two blocks is joined on its own, so a
-    task meets about a block of each side, whatever the venue's size.
+    A row for each visit and block of its venue, with a number for each artist met: far less to shuffle than a row for each
+    pair. What can go wrong is one crowded venue landing in one task: its artists are hashed into blocks, and each
+    combination of two blocks is joined on its own. An artist with many venues comes last, so that it meets few: the others meet it.
     """
-    rows = _blocked(visits, block_size)
-    every_block = F.sequence(F.lit(0), F.col("blocks") - 1)
-    a = rows.select(
-        "venue",
-        F.col("block").alias("block_a"),
-        F.explode(every_block).alias("block_b"),
-        F.col("artist").alias("a"),
-        F.col("n").alias("count_a"),
-        *[c for c in visits.columns if c not in ("artist", "venue", "n")],
-    )
-    b = rows.select(
-        "venue",
-        F.explode(every_block).alias("block_a"),
-        F.col("block").alias("block_b"),
-        F.col("artist").alias("b"),
-        F.col("n").alias("count_b"),
-    )
-    return a.join(b, ["venue", "block_a", "block_b"]).where("a < b")
+    lists = _lists(visits, block_size)
+    more = [c for c in lists.columns if c not in ("venue", "block", "blocks", "members")]
+    small = lists.where("blocks = 1").select(F.posexplode("members").alias("at", "own"), "members", *more)
+    after = _numbers(F.col("members")) if both else _numbers(F.slice("members", F.col("at") + 2, F.size("members")))
+    crowded = lists.where("blocks > 1")
+    left = crowded.select("venue", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"), F.col("members").alias("owners"), *more)
+    right = crowded.select("venue", F.col("block").alias("other"), "members")
+    parts = left.join(right, ["venue", "other"]).select(F.explode("owners").alias("own"), "members", *more)
+    later = F.col("members") if both else F.filter("members", lambda m: m > F.col("own"))
+    rows = [df.select(F.col("own.artist").alias("artist"), others.alias("others"), *more) for df, others in ((small, after), (parts, _numbers(later)))]
+    return rows[0].unionByName(rows[1]).where(F.size("others") > 0)
+
+
+def _entries(sets: Sets) -> int:
+    """How many artists are met at all venues, each pair once a venue."""
+    return int(sets.venues.agg(F.sum(F.expr("crowd * (crowd - 1) div 2"))).first()[0] or 0)
+
+
+def _gathered(rows: DataFrame, entries: int) -> DataFrame:
+    """(artist, other) for each artist met, the rows of an artist in one task, and a bounded number of rows in each."""
+    tasks = min(MOST_TASKS, 1 + entries // ENTRIES)
+    more = [c for c in rows.columns if c != "others"]
+    return rows.repartition(tasks, "artist").select(*more, F.explode("others").alias("other"))
 
 
 def venue_similarity(
@@ -113,15 +139,21 @@ def venue_similarity(
     Unordered; readers sort. Pairs are aggregated by numbers; without detail nothing but numbers is.
     """
     sets = venue_sets(fact)
-    visits = sets.visits.join(sets.venues.drop("crowd"), "venue") if with_detail else sets.visits
-    shared = [F.count("*").alias("shared_venues"), F.max("count_a").alias("count_a"), F.max("count_b").alias("count_b")]
+    visits = sets.visits.join(sets.venues.select("venue", "venue_name"), "venue") if with_detail else sets.visits
+    shared = [F.count("*").alias("shared_venues")]
     if with_detail:
         shared.append(F.array_join(F.sort_array(F.collect_list("venue_name")), "; ").alias("shared_venues_detail"))
-    pairs = shared_venue_pairs(visits, block_size).groupBy("a", "b").agg(*shared)
-    similarity = F.col("shared_venues") / (F.col("count_a") + F.col("count_b") - F.col("shared_venues"))
-    a, b = (sets.artists.select(F.col("artist").alias(s), F.col("artist_name").alias(f"artist_{s}")) for s in "ab")
-    return pairs.join(a, "a").join(b, "b").select(
-        "artist_a", "artist_b", "shared_venues", F.round(similarity, 4).alias("jaccard_similarity"), *["shared_venues_detail"] * with_detail
+    pairs = _gathered(met(visits, block_size), _entries(sets)).groupBy("artist", "other").agg(*shared)
+    mine = sets.artists.select("artist", F.col("artist_name").alias("own_name"), F.col("n").alias("own_n"))
+    theirs = sets.artists.select(F.col("artist").alias("other"), F.col("artist_name").alias("other_name"), F.col("n").alias("other_n"))
+    similarity = F.col("shared_venues") / (F.col("own_n") + F.col("other_n") - F.col("shared_venues"))
+    first = F.col("artist") < F.col("other")
+    return pairs.join(mine, "artist").join(theirs, "other").select(
+        F.when(first, F.col("own_name")).otherwise(F.col("other_name")).alias("artist_a"),
+        F.when(first, F.col("other_name")).otherwise(F.col("own_name")).alias("artist_b"),
+        "shared_venues",
+        F.round(similarity, 4).alias("jaccard_similarity"),
+        *["shared_venues_detail"] * with_detail,
     )
 
 
@@ -235,9 +267,17 @@ def _openable(classes: DataFrame, weakest: DataFrame, done: DataFrame) -> DataFr
     return pairs.where(better).select("l", "r")
 
 
-def top_similar(fact: DataFrame, k: int = 10) -> DataFrame:
-    """The k artists most similar to each artist, by score, then name: as `most_similar` over all pairs, without making them."""
-    sets = venue_sets(fact)
+def _all_met(sets: Sets, entries: int) -> DataFrame:
+    """All that each artist meets: artist, other, shared, union, score. All of an artist is counted in one task."""
+    pairs = _gathered(met(sets.visits, both=True), 2 * entries).where("artist != other").groupBy("artist", "other").agg(F.count("*").alias("shared"))
+    own = sets.artists.select("artist", "n")
+    theirs = sets.artists.select(F.col("artist").alias("other"), F.col("n").alias("m"))
+    pairs = pairs.join(own, "artist").join(theirs, "other").withColumn("union", F.col("n") + F.col("m") - F.col("shared"))
+    return pairs.select("artist", "other", "shared", "union", F.expr("(20000 * shared + union) div (2 * union)").alias("score"))
+
+
+def _best_of_blocks(sets: Sets, k: int) -> DataFrame:
+    """The best of each artist without listing all it meets: artist, other, shared, union, score."""
     members, classes = _classes(sets, k)
     rows = F.sort_array(F.collect_list(F.struct("class", "n", "venues", "members")))
     packed = classes.groupBy("block").agg(rows.alias("rows")).select(
@@ -258,7 +298,19 @@ def top_similar(fact: DataFrame, k: int = 10) -> DataFrame:
     )
     rest = _matched(_settled(_openable(classes, weakest, near), "similarity-open"), packed, k)
     best = _ranked(known.select("class", "other", "shared", "union").unionByName(rest), k + 1)
-    entries = members.join(best.drop("rank"), "class").where("artist != other")
+    return members.join(best.drop("rank"), "class").where("artist != other").drop("class")
+
+
+def top_similar(fact: DataFrame, k: int = 10) -> DataFrame:
+    """The k artists most similar to each artist, by score, then name: as `most_similar` over all pairs, ranked by each artist's task.
+
+    All that artists meet are counted if that is at most `MET_PER_VISIT` for each visit. At crowded venues it is more, as it
+    grows with the square of the crowd: blocks of artists then rule most pairs out.
+    """
+    sets = venue_sets(fact)
+    met_at_all = _entries(sets)
+    few = met_at_all <= MET_PER_VISIT * sets.visits.count()
+    entries = _all_met(sets, met_at_all) if few else _best_of_blocks(sets, k)
     rank = F.row_number().over(Window.partitionBy("artist").orderBy(F.desc("score"), "other"))
     entries = entries.withColumn("similarity_rank", rank).where(F.col("similarity_rank") <= k)
     similar = sets.artists.select(F.col("artist").alias("other"), F.col("artist_name").alias("similar_artist"))

@@ -100,3 +100,14 @@ def test_folding_is_that_of_unicode_and_stays_in_the_jvm(spark):
     assert [r for r in out.collect() if r.folded != folded(r.v)] == []
     names = spark.range(1).select(text.normalise_names(F.array(F.lit("É"))), text.normalise_name(F.lit("ö")))
     assert "Python" not in names._jdf.queryExecution().executedPlan().toString()
+
+
+def test_texts_with_a_ligature_are_not_taken_apart_by_character(evaluate):
+    long = "plain text " * 200
+    odd = [f"{long}\ufb01 \u00bd {long}", "\ufb01", "\ud55c\uae00 \u4e2d\u6587 \u01c6 \U0001f600\U0001d400", "\u00bc\u00bd" * 3]
+    want = ["".join(ch for ch in unicodedata.normalize("NFKD", v) if not unicodedata.combining(ch)) for v in odd]
+    assert evaluate(text.fold_accents, odd) == want
+    from pyspark.sql import functions as F
+
+    assert "(?s)." not in str(text.fold_accents(F.col("v")))
+    assert text._ranges("\u0105\u0100\u0101") == "\u0100-\u0101\u0105-\u0105"

@@ -86,6 +86,17 @@ def _decompositions() -> tuple[dict[str, str], dict[str, str]]:
     return short, long
 
 
+def _ranges(chars: str) -> str:
+    """Characters above ASCII as the inside of a pattern's class; a class of single ones would be tried one after the other."""
+    codes, parts = sorted(map(ord, chars)), []
+    for code in codes:
+        if parts and parts[-1][1] == code - 1:
+            parts[-1][1] = code
+        else:
+            parts.append([code, code])
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in parts)
+
+
 def _jamo(char: Column) -> Column:
     """The two or three letters of a Hangul syllable."""
     place = F.ascii(char) - ord(SYLLABLES[0])
@@ -98,7 +109,7 @@ def fold_accents(c: Column) -> Column:
     """NFKD-decompose and drop combining marks.
 
     ASCII text is its own decomposition. Of other text most characters fold to one or none, which is one
-    `translate`; only text with a ligature, fraction, syllable and the like is taken apart character by character.
+    `translate`; only in text with a ligature, fraction, syllable and the like these are taken out, and the rest is kept in long pieces.
     """
     short, long = _decompositions()
     # Characters without a counterpart, at the end, are dropped.
@@ -110,8 +121,11 @@ def fold_accents(c: Column) -> Column:
         other = F.get(F.array(*map(F.lit, long.values())), F.instr(F.lit(several), char) - 1)
         return F.when(char.between(*SYLLABLES), _jamo(char)).otherwise(F.coalesce(F.when(F.length(char) > 0, other), char))
 
-    whole = F.array_join(F.transform(F.regexp_extract_all(single, F.lit("(?s)."), F.lit(0)), apart), "")
-    is_long = single.rlike(f"[{several}{'-'.join(SYLLABLES)}]")
+    taken = _ranges(several) + "-".join(SYLLABLES)
+    pieces = F.regexp_extract_all(single, F.lit(rf"[\x00-\x7f]+|[^\x00-\x7f{taken}]+|[{taken}]"), F.lit(0))
+    whole = F.array_join(F.transform(pieces, lambda piece: F.when(F.length(piece) > 1, piece).otherwise(apart(piece))), "")
+    # The class is tried on characters above ASCII only.
+    is_long = single.rlike(rf"(?=[^\x00-\x7f])[{taken}]")
     return F.when(c.rlike(r"[^\x00-\x7f]"), F.when(is_long, whole).otherwise(single)).otherwise(c)
 
 

@@ -196,3 +196,22 @@ def test_enrichment_and_skipping(frame):
     assert [(r["event_id"], r["artist_mbid"]) for r in got] == [("1", "m")]
     stored = frame(schemas.RAW_SETLISTS, [{"artist_mbid": "m"}, {"artist_mbid": None}, {"artist_mbid": "m"}])
     assert [r["mbid"] for r in dicts(matching.without_setlists(artists, stored))] == ["n"]
+
+
+def test_searches_are_matched_before_they_are_shuffled(spark):
+    """What is sorted and sent is a record, not all results of a search."""
+    from tourlens.sources.tables import typed_empty
+
+    result = "named_struct('id', 'x', 'name', concat('B', id % 2), 'tags', array(named_struct('name', 't', 'count', 1L)))"
+    rows = spark.range(20).selectExpr("concat('b', id % 2, repeat(' ', int(id))) AS searched_name", f"array({result}) AS artists")
+    searches = spark.createDataFrame([], schemas.ARTIST_SEARCH).unionByName(
+        rows.select("searched_name", F.from_json(F.to_json("artists"), typed_empty(spark, schemas.ARTIST_SEARCH).schema["artists"].dataType).alias("artists"))
+    )
+    names = spark.createDataFrame([("b0",), ("b1",), ("b7",)], "artist_name STRING")
+    got = matching.resolve_artists(names, searches, typed_empty(spark, schemas.ARTIST_RESOLUTION))
+    assert sorted((r.artist_name, r.mbid, r.mb_name) for r in got.collect()) == [("b0", "x", "B0"), ("b1", "x", "B1")]
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in text.splitlines() if "Window [" in line and "digest" in line]
+    assert windows
+    below = text[text.index(windows[0]) :].splitlines()
+    assert "artists#" not in below[1].split("Project", 1)[-1].split("xxhash64", 1)[0]

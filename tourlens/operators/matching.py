@@ -9,7 +9,7 @@ from tourlens import schemas
 from tourlens.functions import dates, text
 from tourlens.operators.keyed import best_per_key
 from tourlens.plans.core import ARTIST_TYPES
-from tourlens.sources.tables import with_columns_of
+from tourlens.sources.tables import typed_empty, with_columns_of
 
 # When another result casts a shadow over the match (long enough name, well
 # enough known, clearly better known).
@@ -46,8 +46,8 @@ def _first(candidates: Column, test) -> Column:
     return F.get(F.filter(candidates, test), F.lit(0))
 
 
-def match_searches(searches: DataFrame) -> DataFrame:
-    """One row per search with the matched result, or null where none is trustworthy.
+def match_searches(searches: DataFrame, *more: str) -> DataFrame:
+    """One row per search with the matched result, or null where none is trustworthy, and `more` columns.
 
     An equal normalised name beats one that merely starts with the searched name; within
     each, the better rank wins. The searched name must not be the longer one. A match is
@@ -81,7 +81,7 @@ def match_searches(searches: DataFrame) -> DataFrame:
         & (other["tag_count"] >= best["tag_count"] + SHADOW_LEAD),
     )
     match = F.when(~F.coalesce(shadowed, F.lit(False)), best["record"])
-    return found.select("searched_name", match.alias("match"))
+    return found.select("searched_name", match.alias("match"), *more)
 
 
 def ranked_tags(tags: Column) -> Column:
@@ -133,10 +133,11 @@ def resolve_artists(names: DataFrame, searches: DataFrame, cache: DataFrame) ->
     )
     hits = wanted.select("cache_key").join(known, "cache_key")
     missing = wanted.join(known, "cache_key", "left_anti")
-    digest = F.xxhash64(F.to_json("artists")).asc()
-    documents = _one_per_name(searches, "searched_name", digest).join(missing, "cache_key", "left_semi")
-    matched = match_searches(documents).withColumn("cache_key", text.cache_key(F.col("searched_name")))
-    fresh = missing.join(matched, "cache_key").select(*_record(F.col("artist_name"), F.col("match")))
+    # Matched where they are read: what is sorted, shuffled and joined is a record, not all results of a search.
+    matched = match_searches(searches.withColumn("digest", F.xxhash64(F.to_json("artists"))), "digest")
+    records = matched.select("searched_name", "digest", *_record(F.col("searched_name"), F.col("match")))
+    chosen = _one_per_name(records, "searched_name", F.col("digest").asc()).drop("searched_name", "digest", "artist_name")
+    fresh = missing.join(chosen, "cache_key").select(*typed_empty(cache.sparkSession, schemas.ARTIST_RESOLUTION).columns)
     found = hits.select(*fresh.columns).withColumn("is_new", F.lit(False))
     return found.unionByName(fresh.withColumn("is_new", F.lit(True)))
 

@@ -141,3 +141,17 @@ def test_date_range(frame):
     fact = frame(schemas.FACT_CONCERT, [listed("1", day=dt.date(2024, 2, 3)), listed("2", day=dt.date(2024, 11, 5)), listed("3", day=dt.date(2020, 1, 1))])
     shown = boards.date_caption(boards.upcoming_date_range(fact, AS_OF)).first()
     assert (shown.min_date, shown.max_date) == ("03/02/2024", "05/11/2024")
+
+
+def test_setlist_marts_are_made_from_one_table(tables):
+    """For a reader of both marts, concerts and songs are made once; the rows are those of each mart by itself."""
+    fact, dim = tables(
+        [played("1", 2020, "A; B; A"), played("2", 2021, "B; C"), played("3", 2021, "C", "n"), played("4", 2022, " ; ", None)],
+        (("m", "Muse", "hip-hop"), ("n", "Muse", "rock")),
+    )
+    both = marts.setlist_marts(fact, dim)
+    for got, want in zip(both, (marts.yearly_repertoire(fact, dim), marts.setlist_freshness(fact, dim))):
+        assert got.schema == want.schema
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        text = got._jdf.queryExecution().executedPlan().toString()
+        assert "artist_id" not in text and "performances-" in text

@@ -37,6 +37,11 @@ def readable(df: DataFrame, *columns: str) -> DataFrame:
     )
 
 
+def settled(df: DataFrame, purpose: str) -> DataFrame:
+    """Written once, for queries that read it several times."""
+    return workspace.settled(df, workspace.new_folder(df.sparkSession, purpose))
+
+
 # --- staging and core -------------------------------------------------------------
 
 
@@ -147,10 +152,7 @@ def evolution_snapshot(g):
 
 @query
 def artist_evolution(g):
-    fact, dim = _fact(g), _dim(g)
-    return boards.artist_evolution(
-        marts.yearly_repertoire(fact, dim), marts.setlist_freshness(fact, dim), min_shows=2
-    )
+    return boards.artist_evolution(*marts.setlist_marts(_fact(g), _dim(g)), min_shows=2)
 
 
 @query
@@ -160,8 +162,7 @@ def artist_totals(g):
 
 @query
 def all_artists(g):
-    fact, dim = _fact(g), _dim(g)
-    return boards.all_artists(marts.yearly_repertoire(fact, dim), marts.setlist_freshness(fact, dim))
+    return boards.all_artists(*marts.setlist_marts(_fact(g), _dim(g)))
 
 
 @query
@@ -414,8 +415,8 @@ def cache_written_back(g):
 def exported_snapshots(g):
     """Touring rows, date range and yearly freshness as exported, read back: the rows of each set as text."""
     store = TableStore(g.spark, workspace.new_folder(g.spark, "store"))
-    fact, dim = _fact(g), _dim(g)
-    store.overwrite("fact_concert", fact)
+    dim = settled(_dim(g), "dim")
+    fact = store.overwrite("fact_concert", core.fact_concert(_unified(g), dim, LOADED_AT))
     store.overwrite("mart_artist_touring_intensity", marts.touring_intensity(fact, dim, AS_OF))
     store.overwrite("mart_artist_setlist_freshness", marts.setlist_freshness(fact, dim))
     folder = workspace.new_folder(g.spark, "snapshots")
@@ -498,7 +499,7 @@ def upsert_events(g):
 def incremental_fact(g):
     """Two loads, the first without half the artists; the result equals one full build."""
     store = TableStore(g.spark, workspace.new_folder(g.spark, "store"))
-    events, setlists, artists = g.raw_events(), g.raw_setlists(), g.raw_artists()
+    events, setlists, artists = (settled(df, "raw") for df in (g.raw_events(), g.raw_setlists(), g.raw_artists()))
     early = F.col("extracted_at") < F.lit("1999-01-01").cast("timestamp")
     known = artists.where("mbid LIKE '%1' OR mbid LIKE '%4'")
 
@@ -516,7 +517,7 @@ def incremental_fact(g):
 def full_refresh_fact(g):
     """A load of everything, then a full refresh with the later concerts: those alone are left."""
     store = TableStore(g.spark, workspace.new_folder(g.spark, "store"))
-    unified, dim = _unified(g), _dim(g)
+    unified, dim = settled(_unified(g), "unified"), settled(_dim(g), "dim")
     core.load_fact_concert(store, unified, dim, LOADED_AT)
     late = F.col("extracted_at") >= F.lit("1999-01-01").cast("timestamp")
     return core.load_fact_concert(store, unified.where(late), dim, LOADED_AT, full_refresh=True).drop("loaded_at")
@@ -526,6 +527,6 @@ def full_refresh_fact(g):
 def strict_fact(g):
     """A load of the concerts of some markets on one day, then a strict load of all: what was stamped before that day is lost."""
     store = TableStore(g.spark, workspace.new_folder(g.spark, "store"))
-    unified, dim, day = _unified(g), _dim(g), dt.datetime(1999, 1, 1)
+    unified, dim, day = settled(_unified(g), "unified"), settled(_dim(g), "dim"), dt.datetime(1999, 1, 1)
     core.load_fact_concert(store, unified.where("country < 'NATION_2'"), dim, day)
     return core.load_fact_concert(store, unified, dim, LOADED_AT, strict_reference=True).drop("loaded_at")

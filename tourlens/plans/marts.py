@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tourlens.functions import dates, text
 from tourlens.operators.keyed import lookup
+from tourlens.sources import workspace
 
 
 def _with_artist(fact: DataFrame, dim: DataFrame, *columns: Column | str) -> DataFrame:
@@ -83,9 +84,12 @@ def yearly_repertoire(fact: DataFrame, dim: DataFrame) -> DataFrame:
     through, instead of joining every performance with every count.
     """
     concerts = _played(fact, dim)
+    return _repertoire(concerts, _performances(concerts))
+
+
+def _repertoire(concerts: DataFrame, performances: DataFrame) -> DataFrame:
     songs = (
-        _performances(concerts)
-        .groupBy("artist_name", "primary_genre", "concert_year")
+        performances.groupBy("artist_name", "primary_genre", "concert_year")
         .agg(F.count("*").alias("unique_songs"), F.sum("times").alias("performances"))
     )
     counts = (
@@ -108,9 +112,13 @@ def yearly_repertoire(fact: DataFrame, dim: DataFrame) -> DataFrame:
 def setlist_freshness(fact: DataFrame, dim: DataFrame) -> DataFrame:
     """Share of a year's songs that the artist had not played in any earlier year."""
     concerts = _played(fact, dim)
+    return _freshness(concerts, _performances(concerts))
+
+
+def _freshness(concerts: DataFrame, performances: DataFrame) -> DataFrame:
     # At most one row per genre and year is left of an (artist, song) group here.
     debut = Window.partitionBy("artist_name", "song_name")
-    songs = _performances(concerts).withColumn("first_year", F.min("concert_year").over(debut))
+    songs = performances.withColumn("first_year", F.min("concert_year").over(debut))
     fresh = songs.groupBy("artist_name", "primary_genre", "concert_year").agg(
         F.count("*").alias("unique_songs"),
         F.count_if(F.col("first_year") == F.col("concert_year")).alias("first_time_songs"),
@@ -130,3 +138,14 @@ def setlist_freshness(fact: DataFrame, dim: DataFrame) -> DataFrame:
         "repeated_songs",
         F.round(share * 100, 1).alias("freshness_pct"),
     )
+
+
+def setlist_marts(fact: DataFrame, dim: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Yearly repertoire and freshness for a reader of both: concerts and performances are made once, in scratch space."""
+    concerts = _settled(_played(fact, dim), "played")
+    performances = _settled(_performances(concerts), "performances")
+    return _repertoire(concerts, performances), _freshness(concerts, performances)
+
+
+def _settled(df: DataFrame, purpose: str) -> DataFrame:
+    return workspace.settled(df, workspace.new_folder(df.sparkSession, purpose))

@@ -5,8 +5,10 @@ import datetime as dt
 import duckdb
 import pytest
 from conftest import GIVEN
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from tourlens.driver import queries, tables
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -83,3 +85,18 @@ def test_the_stream_reads_tables_of_many_files(spark, tmp_path):
     log = entry.queries()["stream_first_seen"](spark, str(tmp_path))
     assert log.count() == events.count()
     assert log.where("is_new").count() == events.select("user_id").distinct().count()
+
+
+def test_pages_are_landed_compressed_in_bounded_files(spark, tmp_path, monkeypatch):
+    given = tables.Given(spark, GIVEN)
+    monkeypatch.setattr(queries, "LANDED", {**queries.LANDED, "maxRecordsPerFile": 1000})
+    pages, setlists, searches = queries._landed(given)
+    files = pages.inputFiles() + setlists.inputFiles() + searches.inputFiles()
+    assert all(file.endswith(".lz4") for file in files) and len(pages.inputFiles()) >= given.event_pages().count() / 1000
+    for landed, made in ((pages, given.event_pages()), (setlists, given.setlist_pages()), (searches, given.customer_searches())):
+        shared = made.select(*[c for c in landed.columns if c in made.columns])
+        assert sorted(map(str, landed.select(F.to_json(F.struct(*shared.columns))).collect())) == sorted(
+            map(str, shared.select(F.to_json(F.struct(*shared.columns))).collect())
+        )
+    one = given.event_page_texts(1).select(F.from_json("value", "country_order INT")["country_order"]).distinct().collect()
+    assert [tuple(r) for r in one] == [(1,)]

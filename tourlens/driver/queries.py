@@ -20,6 +20,9 @@ from tourlens.streaming import live
 
 QUERIES = {}
 
+# How documents are landed: compressed, in files small enough that each is a fair share of a task.
+LANDED = {"compression": "lz4", "maxRecordsPerFile": 50_000}
+
 
 def query(make):
     @functools.wraps(make)
@@ -219,9 +222,9 @@ def stream_first_seen(g):
 @query
 def live_payload_stream(g):
     """Landed event pages as a stream, stopped and resumed: the listings, then late ones of the same events."""
-    folder, pages = workspace.new_folder(g.spark, "live"), g.event_pages()
+    folder = workspace.new_folder(g.spark, "live")
     for place in (0, 1):
-        pages.where(F.col("country_order") == place).write.mode("append").json(f"{folder}/pages")
+        g.event_page_texts(place).write.mode("append").options(**LANDED).text(f"{folder}/pages")
         stream = landing.stream_event_pages(g.spark, f"{folder}/pages")
         flagged = live.live_updates(stream, observed_at=LOADED_AT)
         live.publish(flagged, f"{folder}/topic", f"{folder}/published", once=True).awaitTermination()
@@ -362,8 +365,9 @@ def new_setlist_artists(g):
 def _landed(g):
     """The documents as JSON files, read back as an ingest finds them."""
     folder = workspace.new_folder(g.spark, "landed")
-    for name, docs in (("events", g.event_pages()), ("setlists", g.setlist_pages()), ("searches", g.customer_searches())):
-        docs.write.json(f"{folder}/{name}")
+    g.event_page_texts(0, 1).write.options(**LANDED).text(f"{folder}/events")
+    for name, docs in (("setlists", g.setlist_pages()), ("searches", g.customer_searches())):
+        docs.write.options(**LANDED).json(f"{folder}/{name}")
     return (
         landing.read_event_pages(g.spark, f"{folder}/events"),
         landing.read_setlist_pages(g.spark, f"{folder}/setlists"),

@@ -219,6 +219,10 @@ class Given:
     @once
     def event_pages(self) -> DataFrame:
         """Two pages per order, through JSON text: the listing, and a late one elsewhere."""
+        return self.event_page_texts(0, 1).select(F.from_json("value", schemas.EVENT_PAGE).alias("p")).select("p.*")
+
+    def event_page_texts(self, *places: int) -> DataFrame:
+        """The pages of some places as JSON text: 0 has the listings, 1 the late ones."""
         key = F.col("o_orderkey")
 
         def attraction(name, total, kind):
@@ -276,12 +280,12 @@ class Given:
         late = F.array(
             attraction(F.concat(F.lit("Late "), "c_name"), F.lit(5), F.lit("Person"))
         ).cast(billed_type())
-        pages = F.array(
+        pages = [
             page(0, F.col("o_orderpriority"), self.status(), listed, venue),
             page(1, F.lit("late listing"), self.status(), late, self.venue()),
-        )
-        text = self.concerts().select(F.explode(pages).alias("page")).select(F.to_json("page").alias("value"))
-        return text.select(F.from_json("value", schemas.EVENT_PAGE).alias("p")).select("p.*")
+        ]
+        chosen = F.array(*[pages[place] for place in places])
+        return self.concerts().select(F.explode(chosen).alias("page")).select(F.to_json("page").alias("value"))
 
     def setlist_pages(self) -> DataFrame:
         """One page per order, with every shape a set or song list may have."""

@@ -176,3 +176,10 @@ def test_registry_schemas_parse(spark):
         columns = spark.createDataFrame([], table.ddl).columns
         assert set(table.key) <= set(columns), name
         assert spark.createDataFrame([], table.ddl).select(F.count("*")).first()[0] == 0
+
+
+def test_kept_events_are_sorted_out_once(spark, tmp_path, landed):
+    store = TableStore(spark, str(tmp_path / "store"))
+    with run_ingest(store, landed()) as result:
+        assert "Window" not in result.events._jdf.queryExecution().optimizedPlan().toString()
+        assert result.events.count() == 3

@@ -111,3 +111,12 @@ def test_texts_with_a_ligature_are_not_taken_apart_by_character(evaluate):
 
     assert "(?s)." not in str(text.fold_accents(F.col("v")))
     assert text._ranges("\u0105\u0100\u0101") == "\u0100-\u0101\u0105-\u0105"
+
+
+def test_classes_of_unicode_are_for_names_beyond_ascii(evaluate):
+    names = ["The  A&B\x1c Band!", "THE_X the y", "aLIVE - x", "xLIVE \u2014 y", "Cirqu\u00e9", "\u017falute to x", "Song\u00a0of x", "songs of x",
+             "on ice", "on icey", "\u00e9on ice", "echoes\nof x", "The Caf\u00e9 Experience", "The A_1 experience", "tributes", "atribute", "the\x1fthe x", "", None]
+    whole = lambda c: F.coalesce(c, F.lit("")).rlike("(?iU)" + "|".join(text.NON_ARTIST_PHRASES))
+    assert evaluate(text.is_non_artist, names) == evaluate(whole, names)
+    folded = lambda c: text.simplify_folded(text.fold_accents(text.strip(F.coalesce(c, F.lit("")))))
+    assert evaluate(text.normalise_name, names) == evaluate(folded, names)

@@ -18,6 +18,7 @@ WHITE_SPACE = (
     "\x1c\x1d\x1e\x1f"
 )
 _SPACE = r"[\s\x1c-\x1f]"
+_BEYOND_ASCII = r"[^\x00-\x7f]"
 
 # Phrases that mark a listing as something other than a touring artist.
 NON_ARTIST_PHRASES = (
@@ -129,17 +130,22 @@ def fold_accents(c: Column) -> Column:
     return F.when(c.rlike(r"[^\x00-\x7f]"), F.when(is_long, whole).otherwise(single)).otherwise(c)
 
 
-def simplify_folded(c: Column) -> Column:
-    """The JVM-side part of `normalise_name`, for text whose accents are folded already."""
-    no_article = F.regexp_replace(F.lower(c), rf"(?U)^the{_SPACE}+", "")
+def simplify_folded(c: Column, classes: str = "(?U)") -> Column:
+    """The JVM-side part of `normalise_name`, for text whose accents are folded already.
+
+    `classes` is the flag for character classes: of Unicode, or none for ASCII text, where both agree.
+    """
+    no_article = F.regexp_replace(F.lower(c), rf"{classes}^the{_SPACE}+", "")
     spelled_and = F.replace(no_article, F.lit("&"), F.lit(" and "))
-    plain = F.regexp_replace(spelled_and, r"(?U)[^a-z0-9\s\x1c-\x1f]", "")
-    return F.trim(F.regexp_replace(plain, rf"(?U){_SPACE}+", " "))
+    plain = F.regexp_replace(spelled_and, rf"{classes}[^a-z0-9\s\x1c-\x1f]", "")
+    return F.trim(F.regexp_replace(plain, rf"{classes}{_SPACE}+", " "))
 
 
 def normalise_name(c: Column) -> Column:
     """Aggressive form for entity matching: no accents, article, punctuation or runs of blanks."""
-    return simplify_folded(fold_accents(strip(F.coalesce(c, F.lit("")))))
+    name = strip(F.coalesce(c, F.lit("")))
+    # Classes of Unicode are slow, and ASCII names have nothing to fold.
+    return F.when(name.rlike(_BEYOND_ASCII), simplify_folded(fold_accents(name))).otherwise(simplify_folded(name, ""))
 
 
 def normalise_names(names: Column) -> Column:
@@ -149,7 +155,11 @@ def normalise_names(names: Column) -> Column:
 
 def is_non_artist(c: Column) -> Column:
     """Does the name read like a show, tribute or residency rather than a touring artist?"""
-    return F.coalesce(c, F.lit("")).rlike("(?iU)" + "|".join(NON_ARTIST_PHRASES))
+    name = F.coalesce(c, F.lit(""))
+    # Most phrases start at a word: that is tried once for all of them. Classes of Unicode are for names beyond ASCII only.
+    at_word = "|".join(p.removeprefix(r"\b") for p in NON_ARTIST_PHRASES if p.startswith(r"\b"))
+    phrases = "|".join([rf"\b(?:{at_word})", *(p for p in NON_ARTIST_PHRASES if not p.startswith(r"\b"))])
+    return F.when(name.rlike(_BEYOND_ASCII), name.rlike("(?iU)" + phrases)).otherwise(name.rlike("(?i)" + phrases))
 
 
 def mentions_tribute(c: Column) -> Column:

@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import pandas as pd
 import pytest
 from conftest import dicts
 from pyspark.sql import functions as F
@@ -188,3 +189,63 @@ def test_log_schema_and_liveness(spark, frame, tmp_path):
 def test_messages_name_their_source(spark, frame):
     row = live.as_messages(frame(UPDATES, [update("e", 1)])).first()
     assert row.key == "e" and json.loads(row.value)["observed_at"].startswith("2024-01-01T00:01:00.000000")
+
+
+class _State:
+    """A map state that counts the calls made to it."""
+
+    def __init__(self):
+        self.held, self.calls = {}, 0
+
+    def getMapState(self, *_):
+        return self
+
+    def containsKey(self, key):
+        self.calls += 1
+        return key in self.held
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.held.get(key)
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.held[key] = value
+
+
+class _Clock:
+    now = 0
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
+
+
+def test_calls_to_the_state_grow_with_buckets_and_not_with_ids():
+    order = ["observed_at", "event_name"]
+    columns = ["event_id", "event_name", "observed_at", "is_new"]
+
+    def batch(rows):
+        return pd.DataFrame(rows, columns=columns[:3]).astype({"observed_at": "datetime64[ns]"})
+
+    def run(processor, clock, *chunks):
+        out = pd.concat(list(processor.handleInputRows((0,), iter(chunks), clock)))
+        return {(r.event_id, r.event_name): r.is_new for r in out.itertuples()}
+
+    early, late = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    state, clock = _State(), _Clock()
+    processor = live._processor(columns, order, 1000)
+    processor.init(state)
+    ids = [f"e{i}" for i in range(3000)]
+    # In many chunks; one id comes in each of them, the earliest row of it in the last but one.
+    chunks = [batch([(i, "x", early) for i in ids[a : a + 100]] + [("hot", f"n{a}", early if a == 2800 else late)]) for a in range(0, 3000, 100)]
+    flags = run(processor, clock, *chunks)
+    assert len(flags) == 3030 and all(flags[i, "x"] for i in ids)
+    assert [k for k, new in flags.items() if k[0] == "hot" and new] == [("hot", "n2800")]
+    assert state.calls <= 2 * 16
+    # Seen ids stay seen until their own time is over, whatever else came into their bucket since; no id reads as the empty one.
+    clock.now = 600
+    assert run(processor, clock, batch([("e1", "x", late), (None, "a", early), ("", "b", late), *[(f"f{i}", "x", late) for i in range(200)]])) == {
+        ("e1", "x"): False, (None, "a"): True, ("", "b"): False, **{(f"f{i}", "x"): True for i in range(200)}
+    }
+    clock.now = 1000
+    assert run(processor, clock, batch([("e1", "x", late), ("f1", "x", late), ("", "x", late)])) == {("e1", "x"): True, ("f1", "x"): False, ("", "x"): False}

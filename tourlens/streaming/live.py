@@ -36,6 +36,9 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 SIGHTING_ORDER = (
     "observed_at", "event_status", "event_name", "artist_name", "venue_name", "event_date", "city", "country_code"
 )
+#: Event ids meet in shares, and within a share their state is kept in buckets: few calls to the state for many ids,
+#: and little to rewrite for one. Both are part of a checkpoint, so they do not hang on the session.
+SHARES, BUCKETS = 4096, 16
 #: Lanes per task of a shuffle, so that lanes fill all tasks of any session about evenly.
 LANES_PER_TASK = 4
 
@@ -89,32 +92,73 @@ def live_payload(
     return updates
 
 
+def _splitter(order: list[str]):
+    # Local to a function so that it travels to the executors by value.
+    import pandas as pd
+
+    def split(rows):
+        """The earliest row of each id, and the later ones. Only rows that share an id are sorted."""
+        shared = rows["event_id"].fillna("").duplicated(keep=False)
+        if not shared.any():
+            return rows, rows[:0]
+        ordered = rows[shared].sort_values(order, kind="stable")
+        later = ordered.duplicated("event_id")
+        return pd.concat([rows[~shared], ordered[~later]]), ordered[later]
+
+    return split
+
+
 def _processor(columns: list[str], order: list[str], ttl_ms: int | None):
     # Local to a function so that the class travels to the executors by value.
+    import zlib
+
     import pandas as pd
     from pyspark.sql.streaming import StatefulProcessor
 
+    split = _splitter(order)
+
     class FirstSeen(StatefulProcessor):
-        """Remembers, for each event id of its share, when it was first seen; gets at most a row per id and Arrow batch."""
+        """Remembers, for each event id of its share, when it was first seen; gets at most a row per id and Arrow batch.
+
+        A bucket of ids is read once in a batch, and written once if it has new ones. `until` is when an id is forgotten,
+        0 for never: a bucket lives as long as its newest id.
+        """
 
         def init(self, handle):
-            self.seen = handle.getMapState("first_seen", "event_id STRING", "at TIMESTAMP", ttl_ms)
+            self.seen = handle.getMapState(
+                "first_seen_ids", "bucket INT", "event_id ARRAY<STRING>, at ARRAY<BIGINT>, until ARRAY<BIGINT>", ttl_ms
+            )
 
         def handleInputRows(self, key, rows, timerValues):
-            # A row per id is held back: the earliest so far.
-            first = None
+            # A row per id is held back: the earliest so far. What came since is added when it is as much again.
+            first, since = None, []
             for chunk in rows:
-                chunk = (chunk if first is None else pd.concat([first, chunk])).sort_values(order, kind="stable")
-                later = chunk.duplicated("event_id")
-                first = chunk[~later]
-                yield chunk[later].assign(is_new=False)[columns]
+                since.append(chunk)
+                if first is None or sum(map(len, since)) >= len(first):
+                    first, later = split(chunk if first is None else pd.concat([first, *since]))
+                    since = []
+                    yield later.assign(is_new=False)[columns]
             if first is None:
                 return
-            new = []
-            for event_id, at in zip(first["event_id"].fillna(""), first["observed_at"], strict=True):
-                new.append(not self.seen.containsKey((event_id,)))
-                if new[-1]:
-                    self.seen.updateValue((event_id,), (at.to_pydatetime(),))
+            if since:
+                first, later = split(pd.concat([first, *since]))
+                yield later.assign(is_new=False)[columns]
+            now = timerValues.getCurrentProcessingTimeInMs() if ttl_ms else 0
+            ids = first["event_id"].fillna("").tolist()
+            buckets = {}
+            for place, event_id in enumerate(ids):
+                buckets.setdefault(zlib.crc32(event_id.encode()) % BUCKETS, []).append(place)
+            times, new = first["observed_at"].tolist(), [False] * len(ids)
+            for bucket, places in buckets.items():
+                held = self.seen.getValue((bucket,))
+                known = {i: (at, until) for i, at, until in zip(*held, strict=True) if not until or until > now} if held else {}
+                for place in places:
+                    if ids[place] not in known:
+                        new[place] = True
+                        known[ids[place]] = (times[place].value // 1000, now + ttl_ms if ttl_ms else 0)
+                if any(new[place] for place in places):
+                    at, until = zip(*known.values(), strict=True)
+                    self.seen.updateValue((bucket,), (list(known), list(at), list(until)))
             yield first.assign(is_new=new)[columns]
 
         def close(self):
@@ -134,17 +178,20 @@ def first_seen(updates: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     """
     order = [c for c in SIGHTING_ORDER if c in updates.columns]
 
+    split = _splitter(order)
+
     def nominate(batches):
         for rows in batches:
-            rows = rows.sort_values(order, kind="stable")
-            yield rows.assign(nominee=~rows.duplicated("event_id"))
+            first, later = split(rows)
+            yield first.assign(nominee=True)
+            yield later.assign(nominee=False)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in updates.schema)
     nominated = updates.mapInPandas(nominate, f"{fields}, nominee BOOLEAN")
     settled = (
         nominated.where("nominee")
         .drop("nominee")
-        .withColumn("share", F.pmod(F.xxhash64("event_id"), F.lit(_lanes(updates.sparkSession))).cast("int"))
+        .withColumn("share", F.pmod(F.xxhash64("event_id"), F.lit(SHARES)).cast("int"))
         .groupBy("share")
         .transformWithStateInPandas(
             statefulProcessor=_processor([*updates.columns, "is_new"], order, ttl_ms),
